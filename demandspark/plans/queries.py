@@ -150,3 +150,502 @@ def products_prepared(spark, sf):
 @register("location_encoded")
 def location_encoded(spark, sf):
     return PR.prepare_locations(FX.locations(spark, sf))
+
+
+# ---------------------------------------------------------------- scans and sinks
+
+from demandspark.functions import expressions as X  # noqa: E402
+from demandspark.functions.text import processed_name, stem, spanish_stop_words, tokens  # noqa: E402
+from demandspark.operators import metrics as ME  # noqa: E402
+from demandspark.operators import models as M  # noqa: E402
+from demandspark.operators import profile as PF  # noqa: E402
+from demandspark.operators import splits as SP  # noqa: E402
+from demandspark.operators import stacking as ST  # noqa: E402
+from demandspark.plans import jobs as J  # noqa: E402
+from demandspark.session import shared_dir  # noqa: E402
+from demandspark.sources import io as IO  # noqa: E402
+from demandspark.sources.schemas import DEMAND_SCHEMA, model_features  # noqa: E402
+
+TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@register("file_inventory")
+def file_inventory(spark, sf):
+    return IO.file_inventory(spark, [f"{sf}/{t}.parquet" for t in TABLE_NAMES])
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf):
+    path = IO.write_csv(FX.demand(spark, sf), shared_dir(spark, "demand-csv"))
+    return IO.read_csv(spark, path, DEMAND_SCHEMA)
+
+
+@register("parquet_cache")
+def parquet_cache(spark, sf):
+    path = shared_dir(spark, "products-cache")
+    built = IO.cached_table(spark, path, lambda: PR.prepare_products(FX.products(spark, sf)))
+    return round_doubles(built)
+
+
+@register("partitioned_roundtrip")
+def partitioned_roundtrip(spark, sf):
+    rows = SP.chunk_ids(FX.demand(spark, sf), 8)
+    path = IO.write_parquet(rows, shared_dir(spark, "demand-chunks"), ["chunk_id"])
+    return spark.read.parquet(path).withColumn("chunk_id", F.col("chunk_id").cast("int"))
+
+
+# ---------------------------------------------------------------- dormant mean joins
+
+@register("returns_style_mean")
+def returns_style_mean(spark, sf):
+    """Log-mean of returned units per client on train, joined to test rows,
+    unknown clients filled with the global returns log-mean."""
+    rows = FX.demand(spark, sf, with_returns=True)
+    train = rows.where(F.col("period") < FX.SPLIT_PERIOD)
+    test = rows.where(F.col("period") >= FX.SPLIT_PERIOD).withColumnRenamed("row_id", "id")
+    by_client = TM.target_mean(train, ["client_id"], "lm_returns_client", value="returns")
+    g = TM.global_log_mean(train, "returns", "lm_returns_global")
+    out = test.join(by_client, "client_id", "left").crossJoin(F.broadcast(g))
+    return round_doubles(out.select(
+        "id", F.coalesce("lm_returns_client", "lm_returns_global").alias("lm_returns_client")))
+
+
+@register("client_period_product_mean")
+def client_period_product_mean(spark, sf):
+    """Log-mean per (client, period, product) on train joined to test rows,
+    falling back to the client x product chain value."""
+    train, test = FX.train_test(spark, sf)
+    cwp = TM.target_mean(train, ["client_id", "period", "product_id"], "lm_client_period_product")
+    chained = FE.fallback_chain(train, test)
+    out = chained.join(cwp, ["client_id", "period", "product_id"], "left")
+    return round_doubles(out.select("id", F.coalesce("lm_client_period_product", "lm_client_product")
+                                    .alias("lm_client_period_product")))
+
+
+@register("agency_means_joined")
+def agency_means_joined(spark, sf):
+    """Depot log-mean (filled with the global) and previous-period depot
+    log-mean (filled with the depot value) on test rows."""
+    train, test = FX.train_test(spark, sf)
+    g = TM.global_log_mean(train)
+    d = TM.level_mean(train, "lm_depot")
+    wd = TM.level_mean(train, "lm_prev_depot")
+    out = (test.crossJoin(F.broadcast(g)).join(d, "depot_id", "left")
+           .join(wd, ["period", "depot_id"], "left"))
+    dep = F.coalesce("lm_depot", "lm_global")
+    return round_doubles(out.select("id", dep.alias("lm_depot"),
+                                    F.coalesce(F.col("lm_prev_depot"), dep).alias("lm_prev_depot")))
+
+
+# ---------------------------------------------------------------- products and text
+
+@register("product_attributes")
+def product_attributes(spark, sf):
+    return round_doubles(PR.product_attributes(FX.products(spark, sf)))
+
+
+@register("label_encode")
+def label_encode(spark, sf):
+    return PR.with_codes(FX.products(spark, sf)).select(
+        "product_id", "short_name", "short_name_code", "brand", "brand_code")
+
+
+@register("brand_mean_weight")
+def brand_mean_weight(spark, sf):
+    return round_doubles(PR.brand_mean(PR.with_codes(FX.products(spark, sf)), "weight",
+                                       "avg_brand_weight"))
+
+
+@register("brand_mean_pieces")
+def brand_mean_pieces(spark, sf):
+    return round_doubles(PR.brand_mean(PR.with_codes(FX.products(spark, sf)), "pieces",
+                                       "avg_brand_pieces"))
+
+
+@register("product_imputed")
+def product_imputed(spark, sf):
+    p = PR.prepare_products(FX.products(spark, sf))
+    return round_doubles(p.select("product_id", "weight", "pieces", "avg_brand_weight"))
+
+
+@register("name_tokens")
+def name_tokens(spark, sf):
+    attrs = PR.product_attributes(FX.products(spark, sf))
+    return attrs.select("product_id", processed_name("short_name").alias("short_name_processed"))
+
+
+@register("bag_of_words")
+def bag_of_words(spark, sf):
+    attrs = PR.product_attributes(FX.products(spark, sf)).withColumn(
+        "short_name_processed", processed_name("short_name"))
+    return PR.name_document_frequency(attrs)
+
+
+@register("document_words")
+def document_words(spark, sf):
+    """Whole Spanish documents: word tokens, stop words dropped, stemmed;
+    (token, doc_freq) for tokens in at least two documents."""
+    docs = FX.spanish_documents(spark, sf)
+    stops = F.array(*[F.lit(w) for w in spanish_stop_words()])
+    kept = F.transform(F.filter(tokens("text"), lambda w: ~F.array_contains(stops, w)), stem)
+    t = docs.select("doc_id", F.explode(F.array_distinct(kept)).alias("token"))
+    return (t.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
+            .where(F.col("doc_freq") >= 2))
+
+
+@register("product_group_gmm")
+def product_group_gmm(spark, sf):
+    attrs = PR.with_codes(FX.products(spark, sf)).withColumn(
+        "short_name_processed", processed_name("short_name"))
+    return PR.product_groups(attrs, "gmm", max_iter=10)
+
+
+@register("product_group_kmeans")
+def product_group_kmeans(spark, sf):
+    attrs = PR.with_codes(FX.products(spark, sf)).withColumn(
+        "short_name_processed", processed_name("short_name"))
+    return PR.product_groups(attrs, "kmeans")
+
+
+# ---------------------------------------------------------------- profiling
+
+@register("product_period_stats")
+def product_period_stats(spark, sf):
+    return round_doubles(PF.grouped_stats(_train(spark, sf), ["period", "product_id"],
+                                          ["demand", "channel_id"]))
+
+
+@register("median_join_back")
+def median_join_back(spark, sf):
+    train = _train(spark, sf, with_row_id=True)
+    out = PF.median_join_back(train, ["client_id", "product_id"])
+    return round_doubles(out.select("row_id", "client_id", "product_id", "demand", "median_demand"))
+
+
+@register("median_vs_log_mean")
+def median_vs_log_mean(spark, sf):
+    return round_doubles(PF.median_and_log_mean(_train(spark, sf), ["depot_id"]))
+
+
+@register("describe_numeric")
+def describe_numeric(spark, sf):
+    return round_doubles(PF.describe(_train(spark, sf)))
+
+
+@register("table_shape")
+def table_shape(spark, sf):
+    train, test = FX.train_test(spark, sf)
+    return PF.table_shape({"train": train, "test": test})
+
+
+@register("null_counts")
+def null_counts(spark, sf):
+    return PF.null_counts(PR.product_attributes(FX.products(spark, sf)))
+
+
+@register("top_values")
+def top_values(spark, sf):
+    return PF.top_values(_train(spark, sf), "demand", 10)
+
+
+@register("distinct_values")
+def distinct_values(spark, sf):
+    cols = ["period", "depot_id", "channel_id", "route_id", "client_id", "product_id"]
+    return _train(spark, sf).agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols])
+
+
+@register("natural_self_join")
+def natural_self_join(spark, sf):
+    return PF.self_join_counts(FX.clients(spark, sf))
+
+
+@register("unseen_products")
+def unseen_products(spark, sf):
+    train, test = FX.train_test(spark, sf, with_row_id=False)
+    return PF.unseen(test, train)
+
+
+@register("distinct_products")
+def distinct_products(spark, sf):
+    train, test = FX.train_test(spark, sf, with_row_id=False)
+    return PF.coverage(test, train)
+
+
+# ---------------------------------------------------------------- metrics
+
+def _chain_scored(spark, sf):
+    train, test = FX.train_test(spark, sf)
+    chained = FE.attach_means(test, TM.mean_stats(train.drop("row_id")))
+    labels = FX.demand(spark, sf).select(F.col("row_id").alias("id"), "demand")
+    return chained.join(labels, "id")
+
+
+@register("rmsle_strict")
+def rmsle_strict(spark, sf):
+    return round_doubles(ME.score(_chain_scored(spark, sf), "lm_prev_client_depot_product",
+                                  "demand", clamp=False))
+
+
+@register("rmsle_clamped")
+def rmsle_clamped(spark, sf):
+    return round_doubles(ME.score(_chain_scored(spark, sf), "lm_prev_client_depot_product",
+                                  "demand", clamp=True))
+
+
+@register("constant_baselines")
+def constant_baselines(spark, sf):
+    return round_doubles(ME.constant_baselines(_train(spark, sf)))
+
+
+@register("cap_label")
+def cap_label_q(spark, sf):
+    t = _train(spark, sf, with_row_id=True)
+    return t.select("row_id", "demand", X.cap_label("demand").alias("demand_capped"))
+
+
+@register("floor_prediction")
+def floor_prediction(spark, sf):
+    t = _train(spark, sf, with_row_id=True)
+    return t.select("row_id", X.floor_zero(F.col("demand") - 25).alias("floored"))
+
+
+@register("binarise_label")
+def binarise_label(spark, sf):
+    t = _train(spark, sf, with_row_id=True)
+    return t.select("row_id", X.binarise(F.col("demand") / 50.0).alias("label"))
+
+
+# ---------------------------------------------------------------- splits
+
+@register("kfold_exact")
+def kfold_exact(spark, sf):
+    t = _train(spark, sf, with_row_id=True)
+    return SP.exact_folds(t, 10, order=[F.col("row_id")]).select("row_id", "fold")
+
+
+@register("kfold_hash")
+def kfold_hash(spark, sf):
+    f = SP.hash_folds(_train(spark, sf, with_row_id=True), 5)
+    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
+                 F.sum(F.col("fold").between(1, 5).cast("long")).alias("n_assigned"))
+
+
+@register("chunk_ids")
+def chunk_ids_q(spark, sf):
+    return SP.chunk_ids(_train(spark, sf, with_row_id=True), 8).select("row_id", "chunk_id")
+
+
+@register("split_union")
+def split_union(spark, sf):
+    parts = SP.split_parts(_train(spark, sf, with_row_id=True), 8)
+    return SP.union_parts(parts)
+
+
+@register("holdout_split")
+def holdout_split(spark, sf):
+    t = _train(spark, sf, with_row_id=True)
+    a, b = SP.holdout_split(t)
+    return (t.agg(F.count(F.lit(1)).alias("n_rows"))
+            .crossJoin(a.agg(F.count(F.lit(1)).alias("_a")))
+            .crossJoin(b.agg(F.count(F.lit(1)).alias("_b")))
+            .select("n_rows", (F.col("_a") + F.col("_b")).alias("n_split")))
+
+
+@register("shuffle_rows")
+def shuffle_rows_q(spark, sf):
+    s = SP.shuffle_rows(_train(spark, sf, with_row_id=True))
+    return s.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct("shuffled_pos").alias("n_positions"),
+                 F.min("shuffled_pos").alias("min_pos"), F.max("shuffled_pos").alias("max_pos"),
+                 F.sum("row_id").alias("sum_ids"))
+
+
+SAMPLE_ROWS = 10_000
+
+
+@register("exact_sample")
+def exact_sample_q(spark, sf):
+    s = SP.exact_sample(_train(spark, sf, with_row_id=True), SAMPLE_ROWS)
+    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"))
+
+
+# ---------------------------------------------------------------- scaling and models
+
+SCALE_COLS = ["period", "channel_id", "route_id"]
+
+
+@register("standard_scale")
+def standard_scale(spark, sf):
+    train, test = FX.train_test(spark, sf)
+    return round_doubles(M.standard_scale(train, test, SCALE_COLS, "_scaled")
+                         .select("id", *[f"{c}_scaled" for c in SCALE_COLS]))
+
+
+@register("impute_mean")
+def impute_mean_q(spark, sf):
+    attrs = PR.product_attributes(FX.products(spark, sf))
+    return round_doubles(M.impute_mean(attrs, ["weight", "pieces"])
+                         .select("product_id", "weight", "pieces"))
+
+
+@register("ols_one_feature")
+def ols_one_feature(spark, sf):
+    return round_doubles(M.ols_line(_train(spark, sf), "period", "demand"))
+
+
+def _feature_tables(spark, sf, cluster=None):
+    key = ("features", id(spark), sf, cluster)
+    if key not in _FEATURE_MEMO:
+        train, test = FX.train_test(spark, sf)
+        prods = PR.product_features(PR.prepare_products(FX.products(spark, sf), cluster=cluster,
+                                                        max_iter=10))
+        locs = PR.location_features(PR.prepare_locations(FX.locations(spark, sf)))
+        tr, te = FE.build_features(train, test, prods, locs)
+        _FEATURE_MEMO[key] = (tr.checkpoint(eager=True), te.checkpoint(eager=True))
+    return _FEATURE_MEMO[key]
+
+
+_FEATURE_MEMO: dict = {}
+SMALL_GBT = dict(maxIter=10)
+
+
+@register("ols_predict")
+def ols_predict(spark, sf):
+    tr, te = _feature_tables(spark, sf)
+    cols = model_features()
+    return M.predict(M.fit_ols(tr, cols), te, cols)
+
+
+@register("gbt_predict")
+def gbt_predict(spark, sf):
+    tr, te = _feature_tables(spark, sf)
+    cols = model_features()
+    return M.predict(M.fit(M.gbt_regressor(**SMALL_GBT), tr, cols), te, cols)
+
+
+@register("gbt_early_stop")
+def gbt_early_stop(spark, sf):
+    tr, te = _feature_tables(spark, sf)
+    cols = model_features()
+    flagged = SP.hash_folds(tr, 5).withColumn("is_valid", F.col("fold") == 1)
+    model = M.fit_gbt_early_stop(flagged, cols, maxIter=20)
+    return M.predict(model, te, cols)
+
+
+@register("gbt_with_words")
+def gbt_with_words(spark, sf):
+    """Boosting on the features plus the product bag-of-words vector."""
+    tr, te = _feature_tables(spark, sf)
+    attrs = PR.with_codes(FX.products(spark, sf)).withColumn(
+        "short_name_processed", processed_name("short_name"))
+    _, vec = PR.bag_of_words(attrs)
+    words = vec.select("product_id", "words")
+    cols = model_features() + ["words"]
+    model = M.fit(M.gbt_regressor(**SMALL_GBT), tr.join(words, "product_id"), cols)
+    return M.predict(model, te.join(words, "product_id"), cols)
+
+
+@register("linear_booster_predict")
+def linear_booster_predict(spark, sf):
+    tr, te = _feature_tables(spark, sf)
+    cols = model_features()
+    return M.predict(M.fit(M.linear_booster(), tr, cols), te, cols)
+
+
+@register("forest_predict")
+def forest_predict(spark, sf):
+    tr, te = _feature_tables(spark, sf)
+    cols = model_features()
+    return M.predict(M.fit(M.random_forest(10, maxDepth=8), tr, cols), te, cols)
+
+
+@register("binary_classify")
+def binary_classify(spark, sf):
+    tr, te = _feature_tables(spark, sf)
+    cols = model_features()
+    model = M.fit_binary(tr.withColumn("label", F.col("demand") / 50.0), cols, **SMALL_GBT)
+    return M.predict_binary(model, te, cols)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    tr, _ = _feature_tables(spark, sf)
+    cols = model_features()
+    return M.split_importance(M.fit(M.gbt_regressor(**SMALL_GBT), tr, cols), cols)
+
+
+@register("importance_share")
+def importance_share(spark, sf):
+    """Share of total and ascending order of a count table (rows per channel)."""
+    from pyspark.sql import Window
+    counts = _train(spark, sf).groupBy("channel_id").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("_t"))
+    return (counts.crossJoin(F.broadcast(total))
+            .select(F.col("channel_id").alias("feature"), (F.col("n") / F.col("_t")).alias("fscore"))
+            .withColumn("rank", F.row_number().over(Window.orderBy("fscore", "feature")).cast("int")))
+
+
+# ---------------------------------------------------------------- stacking
+
+OOF_MODELS = {"client": ["client_id"], "product": ["product_id"], "depot": ["depot_id"]}
+OOF_FOLDS = 5
+
+
+def _folded_train(spark, sf):
+    t = _train(spark, sf, with_row_id=True)
+    return SP.exact_folds(t, OOF_FOLDS, order=[F.col("row_id")])
+
+
+@register("oof_group_mean")
+def oof_group_mean(spark, sf):
+    return round_doubles(ST.oof_group_mean(_folded_train(spark, sf), ["client_id"], OOF_FOLDS,
+                                           "client"))
+
+
+@register("test_fold_mean")
+def test_fold_mean(spark, sf):
+    _, test = FX.train_test(spark, sf)
+    return round_doubles(ST.test_fold_mean(_folded_train(spark, sf), test, ["client_id"],
+                                           OOF_FOLDS, "client"))
+
+
+@register("blend_pivot")
+def blend_pivot(spark, sf):
+    folded = _folded_train(spark, sf)
+    parts = [ST.oof_group_mean(folded, keys, OOF_FOLDS, name) for name, keys in OOF_MODELS.items()]
+    return round_doubles(ST.blend_pivot(SP.union_parts(parts), list(OOF_MODELS)))
+
+
+def _stack(spark, sf):
+    key = ("stack", id(spark), sf)
+    if key not in _FEATURE_MEMO:
+        tr, te = _feature_tables(spark, sf)
+        cols = model_features()
+        est = ST.base_models(num_trees=5)
+        oof, tst = J.stack_phase_one(tr, te, cols, n_chunks=2, k=3, estimators=est)
+        _FEATURE_MEMO[key] = (oof.checkpoint(eager=True), tst.checkpoint(eager=True), tr, list(est))
+    return _FEATURE_MEMO[key]
+
+
+@register("stack_oof")
+def stack_oof(spark, sf):
+    return _stack(spark, sf)[0]
+
+
+@register("stack_test_mean")
+def stack_test_mean(spark, sf):
+    return ST.mean_over(_stack(spark, sf)[1], ["id", "model"])
+
+
+@register("stack_submission")
+def stack_submission(spark, sf):
+    oof, tst, tr, models = _stack(spark, sf)
+    return J.stack_phase_two(oof, tst, tr, models, maxIter=10)
+
+
+@register("cv_evaluate")
+def cv_evaluate(spark, sf):
+    rows = FX.demand(spark, sf)
+    return J.cv_evaluate(spark, rows, FX.products(spark, sf), FX.locations(spark, sf),
+                         n_rows=SAMPLE_ROWS, k=5)

@@ -34,6 +34,7 @@ def get_session(master: str | None = None, app: str = "demandspark",
     conf.update({
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     })
     conf.update(extra or {})
     for k, v in conf.items():
