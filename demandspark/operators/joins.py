@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.session import materialize
+
 # A dimension side is broadcast only when it has at most this many rows.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -29,7 +31,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Write a dimension table once to the checkpoint folder (cutting its
     lineage), then broadcast it only if its row count is within the bound."""
-    written = df.checkpoint(eager=True)
+    written = materialize(df, "dimension")
     return broadcast_if_small(written, max_rows)
 
 

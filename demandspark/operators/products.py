@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions import expressions as X
 from demandspark.functions.text import TOKEN_PATTERN, processed_name, tokens
-from demandspark.sources.ids import dense_codes
+from demandspark.sources.ids import dense_codes_many
 
 DEFAULT_SEED = 47
 GMM_COMPONENTS = 45
@@ -23,10 +23,20 @@ PCA_DIMS = 20
 
 def encode(df: DataFrame, col: str, code: str) -> DataFrame:
     """Label code of ``col``: sorted distinct values -> 0..n-1, NULL -> n."""
-    # the dictionary has one row per distinct value; AQE broadcasts it at
-    # runtime when its shuffle output is small
-    d = dense_codes(df, col, code).withColumnRenamed(col, "_val")
-    return df.join(d, df[col].eqNullSafe(d["_val"]), "left").drop("_val")
+    return encode_many(df, {col: code})
+
+
+def encode_many(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Label codes for several string columns from one numbering job.
+
+    Each dictionary has one row per distinct value; it is joined on the
+    value (NULL matching NULL) and AQE broadcasts it at runtime when its
+    shuffle output is small.
+    """
+    out = df
+    for c, d in dense_codes_many(df, cols).items():
+        out = out.join(d, out[c].eqNullSafe(d["_val"]), "left").drop("_val")
+    return out
 
 
 def product_attributes(products: DataFrame) -> DataFrame:
@@ -46,9 +56,8 @@ def brand_mean(attrs: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def with_codes(products: DataFrame) -> DataFrame:
-    attrs = product_attributes(products)
-    attrs = encode(attrs, "short_name", "short_name_code")
-    return encode(attrs, "brand", "brand_code")
+    return encode_many(product_attributes(products),
+                       {"short_name": "short_name_code", "brand": "brand_code"})
 
 
 def impute_mean(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -132,8 +141,7 @@ def prepare_locations(locations: DataFrame) -> DataFrame:
     """(depot_id, town, state) -> + town_state_code (of town||state, no
     separator, so 'ab'+'c' and 'a'+'bc' share a code) and state_code."""
     out = locations.withColumn("town_state", F.concat("town", "state"))
-    out = encode(out, "town_state", "town_state_code")
-    out = encode(out, "state", "state_code")
+    out = encode_many(out, {"town_state": "town_state_code", "state": "state_code"})
     return out.select("depot_id", "town", "state", "town_state_code", "state_code")
 
 

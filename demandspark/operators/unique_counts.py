@@ -37,30 +37,36 @@ def unique_counts(train: DataFrame, key: str, with_extra: bool = False) -> DataF
             .agg(*[F.count_distinct(c).alias(n) for n, c in spec.items()]))
 
 
-def count_medians(counts: DataFrame, names: list[str]) -> DataFrame:
-    """One row: exact median of each count column over keys.
+def count_medians(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """One row ``_med_<name>``: exact median of each count column over its keys.
 
-    The histogram of a count column has at most (max count) rows, so a single
-    group for the whole column is bounded by the value domain, not by rows.
+    All count columns are stacked to (name, value) and share one histogram
+    pipeline. A column's histogram has at most (max count) rows, so the
+    per-name window is bounded by the value domain, not by the number of keys.
     """
-    out = None
-    g = counts.withColumn("_all", F.lit(1))
-    for n in names:
-        m = grouped_quantiles(g, ["_all"], n, [0.5], [f"_med_{n}"]).drop("_all")
-        out = m if out is None else out.crossJoin(m)
-    return out
+    long = None
+    names = []
+    for counts, cols in tables:
+        names += cols
+        stack = "stack({}, {}) as (_name, _v)".format(
+            len(cols), ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols))
+        part = counts.selectExpr(stack)
+        long = part if long is None else long.unionByName(part)
+    med = grouped_quantiles(long, ["_name"], "_v", [0.5], ["_m"])
+    return (med.groupBy().pivot("_name", names).agg(F.first("_m"))
+            .select(*[F.col(n).alias(f"_med_{n}") for n in names]))
 
 
 def add_unique_features(rows: DataFrame, train: DataFrame) -> DataFrame:
     """Attach the six counts computed on ``train`` to ``rows``; unmatched keys
     get the median of that count over the training keys."""
+    tables = [(unique_counts(train, key), list(spec)) for key, spec in UNIQUE_SPECS.items()]
+    medians = count_medians(tables)
     out = rows
-    for key, spec in UNIQUE_SPECS.items():
-        names = list(spec)
-        counts = unique_counts(train, key)
-        medians = count_medians(counts, names)
-        out = left_attach(out, counts, [key]).crossJoin(one_row(medians))
-        for n in names:
-            out = out.withColumn(n, F.coalesce(F.col(n).cast("double"), F.col(f"_med_{n}")))
-        out = out.drop(*[f"_med_{n}" for n in names])
-    return out
+    for (counts, _), key in zip(tables, UNIQUE_SPECS):
+        out = left_attach(out, counts, [key])
+    out = out.crossJoin(one_row(medians))
+    names = [n for _, cols in tables for n in cols]
+    out = out.withColumns({n: F.coalesce(F.col(n).cast("double"), F.col(f"_med_{n}"))
+                           for n in names})
+    return out.drop(*[f"_med_{n}" for n in names])

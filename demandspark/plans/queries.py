@@ -162,7 +162,7 @@ from demandspark.operators import profile as PF  # noqa: E402
 from demandspark.operators import splits as SP  # noqa: E402
 from demandspark.operators import stacking as ST  # noqa: E402
 from demandspark.plans import jobs as J  # noqa: E402
-from demandspark.session import shared_dir  # noqa: E402
+from demandspark.session import materialize, shared_dir  # noqa: E402
 from demandspark.sources import io as IO  # noqa: E402
 from demandspark.sources.schemas import DEMAND_SCHEMA, model_features  # noqa: E402
 
@@ -502,7 +502,7 @@ def _feature_tables(spark, sf, cluster=None):
                                                         max_iter=10))
         locs = PR.location_features(PR.prepare_locations(FX.locations(spark, sf)))
         tr, te = FE.build_features(train, test, prods, locs)
-        _FEATURE_MEMO[key] = (tr.checkpoint(eager=True), te.checkpoint(eager=True))
+        _FEATURE_MEMO[key] = (materialize(tr, "train-features"), materialize(te, "test-features"))
     return _FEATURE_MEMO[key]
 
 
@@ -624,7 +624,8 @@ def _stack(spark, sf):
         cols = model_features()
         est = ST.base_models(num_trees=5)
         oof, tst = J.stack_phase_one(tr, te, cols, n_chunks=2, k=3, estimators=est)
-        _FEATURE_MEMO[key] = (oof.checkpoint(eager=True), tst.checkpoint(eager=True), tr, list(est))
+        _FEATURE_MEMO[key] = (materialize(oof, "stack-oof"), materialize(tst, "stack-test"), tr,
+                              list(est))
     return _FEATURE_MEMO[key]
 
 

@@ -66,3 +66,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor recomputes nothing before this
+    point) and later scans get column pruning and filter pushdown."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

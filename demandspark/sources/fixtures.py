@@ -73,8 +73,6 @@ def _demand(spark: SparkSession, sf_dir: str, with_row_id: bool,
     li = table(spark, sf_dir, "lineitem").select(*li_cols)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     rows = li.join(orders, li.l_orderkey == orders.o_orderkey)
-    if with_row_id:
-        rows = with_consecutive_id(rows, LINEITEM_ORDER, "row_id")
     depot = F.col("l_suppkey")
     product = F.col("l_partkey")
     if dense:
@@ -84,7 +82,7 @@ def _demand(spark: SparkSession, sf_dir: str, with_row_id: bool,
                 .join(part, rows.l_partkey == part.p_partkey))
         depot = F.col("s_nationkey")
         product = F.col("p_brand")
-    out = ([F.col("row_id")] if with_row_id else []) + [
+    out = [
         _period().alias("period"),
         depot.alias("depot_id"),
         F.col("l_linenumber").alias("channel_id"),
@@ -96,7 +94,14 @@ def _demand(spark: SparkSession, sf_dir: str, with_row_id: bool,
     if with_returns:
         out.append(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int"))
                    .otherwise(F.lit(0)).alias("returns"))
-    return rows.select(*out)
+    names = [c._jc.toString().split(" AS ")[-1].strip("`") for c in out]
+    if not with_row_id:
+        return rows.select(*out)
+    # fixture columns are computed before numbering, so they are real parquet
+    # columns of the written table (filters on period reach the scan)
+    keyed = rows.select(*[F.col(c) for c in LINEITEM_ORDER], *out)
+    numbered = with_consecutive_id(keyed, LINEITEM_ORDER, "row_id")
+    return numbered.select("row_id", *names)
 
 
 def split_train_test(rows: DataFrame, split_period: int = SPLIT_PERIOD) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ a per-partition row count (one row per partition, so its size is bounded by
 the partition count and safe to broadcast), and a prefix sum over those counts
 as the offset of each partition.
 
-The sorted frame is checkpointed (written to the shared checkpoint folder)
+The sorted frame is written as parquet to the shared checkpoint folder
 before it is read twice: range bounds come from sampling, so two independent
 evaluations could partition differently. Reading one written copy makes the
 counts and the positions agree, and survives executor loss.
@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandspark.session import materialize
+
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
 
 
@@ -29,7 +31,7 @@ def _ordered_with_position(df: DataFrame, order: Sequence[str | Column]) -> Data
                .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
                .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
                .drop("_mid"))
-    return ordered.checkpoint(eager=True)
+    return materialize(ordered, "ordered")
 
 
 def _partition_offsets(ordered: DataFrame, weight: Column) -> DataFrame:
@@ -71,3 +73,23 @@ def dense_codes(df: DataFrame, col: str, name: str) -> DataFrame:
     distinct = df.select(col).distinct()
     return with_consecutive_id(distinct, [F.col(col).asc_nulls_last()], name=name, start=0) \
         .withColumn(name, F.col(name).cast("int"))
+
+
+def dense_codes_many(df: DataFrame, cols: dict[str, str]) -> dict[str, DataFrame]:
+    """Dictionaries for several columns from one distributed numbering.
+
+    Values of all columns are stacked as (dictionary, value), numbered once in
+    (dictionary, value NULLS LAST) order, and each code is the global number
+    minus the first number of its dictionary.
+    """
+    parts = None
+    for c in cols:
+        p = df.select(F.lit(c).alias("_dict"), F.col(c).cast("string").alias("_val")).distinct()
+        parts = p if parts is None else parts.unionByName(p)
+    numbered = with_consecutive_id(parts, [F.col("_dict"), F.col("_val").asc_nulls_last()],
+                                   name="_gid", start=0)
+    first = numbered.groupBy("_dict").agg(F.min("_gid").alias("_first"))
+    coded = numbered.join(F.broadcast(first), "_dict").select(  # one row per dictionary
+        "_dict", "_val", (F.col("_gid") - F.col("_first")).cast("int").alias("_code"))
+    return {c: coded.where(F.col("_dict") == c).select(F.col("_val"), F.col("_code").alias(code))
+            for c, code in cols.items()}
