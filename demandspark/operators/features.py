@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from demandspark.operators.joins import left_attach, one_row, small_dimension
 from demandspark.operators.target_means import MeanStats, mean_stats
-from demandspark.operators.unique_counts import UNIQUE_SPECS, add_unique_features
+from demandspark.operators.unique_counts import UNIQUE_SPECS, count_medians, unique_counts
 from demandspark.sources.schemas import (EXTRA_MEAN_FEATURES, KEY_COLUMNS, LOCATION_FEATURES,
                                          MEAN_FEATURES, PRODUCT_FEATURES)
 
@@ -42,6 +42,11 @@ def attach_means(rows: DataFrame, stats: MeanStats) -> DataFrame:
     df = left_attach(df, stats.prev_depot_product, ["period", "depot_id", "product_id"])
     df = left_attach(df, stats.prev_client_depot_product,
                      ["period", "client_id", "depot_id", "product_id"])
+    return resolve_chain(df)
+
+
+def resolve_chain(df: DataFrame) -> DataFrame:
+    """Replace each statistic by its fallback-chain value."""
     g = F.col("lm_global")
     c = F.coalesce(F.col("lm_client"), g)
     cp = F.coalesce(F.col("lm_client_product"), c)
@@ -102,15 +107,44 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
     Train rows keep ``row_id`` and the label; test rows keep ``id``. On train
     rows the statistics include the row itself (as in the source pipeline);
     only the previous-period ones exclude it.
+
+    Tables keyed alike are merged before they meet the rows, so the row side
+    is joined once per key set: per-product distinct counts ride on the
+    product dimension, per-depot counts on the location dimension (both
+    broadcast behind a row-count check), per-client counts on the client
+    log-mean table.
     """
     stats = mean_stats(train, label)
     cols = feature_columns(product_feats, location_feats)
-    # dimensions: written once, broadcast behind a row-count check
-    product_feats = small_dimension(product_feats) if product_feats is not None else None
-    location_feats = small_dimension(location_feats) if location_feats is not None else None
-    tr = add_unique_features(train, train)
-    te = add_unique_features(test, train)
-    tr = combine(tr, product_feats, location_feats, stats, keep_unmatched)
-    te = combine(te, product_feats, location_feats, stats, keep_unmatched)
+    counts = {key: unique_counts(train, key) for key in UNIQUE_SPECS}
+    medians = one_row(count_medians([(counts[k], list(spec)) for k, spec in UNIQUE_SPECS.items()]))
+    globals_ = one_row(stats.global_mean).crossJoin(medians)
+    how = "left" if keep_unmatched else "inner"
+
+    def keyed(dim: DataFrame | None, key: str) -> tuple[DataFrame, str]:
+        if dim is None:
+            return counts[key], "left"
+        return small_dimension(dim.join(counts[key], key, "left")), how
+
+    prod_side, prod_how = keyed(product_feats, "product_id")
+    depot_side, depot_how = keyed(location_feats, "depot_id")
+    client_side = stats.client.join(counts["client_id"], "client_id", "full")
+
+    def assemble(rows: DataFrame) -> DataFrame:
+        df = rows.join(prod_side, "product_id", prod_how).join(depot_side, "depot_id", depot_how)
+        df = df.crossJoin(globals_)
+        df = left_attach(df, client_side, ["client_id"])
+        df = left_attach(df, stats.client_product, ["client_id", "product_id"])
+        df = left_attach(df, stats.depot_product, ["depot_id", "product_id"])
+        df = left_attach(df, stats.client_product_depot, ["client_id", "product_id", "depot_id"])
+        df = left_attach(df, stats.prev_depot_product, ["period", "depot_id", "product_id"])
+        df = left_attach(df, stats.prev_client_depot_product,
+                         ["period", "client_id", "depot_id", "product_id"])
+        names = [n for spec in UNIQUE_SPECS.values() for n in spec]
+        df = df.withColumns({n: F.coalesce(F.col(n).cast("double"), F.col(f"_med_{n}"))
+                             for n in names})
+        return resolve_chain(df)
+
     train_id = [c for c in ("row_id",) if c in train.columns]
-    return tr.select(*train_id, *cols, label), te.select("id", *cols)
+    return (assemble(train).select(*train_id, *cols, label),
+            assemble(test).select("id", *cols))

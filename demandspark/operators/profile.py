@@ -5,12 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.expressions import log_mean, null_count
-from demandspark.operators.joins import null_safe_natural_join
 from demandspark.operators.quantiles import _pick, grouped_quantiles
 from demandspark.sources.ids import with_running_sum
 
@@ -21,15 +20,17 @@ DESCRIBE_PROBS = [0.25, 0.5, 0.75]
 def grouped_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """count/sum/min/max/median/mean of each value column per key, named
     ``{col}_{stat}``. All six come from one (key, value) histogram per column,
-    so a hot key is reduced map-side before the shuffle."""
+    so a hot key is reduced map-side before the shuffle; the median uses the
+    distributed running count of ``quantiles.grouped_quantiles``."""
     keys = list(keys)
     out = None
     for c in cols:
         base = df.select(*keys, F.col(c).alias("_v")).where(F.col("_v").isNotNull())
         hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-        w = Window.partitionBy(*keys).orderBy("_v")
-        hist = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+        hist = with_running_sum(hist, [*keys, "_v"], "_c", name="_gcum")
+        base_of = hist.groupBy(*keys).agg(F.min(F.col("_gcum") - F.col("_c")).alias("_base"),
+                                          F.sum("_c").alias("_n"))
+        hist = hist.join(base_of, keys).withColumn("_cum", F.col("_gcum") - F.col("_base"))
         stats = hist.groupBy(*keys).agg(
             F.sum("_c").alias(f"{c}_count"),
             F.sum(F.col("_v") * F.col("_c")).alias(f"{c}_sum"),
@@ -113,10 +114,15 @@ def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
 
 
 def self_join_counts(df: DataFrame) -> DataFrame:
-    """Row counts before and after a natural self join (NULL matches NULL)."""
-    joined = null_safe_natural_join(df, df)
-    return (df.agg(F.count(F.lit(1)).alias("rows_before"))
-            .crossJoin(joined.agg(F.count(F.lit(1)).alias("rows_after"))))
+    """Row counts before and after a natural self join (NULL matches NULL).
+
+    A group of c identical rows (grouping treats NULL as equal, as the
+    null-safe join does) yields c*c joined rows, so the count after the join
+    is sum(c^2) over groups: no pair is materialised.
+    """
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+    return groups.agg(F.sum("_c").alias("rows_before"),
+                      F.sum(F.col("_c") * F.col("_c")).alias("rows_after"))
 
 
 def unseen(test: DataFrame, train: DataFrame, key: str = "product_id") -> DataFrame:

@@ -30,11 +30,18 @@ def _pick(probs: Sequence[float], names: Sequence[str]):
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: Sequence[float] = (0.5,), names: Sequence[str] | None = None) -> DataFrame:
+                      probs: Sequence[float] = (0.5,), names: Sequence[str] | None = None,
+                      small_domain: bool = False) -> DataFrame:
     """Exact quantiles of ``value`` per key group (NULL values ignored, NULL keys dropped).
 
-    The running count is a window per key over that key's distinct values:
-    its size is the number of distinct values in the group, not its rows.
+    Default: the (key, value) histogram is sorted across partitions and its
+    running count is taken per partition plus a partition offset; a key's
+    start is subtracted afterwards. No task holds a whole group, however many
+    distinct values a hot key has.
+
+    ``small_domain=True`` (for values with a provably small domain, such as
+    distinct counts) uses a window per key over its histogram instead: fewer
+    jobs, and the window holds one row per distinct value of the key.
     """
     names = list(names or [f"q{int(p * 100)}" for p in probs])
     keys = list(keys)
@@ -42,9 +49,16 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     for k in keys:
         base = base.where(F.col(k).isNotNull())
     hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_v")
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    if small_domain:
+        w = Window.partitionBy(*keys).orderBy("_v")
+        hist = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+        return hist.groupBy(*keys).agg(*_pick(probs, names))
+    hist = with_running_sum(hist, [*keys, "_v"], "_c", name="_gcum")
+    base_of = hist.groupBy(*keys).agg(F.min(F.col("_gcum") - F.col("_c")).alias("_base"),
+                                      F.sum("_c").alias("_n"))
+    hist = (hist.join(base_of, keys)
+            .withColumn("_cum", F.col("_gcum") - F.col("_base")))
     return hist.groupBy(*keys).agg(*_pick(probs, names))
 
 

@@ -58,11 +58,22 @@ def level_mean(rows: DataFrame, name: str, value: str = "demand") -> DataFrame:
 
 def prev_period_window_mean(rows: DataFrame, keys: Sequence[str], name: str,
                             value: str = "demand", period_col: str = "period") -> DataFrame:
-    """Train-side equivalent of the shifted join: the log-mean over rows of the
-    same key in exactly the previous period, as a range window."""
+    """Train-side equivalent of the shifted join, as a range window.
+
+    Rows are first reduced to (key, period) sums and counts of log1p(value)
+    (map-side partial aggregation), so the window partition of a key holds at
+    most one row per period however hot the key is. The window takes exactly
+    the previous period (range 1 preceding .. 1 preceding); the result is
+    joined back to the rows on (key, period).
+    """
+    keys = list(keys)
+    lv = F.log1p(F.col(value).cast("double"))
+    per = rows.groupBy(*keys, period_col).agg(F.sum(lv).alias("_s"), F.count(lv).alias("_c"))
     w = (Window.partitionBy(*keys).orderBy(F.col(period_col).cast("long"))
          .rangeBetween(-1, -1))
-    return rows.withColumn(name, F.expm1(F.avg(F.log1p(F.col(value))).over(w)))
+    per = per.select(*keys, period_col,
+                     F.expm1(F.sum("_s").over(w) / F.sum("_c").over(w)).alias(name))
+    return rows.join(per, keys + [period_col], "left")
 
 
 @dataclass

@@ -52,7 +52,7 @@ def count_medians(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
             len(cols), ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols))
         part = counts.selectExpr(stack)
         long = part if long is None else long.unionByName(part)
-    med = grouped_quantiles(long, ["_name"], "_v", [0.5], ["_m"])
+    med = grouped_quantiles(long, ["_name"], "_v", [0.5], ["_m"], small_domain=True)
     return (med.groupBy().pivot("_name", names).agg(F.first("_m"))
             .select(*[F.col(n).alias(f"_med_{n}") for n in names]))
 

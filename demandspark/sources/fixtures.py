@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.session import materialize
 from demandspark.sources.ids import with_consecutive_id
 
 # Fixed values of the fixture recipe (must equal the oracle SQL).
@@ -101,7 +102,9 @@ def _demand(spark: SparkSession, sf_dir: str, with_row_id: bool,
     # columns of the written table (filters on period reach the scan)
     keyed = rows.select(*[F.col(c) for c in LINEITEM_ORDER], *out)
     numbered = with_consecutive_id(keyed, LINEITEM_ORDER, "row_id")
-    return numbered.select("row_id", *names)
+    # the numbered fact table is written once: later scans are plain parquet
+    # with pruning and pushed filters
+    return materialize(numbered.select("row_id", *names), "demand")
 
 
 def split_train_test(rows: DataFrame, split_period: int = SPLIT_PERIOD) -> tuple[DataFrame, DataFrame]:
