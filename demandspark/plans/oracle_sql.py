@@ -289,3 +289,8 @@ ORACLE["blend_pivot"] = with_(
     "d AS (" + _oof_pred("depot_id", "d_", "depot") + ")") + f"""SELECT c.row_id,
   {r6('c.prediction')} AS client, {r6('p.prediction')} AS product, {r6('d.prediction')} AS depot
 FROM c JOIN p ON c.row_id = p.row_id JOIN d ON c.row_id = d.row_id"""
+
+ORACLE["feature_job"] = ORACLE["build_features_test"]
+ORACLE["submission_sink"] = with_(DEMAND, TRAIN, TEST, STATS) + \
+    f"SELECT id, {r6('greatest(lm_prev_client_depot_product, 0)')} AS demand FROM (" + \
+    chain_join("test") + ")"

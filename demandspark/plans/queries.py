@@ -650,3 +650,25 @@ def cv_evaluate(spark, sf):
     rows = FX.demand(spark, sf)
     return J.cv_evaluate(spark, rows, FX.products(spark, sf), FX.locations(spark, sf),
                          n_rows=SAMPLE_ROWS, k=5)
+
+
+@register("feature_job")
+def feature_job(spark, sf):
+    """The feature job end to end: prepared products/locations cached as
+    parquet, train/test features written to the shared folder, test features
+    read back."""
+    train, test = FX.train_test(spark, sf)
+    out = J.create_features(spark, train, test, FX.products(spark, sf), FX.locations(spark, sf))
+    return round_doubles(out.test)
+
+
+@register("submission_sink")
+def submission_sink(spark, sf):
+    """Submission writer: (id, demand >= 0) as CSV, read back with its schema.
+    Predictions are the resolved fallback-chain value of each test row."""
+    from demandspark.sources.schemas import SUBMISSION_SCHEMA
+    train, test = FX.train_test(spark, sf)
+    pred = FE.attach_means(test, TM.mean_stats(train.drop("row_id"))).select(
+        "id", F.col("lm_prev_client_depot_product").alias("prediction"))
+    path = IO.write_submission(pred, shared_dir(spark, "submission"))
+    return round_doubles(IO.read_csv(spark, path, SUBMISSION_SCHEMA))
