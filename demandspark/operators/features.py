@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.joins import left_attach, one_row, small_dimension
+from demandspark.operators.joins import left_attach, small_dimension, with_constants
 from demandspark.operators.target_means import MeanStats, mean_stats
 from demandspark.operators.unique_counts import UNIQUE_SPECS, count_medians, unique_counts
 from demandspark.sources.schemas import (EXTRA_MEAN_FEATURES, KEY_COLUMNS, LOCATION_FEATURES,
@@ -34,7 +34,7 @@ CHAIN = ["lm_global", "lm_client", "lm_client_product", "lm_depot_product",
 
 def attach_means(rows: DataFrame, stats: MeanStats) -> DataFrame:
     """Left-join every statistic and resolve the fallback chain (no NULL left)."""
-    df = rows.crossJoin(one_row(stats.global_mean))
+    df = with_constants(rows, stats.global_mean)
     df = left_attach(df, stats.client, ["client_id"])
     df = left_attach(df, stats.client_product, ["client_id", "product_id"])
     df = left_attach(df, stats.depot_product, ["depot_id", "product_id"])
@@ -81,7 +81,7 @@ def combine(rows: DataFrame, product_feats: DataFrame | None, location_feats: Da
 def fallback_chain(train: DataFrame, rows: DataFrame) -> DataFrame:
     """Minimal slice: the chain g -> c -> cp on ``rows`` from ``train`` statistics."""
     stats = mean_stats(train)
-    df = rows.crossJoin(one_row(stats.global_mean))
+    df = with_constants(rows, stats.global_mean)
     df = left_attach(df, stats.client, ["client_id"])
     df = left_attach(df, stats.client_product, ["client_id", "product_id"])
     c = F.coalesce(F.col("lm_client"), F.col("lm_global"))
@@ -117,8 +117,7 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
     stats = mean_stats(train, label)
     cols = feature_columns(product_feats, location_feats)
     counts = {key: unique_counts(train, key) for key in UNIQUE_SPECS}
-    medians = one_row(count_medians([(counts[k], list(spec)) for k, spec in UNIQUE_SPECS.items()]))
-    globals_ = one_row(stats.global_mean).crossJoin(medians)
+    medians = count_medians([(counts[k], list(spec)) for k, spec in UNIQUE_SPECS.items()])
     how = "left" if keep_unmatched else "inner"
 
     def keyed(dim: DataFrame | None, key: str) -> tuple[DataFrame, str]:
@@ -132,7 +131,7 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
 
     def assemble(rows: DataFrame) -> DataFrame:
         df = rows.join(prod_side, "product_id", prod_how).join(depot_side, "depot_id", depot_how)
-        df = df.crossJoin(globals_)
+        df = with_constants(with_constants(df, stats.global_mean), medians)
         df = left_attach(df, client_side, ["client_id"])
         df = left_attach(df, stats.client_product, ["client_id", "product_id"])
         df = left_attach(df, stats.depot_product, ["depot_id", "product_id"])

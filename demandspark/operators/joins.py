@@ -40,6 +40,15 @@ def one_row(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def with_constants(df: DataFrame, consts: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (global log-mean, medians, row
+    counts...) as constants. The row is packed into one struct and used as a
+    scalar subquery: computed once, embedded in the plan, no join at all."""
+    cols = consts.columns
+    k = consts.select(F.struct(*cols).alias("_k")).scalar()
+    return df.withColumns({c: k.getField(c) for c in cols})
+
+
 def left_attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """rows LEFT JOIN stats USING keys (keys are non-null ids)."""
     return rows.join(stats, list(keys), "left")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.expressions import log_mean, rmsle
+from demandspark.operators.joins import with_constants
 from demandspark.operators.quantiles import median_of
 
 
@@ -21,9 +22,10 @@ def constant_baselines(train: DataFrame, label: str = "demand") -> DataFrame:
     """Score three constant predictions on the training rows: the log-mean,
     the mean and the median of the label (constants attached as a one-row
     broadcast, never collected)."""
-    consts = (train.agg(log_mean(label).alias("c_log_mean"), F.avg(label).alias("c_mean"))
-              .crossJoin(median_of(train, label, "c_median")))
-    scored = train.select(label).crossJoin(F.broadcast(consts))
+    consts = with_constants(
+        train.agg(log_mean(label).alias("c_log_mean"), F.avg(label).alias("c_mean")),
+        median_of(train, label, "c_median"))
+    scored = with_constants(train.select(label), consts)
     return scored.agg(
         F.first("c_log_mean").alias("log_mean"), F.first("c_mean").alias("mean"),
         F.first("c_median").alias("median"),

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.functions.expressions import binarise, cap_label, floor_zero
+from demandspark.operators.joins import with_constants
 
 # The booster parameter map.
 GBT_PARAMS = dict(maxIter=150, maxDepth=4, stepSize=0.01, subsamplingRate=0.7,
@@ -140,7 +141,7 @@ def standard_scale(train: DataFrame, rows: DataFrame, cols: Sequence[str],
     a zero-variance column keeps scale 1 (so it becomes 0, no division error)."""
     stats = train.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                       *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    out = rows.crossJoin(F.broadcast(stats))
+    out = with_constants(rows, stats)
     for c in cols:
         s = F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
         out = out.withColumn(c + suffix, (F.col(c) - F.col(f"_m_{c}")) / s)

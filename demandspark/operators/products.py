@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions import expressions as X
 from demandspark.functions.text import TOKEN_PATTERN, processed_name, tokens
+from demandspark.operators.joins import with_constants
 from demandspark.sources.ids import dense_codes_many
 
 DEFAULT_SEED = 47
@@ -62,8 +63,8 @@ def with_codes(products: DataFrame) -> DataFrame:
 
 def impute_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill NULLs of each column with that column's mean (one-row aggregate)."""
-    means = F.broadcast(df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols]))
-    out = df.crossJoin(means)
+    means = df.agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
+    out = with_constants(df, means)
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_mean_{c}")))
     return out.drop(*[f"_mean_{c}" for c in cols])

@@ -5,41 +5,65 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.expressions import log_mean, null_count
+from demandspark.operators.joins import with_constants
 from demandspark.operators.quantiles import _pick, grouped_quantiles
 from demandspark.sources.ids import with_running_sum
 
 STAT_NAMES = ["count", "sum", "min", "max", "median", "mean"]
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 DESCRIBE_PROBS = [0.25, 0.5, 0.75]
 
 
 def grouped_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """count/sum/min/max/median/mean of each value column per key, named
-    ``{col}_{stat}``. All six come from one (key, value) histogram per column,
-    so a hot key is reduced map-side before the shuffle; the median uses the
-    distributed running count of ``quantiles.grouped_quantiles``."""
+    ``{col}_{stat}``.
+
+    The value columns are stacked to (column, value) and all six statistics
+    come from one (key, column, value) histogram, so a hot key is reduced
+    map-side before the shuffle. The running count for the median is a window
+    per (key, column) over distinct values for integer columns (bounded by the
+    value range) and a distributed sorted running count otherwise: no task
+    holds a whole group.
+    """
     keys = list(keys)
-    out = None
+    stack = "stack({}, {}) as (_col, _v)".format(
+        len(cols), ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols))
+    long = df.selectExpr(*[f"`{k}`" for k in keys], stack).where(F.col("_v").isNotNull())
+    gk = keys + ["_col"]
+    hist = long.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    types = dict(df.dtypes)
+    if all(types[c] in _INTEGRAL for c in cols):
+        # integer values: a key's window holds one row per distinct value
+        w = Window.partitionBy(*gk).orderBy("_v")
+        hist = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
+    else:
+        hist = with_running_sum(hist, [*gk, "_v"], "_c", name="_gcum")
+        base_of = hist.groupBy(*gk).agg(F.min(F.col("_gcum") - F.col("_c")).alias("_base"),
+                                        F.sum("_c").alias("_n"))
+        hist = hist.join(base_of, gk).withColumn("_cum", F.col("_gcum") - F.col("_base"))
+    stats = hist.groupBy(*gk).agg(
+        F.sum("_c").alias("count"),
+        F.sum(F.col("_v") * F.col("_c")).alias("sum"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"),
+        *_pick([0.5], ["median"]),
+        (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"))
+    wide = stats.groupBy(*keys).pivot("_col", list(cols)).agg(
+        *[F.first(s).alias(s) for s in STAT_NAMES])
+    # integer statistics keep integer types (counts and sums of counts)
+    out = []
     for c in cols:
-        base = df.select(*keys, F.col(c).alias("_v")).where(F.col("_v").isNotNull())
-        hist = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-        hist = with_running_sum(hist, [*keys, "_v"], "_c", name="_gcum")
-        base_of = hist.groupBy(*keys).agg(F.min(F.col("_gcum") - F.col("_c")).alias("_base"),
-                                          F.sum("_c").alias("_n"))
-        hist = hist.join(base_of, keys).withColumn("_cum", F.col("_gcum") - F.col("_base"))
-        stats = hist.groupBy(*keys).agg(
-            F.sum("_c").alias(f"{c}_count"),
-            F.sum(F.col("_v") * F.col("_c")).alias(f"{c}_sum"),
-            F.min("_v").alias(f"{c}_min"),
-            F.max("_v").alias(f"{c}_max"),
-            *_pick([0.5], [f"{c}_median"]),
-            (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias(f"{c}_mean"))
-        out = stats if out is None else out.join(stats, keys, "inner")
-    return out
+        for s in STAT_NAMES:
+            e = F.col(f"{c}_{s}")
+            if s == "count" or (s in ("sum", "min", "max") and types[c] in ("int", "bigint", "smallint", "tinyint")):
+                e = e.cast("long")
+            out.append(e.alias(f"{c}_{s}"))
+    return wide.select(*keys, *out)
 
 
 def median_join_back(rows: DataFrame, keys: Sequence[str], value: str = "demand",
@@ -134,4 +158,4 @@ def coverage(test: DataFrame, train: DataFrame, key: str = "product_id") -> Data
     """One row: distinct keys in test, and how many of them are unseen in train."""
     n_test = test.agg(F.count_distinct(key).alias(f"n_test_{key}"))
     n_unseen = unseen(test, train, key).agg(F.count(F.lit(1)).alias(f"n_unseen_{key}"))
-    return n_test.crossJoin(n_unseen)
+    return with_constants(n_test, n_unseen)

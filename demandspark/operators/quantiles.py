@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandspark.operators.joins import with_constants
 from demandspark.sources.ids import with_running_sum
 
 
@@ -31,7 +32,7 @@ def _pick(probs: Sequence[float], names: Sequence[str]):
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                       probs: Sequence[float] = (0.5,), names: Sequence[str] | None = None,
-                      small_domain: bool = False) -> DataFrame:
+                      small_domain: bool | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per key group (NULL values ignored, NULL keys dropped).
 
     Default: the (key, value) histogram is sorted across partitions and its
@@ -39,10 +40,14 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     start is subtracted afterwards. No task holds a whole group, however many
     distinct values a hot key has.
 
-    ``small_domain=True`` (for values with a provably small domain, such as
-    distinct counts) uses a window per key over its histogram instead: fewer
-    jobs, and the window holds one row per distinct value of the key.
+    ``small_domain=True`` uses a window per key over its histogram instead:
+    fewer jobs, and the window holds one row per distinct value of the key
+    (never the key's rows). ``None`` (default) picks it for integer values
+    (units, counts), whose distinct values per key are bounded by the value
+    range, and the distributed form for floating-point values.
     """
+    if small_domain is None:
+        small_domain = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
     names = list(names or [f"q{int(p * 100)}" for p in probs])
     keys = list(keys)
     base = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
@@ -75,7 +80,7 @@ def global_quantiles(df: DataFrame, value: str, probs: Sequence[float] = (0.5,),
             .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")))
     hist = with_running_sum(hist, ["_v"], "_c", name="_cum")
     total = hist.agg(F.sum("_c").alias("_n"))
-    return hist.crossJoin(F.broadcast(total)).agg(*_pick(probs, names))
+    return with_constants(hist, total).agg(*_pick(probs, names))
 
 
 def median_of(df: DataFrame, value: str, name: str = "median") -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.operators.joins import with_constants
 from demandspark.sources.ids import with_consecutive_id
 
 DEFAULT_SEED = 47
@@ -45,7 +46,7 @@ def exact_folds(df: DataFrame, k: int, order: list | None = None, shuffle: bool
         order = [hash_order(id_col, seed), F.col(id_col)] if shuffle else [F.col(id_col)]
     pos = with_position(df, order)
     n = pos.agg(F.count(F.lit(1)).alias("_n"))
-    return (pos.crossJoin(F.broadcast(n))
+    return (with_constants(pos, n)
             .withColumn(name, ntile_of(F.col("_pos"), F.col("_n"), k))
             .drop("_pos", "_n"))
 
@@ -62,7 +63,7 @@ def chunk_ids(df: DataFrame, n_chunks: int, order: list | None = None,
     pos = with_position(df, order or [F.col(id_col)])
     n = pos.agg(F.count(F.lit(1)).alias("_n"))
     size = F.ceil(F.col("_n") / F.lit(n_chunks))
-    return (pos.crossJoin(F.broadcast(n))
+    return (with_constants(pos, n)
             .withColumn(name, F.floor((F.col("_pos") - 1) / size).cast("int"))
             .drop("_pos", "_n"))
 

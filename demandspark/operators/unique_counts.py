@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.joins import left_attach, one_row
+from demandspark.operators.joins import left_attach, with_constants
 from demandspark.operators.quantiles import grouped_quantiles
 
 # key -> {feature name: counted column}. The *_extra entries are the pair the
@@ -65,7 +65,7 @@ def add_unique_features(rows: DataFrame, train: DataFrame) -> DataFrame:
     out = rows
     for (counts, _), key in zip(tables, UNIQUE_SPECS):
         out = left_attach(out, counts, [key])
-    out = out.crossJoin(one_row(medians))
+    out = with_constants(out, medians)
     names = [n for _, cols in tables for n in cols]
     out = out.withColumns({n: F.coalesce(F.col(n).cast("double"), F.col(f"_med_{n}"))
                            for n in names})

@@ -13,6 +13,7 @@ from demandspark.operators import features as FE
 from demandspark.operators import products as PR
 from demandspark.operators import target_means as TM
 from demandspark.operators import unique_counts as UC
+from demandspark.operators.joins import with_constants
 from demandspark.plans.common import round_doubles
 from demandspark.sources import fixtures as FX
 
@@ -206,7 +207,7 @@ def returns_style_mean(spark, sf):
     test = rows.where(F.col("period") >= FX.SPLIT_PERIOD).withColumnRenamed("row_id", "id")
     by_client = TM.target_mean(train, ["client_id"], "lm_returns_client", value="returns")
     g = TM.global_log_mean(train, "returns", "lm_returns_global")
-    out = test.join(by_client, "client_id", "left").crossJoin(F.broadcast(g))
+    out = with_constants(test.join(by_client, "client_id", "left"), g)
     return round_doubles(out.select(
         "id", F.coalesce("lm_returns_client", "lm_returns_global").alias("lm_returns_client")))
 
@@ -231,7 +232,7 @@ def agency_means_joined(spark, sf):
     g = TM.global_log_mean(train)
     d = TM.level_mean(train, "lm_depot")
     wd = TM.level_mean(train, "lm_prev_depot")
-    out = (test.crossJoin(F.broadcast(g)).join(d, "depot_id", "left")
+    out = (with_constants(test, g).join(d, "depot_id", "left")
            .join(wd, ["period", "depot_id"], "left"))
     dep = F.coalesce("lm_depot", "lm_global")
     return round_doubles(out.select("id", dep.alias("lm_depot"),
@@ -446,10 +447,10 @@ def split_union(spark, sf):
 def holdout_split(spark, sf):
     t = _train(spark, sf, with_row_id=True)
     a, b = SP.holdout_split(t)
-    return (t.agg(F.count(F.lit(1)).alias("n_rows"))
-            .crossJoin(a.agg(F.count(F.lit(1)).alias("_a")))
-            .crossJoin(b.agg(F.count(F.lit(1)).alias("_b")))
-            .select("n_rows", (F.col("_a") + F.col("_b")).alias("n_split")))
+    n = t.agg(F.count(F.lit(1)).alias("n_rows"))
+    n = with_constants(with_constants(n, a.agg(F.count(F.lit(1)).alias("_a"))),
+                       b.agg(F.count(F.lit(1)).alias("_b")))
+    return n.select("n_rows", (F.col("_a") + F.col("_b")).alias("n_split"))
 
 
 @register("shuffle_rows")
@@ -581,7 +582,7 @@ def importance_share(spark, sf):
     from pyspark.sql import Window
     counts = _train(spark, sf).groupBy("channel_id").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("_t"))
-    return (counts.crossJoin(F.broadcast(total))
+    return (with_constants(counts, total)
             .select(F.col("channel_id").alias("feature"), (F.col("n") / F.col("_t")).alias("fscore"))
             .withColumn("rank", F.row_number().over(Window.orderBy("fscore", "feature")).cast("int")))
 

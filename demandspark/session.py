@@ -47,6 +47,15 @@ def get_session(master: str | None = None, app: str = "demandspark",
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings and the checkpoint folder to a session
+    built elsewhere (e.g. by spark-submit or a test driver)."""
+    for k, v in SCALE_CONF.items():
+        spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
