@@ -46,7 +46,9 @@ def with_constants(df: DataFrame, consts: DataFrame) -> DataFrame:
     scalar subquery: computed once, embedded in the plan, no join at all."""
     cols = consts.columns
     k = consts.select(F.struct(*cols).alias("_k")).scalar()
-    return df.withColumns({c: k.getField(c) for c in cols})
+    # one subquery: the struct is embedded once, fields read from the column
+    with_k = df.withColumn("_consts", k)
+    return with_k.withColumns({c: F.col("_consts").getField(c) for c in cols}).drop("_consts")
 
 
 def left_attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -625,8 +625,7 @@ def _stack(spark, sf):
         cols = model_features()
         est = ST.base_models(num_trees=5)
         oof, tst = J.stack_phase_one(tr, te, cols, n_chunks=2, k=3, estimators=est)
-        _FEATURE_MEMO[key] = (materialize(oof, "stack-oof"), materialize(tst, "stack-test"), tr,
-                              list(est))
+        _FEATURE_MEMO[key] = (oof, tst, tr, list(est))
     return _FEATURE_MEMO[key]
 
 
