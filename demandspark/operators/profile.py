@@ -60,8 +60,10 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Da
     for c in cols:
         for s in STAT_NAMES:
             e = F.col(f"{c}_{s}")
-            if s == "count" or (s in ("sum", "min", "max") and types[c] in ("int", "bigint", "smallint", "tinyint")):
+            if s == "count" or (s == "sum" and types[c] in _INTEGRAL):
                 e = e.cast("long")
+            elif s in ("min", "max") and types[c] in _INTEGRAL:
+                e = e.cast(types[c])  # min/max keep the column's own type
             out.append(e.alias(f"{c}_{s}"))
     return wide.select(*keys, *out)
 

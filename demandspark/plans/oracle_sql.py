@@ -228,7 +228,8 @@ ORACLE["split_union"] = with_(DEMAND, TRAIN) + \
 ORACLE["holdout_split"] = with_(DEMAND, TRAIN) + \
     "SELECT count(*) AS n_rows, count(*) AS n_split FROM train"
 ORACLE["shuffle_rows"] = with_(DEMAND, TRAIN) + """SELECT count(*) AS n_rows,
-  count(*) AS n_positions, 1 AS min_pos, count(*) AS max_pos, sum(row_id) AS sum_ids FROM train"""
+  count(*) AS n_positions, CAST(1 AS BIGINT) AS min_pos, count(*) AS max_pos,
+  CAST(sum(row_id) AS BIGINT) AS sum_ids FROM train"""
 ORACLE["exact_sample"] = with_(DEMAND, TRAIN) + \
     "SELECT least(count(*), 10000) AS n_rows, least(count(*), 10000) AS n_ids FROM train"
 

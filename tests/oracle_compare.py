@@ -58,3 +58,19 @@ def compare(spark_df, sql: str, sf_dir: str) -> tuple[bool, str]:
         diff = [(a, b) for a, b in zip(rs, rd) if a != b][:3]
         return False, f"values differ, first: {diff}"
     return True, f"ok ({len(s)} rows)"
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "smallint": "SMALLINT", "float": "FLOAT", "boolean": "BOOLEAN"}
+
+
+def type_diffs(spark_df, sql: str, sf_dir: str) -> list[tuple]:
+    """Columns whose Spark type differs from the DuckDB result type."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    rel = con.sql(sql)
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    s = dict(spark_df.dtypes)
+    return [(c, s.get(c), d.get(c)) for c in sorted(set(s) | set(d))
+            if SPARK_TO_DUCK.get(s.get(c), s.get(c)) != d.get(c)]

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from oracle_compare import compare
+from oracle_compare import compare, type_diffs
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -28,8 +28,10 @@ def test_every_query_has_oracle_or_is_model():
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_oracle(spark, key):
-    ok, msg = compare(QUERIES[key](spark, SF_SMALL), ORACLE[key], SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
+    ok, msg = compare(df, ORACLE[key], SF_SMALL)
     assert ok, msg
+    assert not type_diffs(df, ORACLE[key], SF_SMALL)
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE) - SLOW_ROWS_ONLY))
