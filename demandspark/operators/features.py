@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.operators.joins import left_attach, small_dimension, with_constants
+from demandspark.session import materialize
 from demandspark.operators.target_means import MeanStats, mean_stats
 from demandspark.operators.unique_counts import UNIQUE_SPECS, count_medians, unique_counts
 from demandspark.sources.schemas import (EXTRA_MEAN_FEATURES, KEY_COLUMNS, LOCATION_FEATURES,
@@ -101,7 +102,8 @@ def feature_columns(product_feats: DataFrame | None, location_feats: DataFrame |
 
 def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame | None,
                    location_feats: DataFrame | None, keep_unmatched: bool = False,
-                   label: str = "demand") -> tuple[DataFrame, DataFrame]:
+                   label: str = "demand", materialize_stats: bool = False
+                   ) -> tuple[DataFrame, DataFrame]:
     """Train and test feature tables; every statistic comes from ``train`` only.
 
     Train rows keep ``row_id`` and the label; test rows keep ``id``. On train
@@ -113,11 +115,20 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
     product dimension, per-depot counts on the location dimension (both
     broadcast behind a row-count check), per-client counts on the client
     log-mean table.
+
+    ``materialize_stats`` (for jobs that write both sides) writes every
+    statistic table once to the shared folder, so the train scan and its
+    aggregations run once for both the train and the test output.
     """
     stats = mean_stats(train, label)
     cols = feature_columns(product_feats, location_feats)
     counts = {key: unique_counts(train, key) for key in UNIQUE_SPECS}
     medians = count_medians([(counts[k], list(spec)) for k, spec in UNIQUE_SPECS.items()])
+    if materialize_stats:
+        stats = MeanStats(**{f: materialize(getattr(stats, f), f"stat-{f}")
+                             for f in stats.__dataclass_fields__})
+        counts = {k: materialize(v, f"counts-{k}") for k, v in counts.items()}
+        medians = materialize(medians, "count-medians")
     how = "left" if keep_unmatched else "inner"
 
     def keyed(dim: DataFrame | None, key: str) -> tuple[DataFrame, str]:

@@ -502,7 +502,7 @@ def _feature_tables(spark, sf, cluster=None):
         prods = PR.product_features(PR.prepare_products(FX.products(spark, sf), cluster=cluster,
                                                         max_iter=10))
         locs = PR.location_features(PR.prepare_locations(FX.locations(spark, sf)))
-        tr, te = FE.build_features(train, test, prods, locs)
+        tr, te = FE.build_features(train, test, prods, locs, materialize_stats=True)
         _FEATURE_MEMO[key] = (materialize(tr, "train-features"), materialize(te, "test-features"))
     return _FEATURE_MEMO[key]
 
