@@ -35,11 +35,6 @@ def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return broadcast_if_small(written, max_rows)
 
 
-def one_row(df: DataFrame) -> DataFrame:
-    """A one-row aggregate (global constants): always broadcast."""
-    return F.broadcast(df)
-
-
 def with_constants(df: DataFrame, consts: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (global log-mean, medians, row
     counts...) as constants. The row is packed into one struct and used as a
@@ -54,15 +49,3 @@ def with_constants(df: DataFrame, consts: DataFrame) -> DataFrame:
 def left_attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """rows LEFT JOIN stats USING keys (keys are non-null ids)."""
     return rows.join(stats, list(keys), "left")
-
-
-def null_safe_natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Join on every shared column, NULL matching NULL (pandas merge default)."""
-    shared = [c for c in left.columns if c in right.columns]
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns])
-    cond = None
-    for c in shared:
-        e = left[c].eqNullSafe(r[f"_r_{c}"])
-        cond = e if cond is None else cond & e
-    extra = [F.col(f"_r_{c}").alias(c) for c in right.columns if c not in shared]
-    return left.join(r, cond, "inner").select(*[left[c] for c in left.columns], *extra)

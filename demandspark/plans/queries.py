@@ -16,6 +16,7 @@ from demandspark.operators import unique_counts as UC
 from demandspark.operators.joins import with_constants
 from demandspark.plans.common import round_doubles
 from demandspark.sources import fixtures as FX
+from demandspark.sources import io as IO
 
 QUERIES: dict = {}
 
@@ -46,7 +47,7 @@ def pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("head_rows")
 def head_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return FX.demand(spark, sf).orderBy("row_id").limit(20)
+    return IO.first_rows(FX.demand(spark, sf), 20, ["row_id"])
 
 
 # ---------------------------------------------------------------- log-means
@@ -164,7 +165,6 @@ from demandspark.operators import splits as SP  # noqa: E402
 from demandspark.operators import stacking as ST  # noqa: E402
 from demandspark.plans import jobs as J  # noqa: E402
 from demandspark.session import materialize, shared_dir  # noqa: E402
-from demandspark.sources import io as IO  # noqa: E402
 from demandspark.sources.schemas import DEMAND_SCHEMA, model_features  # noqa: E402
 
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",

@@ -64,17 +64,6 @@ def with_running_sum(df: DataFrame, order: Sequence[str | Column], weight: str,
             .select(*cols, (F.col("_off") + F.col("_local")).alias(name)))
 
 
-def dense_codes(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Dictionary (value, code): sorted distinct values get 0..n-1, NULL gets n.
-
-    The distinct values are numbered with the distributed numbering above, so
-    no single task holds the dictionary.
-    """
-    distinct = df.select(col).distinct()
-    return with_consecutive_id(distinct, [F.col(col).asc_nulls_last()], name=name, start=0) \
-        .withColumn(name, F.col(name).cast("int"))
-
-
 def dense_codes_many(df: DataFrame, cols: dict[str, str]) -> dict[str, DataFrame]:
     """Dictionaries for several columns from one distributed numbering.
 

@@ -178,3 +178,10 @@ def test_oof_mean_excludes_own_fold(spark):
     from demandspark.operators import stacking as ST
     got = {r.row_id: r.prediction for r in ST.oof_group_mean(train, ["client_id"], 2, "c").collect()}
     assert abs(got[1] - 7.0) < 1e-12 and abs(got[2] - 3.0) < 1e-12
+
+
+def test_rmsle_evaluator(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (-1.0, 0.0)], "prediction double, label double")
+    ev = ME.RmsleEvaluator()
+    exp = math.sqrt(((math.log(2) - math.log(3)) ** 2 + 0.0) / 2)
+    assert abs(ev.evaluate(df) - exp) < 1e-12 and not ev.isLargerBetter()
