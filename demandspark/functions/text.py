@@ -56,3 +56,12 @@ def tokens(text: str | Column) -> Column:
     """Tokens of two or more word characters (the bag-of-words tokenizer)."""
     t = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(F.lower(t), F.lit(r"(\w\w+)"), 1)
+
+
+def drop_stop_words(df, tokens_col: str, out_col: str):
+    """Remove Spanish stop words from an array column with Spark ML's
+    StopWordsRemover (hash-set lookup per token in the JVM; order and
+    repeated words are kept)."""
+    from pyspark.ml.feature import StopWordsRemover
+    return StopWordsRemover(inputCol=tokens_col, outputCol=out_col,
+                            stopWords=list(spanish_stop_words()), caseSensitive=True).transform(df)

@@ -157,7 +157,7 @@ def location_encoded(spark, sf):
 # ---------------------------------------------------------------- scans and sinks
 
 from demandspark.functions import expressions as X  # noqa: E402
-from demandspark.functions.text import processed_name, stem, spanish_stop_words, tokens  # noqa: E402
+from demandspark.functions.text import drop_stop_words, processed_name, stem, tokens  # noqa: E402
 from demandspark.operators import metrics as ME  # noqa: E402
 from demandspark.operators import models as M  # noqa: E402
 from demandspark.operators import profile as PF  # noqa: E402
@@ -287,10 +287,9 @@ def bag_of_words(spark, sf):
 def document_words(spark, sf):
     """Whole Spanish documents: word tokens, stop words dropped, stemmed;
     (token, doc_freq) for tokens in at least two documents."""
-    docs = FX.spanish_documents(spark, sf)
-    stops = F.array(*[F.lit(w) for w in spanish_stop_words()])
-    kept = F.transform(F.filter(tokens("text"), lambda w: ~F.array_contains(stops, w)), stem)
-    t = docs.select("doc_id", F.explode(F.array_distinct(kept)).alias("token"))
+    docs = FX.spanish_documents(spark, sf).select("doc_id", tokens("text").alias("_tokens"))
+    kept = drop_stop_words(docs, "_tokens", "_kept")
+    t = kept.select("doc_id", F.explode(F.array_distinct(F.transform("_kept", stem))).alias("token"))
     return (t.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
             .where(F.col("doc_freq") >= 2))
 
