@@ -32,6 +32,9 @@ def test_oracle(spark, key):
     ok, msg = compare(df, ORACLE[key], SF_SMALL)
     assert ok, msg
     assert not type_diffs(df, ORACLE[key], SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, node
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE) - SLOW_ROWS_ONLY))

@@ -185,3 +185,22 @@ def test_rmsle_evaluator(spark):
     ev = ME.RmsleEvaluator()
     exp = math.sqrt(((math.log(2) - math.log(3)) ** 2 + 0.0) / 2)
     assert abs(ev.evaluate(df) - exp) < 1e-12 and not ev.isLargerBetter()
+
+
+def test_unmatched_dimension_rows(spark):
+    train = spark.createDataFrame(
+        [(1, 1, 1, 10, 100, 1, 5)],
+        "row_id long, period int, depot_id long, channel_id int, client_id long, product_id long, demand int")
+    train = train.withColumn("route_id", F.lit(1).cast("long"))
+    test = spark.createDataFrame([(7, 2, 1, 1, 10, 100, 1), (8, 2, 1, 1, 10, 999, 1)],
+                                 "id long, period int, depot_id long, channel_id int, client_id long, "
+                                 "product_id long, route_id long")
+    prods = spark.createDataFrame([(100, 5.0, 0, 1.0, 0)],
+                                  "product_id long, weight double, brand_code int, pieces double, "
+                                  "short_name_code int")
+    locs = spark.createDataFrame([(1, 0, 0)], "depot_id long, town_state_code int, state_code int")
+    _, inner = FE.build_features(train, test, prods, locs)
+    assert [r.id for r in inner.collect()] == [7]
+    _, left = FE.build_features(train, test, prods, locs, keep_unmatched=True)
+    got = {r.id: r for r in left.collect()}
+    assert set(got) == {7, 8} and got[8].weight is None and got[8].lm_client == got[7].lm_client
