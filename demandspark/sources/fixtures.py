@@ -52,6 +52,17 @@ def demand(spark: SparkSession, sf_dir: str, with_row_id: bool = True,
     written once to the checkpoint folder and reused)."""
     if not with_row_id:
         return _demand(spark, sf_dir, False, dense, with_returns)
+    if dense and not with_returns:
+        # same rows and ids as the numbered table: swap the keys by joining the
+        # supplier and part dimensions (no second numbering)
+        base = demand(spark, sf_dir, with_row_id=True)
+        sup = table(spark, sf_dir, "supplier").select(
+            F.col("s_suppkey").alias("depot_id"), F.col("s_nationkey").alias("_nation"))
+        part = table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("_brand"))
+        return (base.join(sup, "depot_id").join(part, "product_id")
+                .select("row_id", "period", F.col("_nation").alias("depot_id"), "channel_id",
+                        "route_id", "client_id", F.col("_brand").alias("product_id"), "demand"))
     key = (id(spark), spark.conf.get("spark.checkpoint.dir", ""), sf_dir, dense, with_returns)
     if key not in _MEMO:
         _MEMO[key] = _demand(spark, sf_dir, True, dense, with_returns)
