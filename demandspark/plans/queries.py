@@ -593,8 +593,9 @@ OOF_FOLDS = 5
 
 
 def _folded_train(spark, sf):
+    """Train rows with exact folds, written once: every fold model reads it."""
     t = _train(spark, sf, with_row_id=True)
-    return SP.exact_folds(t, OOF_FOLDS, order=[F.col("row_id")])
+    return materialize(SP.exact_folds(t, OOF_FOLDS, order=[F.col("row_id")]), "folds")
 
 
 @register("oof_group_mean")
