@@ -495,7 +495,7 @@ def ols_one_feature(spark, sf):
 
 
 def _feature_tables(spark, sf, cluster=None):
-    key = ("features", id(spark), sf, cluster)
+    key = ("features", spark.sparkContext.applicationId, sf, cluster)
     if key not in _FEATURE_MEMO:
         train, test = FX.train_test(spark, sf)
         prods = PR.product_features(PR.prepare_products(FX.products(spark, sf), cluster=cluster,
@@ -619,7 +619,7 @@ def blend_pivot(spark, sf):
 
 
 def _stack(spark, sf):
-    key = ("stack", id(spark), sf)
+    key = ("stack", spark.sparkContext.applicationId, sf)
     if key not in _FEATURE_MEMO:
         tr, te = _feature_tables(spark, sf)
         cols = model_features()

@@ -63,7 +63,8 @@ def demand(spark: SparkSession, sf_dir: str, with_row_id: bool = True,
         return (base.join(sup, "depot_id").join(part, "product_id")
                 .select("row_id", "period", F.col("_nation").alias("depot_id"), "channel_id",
                         "route_id", "client_id", F.col("_brand").alias("product_id"), "demand"))
-    key = (id(spark), spark.conf.get("spark.checkpoint.dir", ""), sf_dir, dense, with_returns)
+    key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""), sf_dir,
+           dense, with_returns)
     if key not in _MEMO:
         _MEMO[key] = _demand(spark, sf_dir, True, dense, with_returns)
     return _MEMO[key]
