@@ -1,17 +1,14 @@
 """Word processing of product names as array expressions (no Python UDF).
 
 lower -> split on whitespace -> drop Spanish stop words -> strip one suffix ->
-join with blanks. The stop words are Spark's own Spanish list, read from the
-Spark ML jar that ships with pyspark, so the same list serves the Spark job and
-the SQL oracle.
+join with blanks. The stop words equal Spark ML's Spanish list; they are stated
+here, so importing the package reads no jar and the same list serves the Spark
+job and the SQL oracle.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,13 +24,55 @@ STEM_PATTERN = "^(.{%d,}?)(%s)$" % (STEM_MIN, "|".join(SUFFIXES))
 TOKEN_PATTERN = r"\b\w\w+\b"   # word tokens of two or more word characters
 
 
+# Spanish stop words that are not verb forms built by a rule below.
+STOP_WORDS = """
+de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este
+sí porque esta entre cuando muy sin sobre también me hasta hay donde quien desde todo nos durante
+todos uno les ni contra otros ese eso ante ellos e esto mí antes algunos qué unos yo otro otras
+otra él tanto esa estos mucho quienes nada muchos cual poco ella estar estas algunas algo nosotros
+mi mis tú te ti tu tus ellas nosotras vosostros vosostras os nuestro nuestra nuestros nuestras
+vuestro vuestra vuestros vuestras esos esas estoy estás está estamos estáis están esté estés
+estemos estéis estén estad he has ha hemos habéis han soy eres es somos sois son era eras éramos
+erais eran fui fuiste fue fuimos fuisteis fueron siente sentid tengo tienes tiene tenemos tenéis
+tienen tened
+""".split()
+
+# Endings by tense; stems of ser, estar, haber, tener that take them.
+_FUTURE = ["é", "ás", "á", "emos", "éis", "án"]
+_IMPERFECT = ["ía", "ías", "íamos", "íais", "ían"]
+_PRESENT_SUBJUNCTIVE = ["a", "as", "amos", "áis", "an"]
+_PRETERITE = ["e", "iste", "o", "imos", "isteis", "ieron"]
+_AGREEMENT = ["o", "a", "os", "as"]
+
+
+def _past_subjunctive(third_person: str) -> list[str]:
+    """Forms in -ra and -se from the stem before -ron (estuvie-, fue-...)."""
+    accented = third_person[:-1] + "é"
+    return [(accented if end.endswith("mos") else third_person) + end
+            for t in ("ra", "se")
+            for end in (t, t + "s", t + "mos", t + "is", t + "n")]
+
+
+def _verb_forms() -> list[str]:
+    out = []
+    for stem_ in ("estar", "habr", "ser", "tendr"):
+        out += [stem_ + e for e in _FUTURE + _IMPERFECT]
+    out += ["estab" + e for e in ("a", "as", "ais", "an")] + ["estábamos"]
+    out += [stem_ + e for stem_ in ("hab", "ten") for e in _IMPERFECT]
+    out += [stem_ + e for stem_ in ("hay", "se", "teng") for e in _PRESENT_SUBJUNCTIVE]
+    out += [stem_ + e for stem_ in ("estuv", "hub", "tuv") for e in _PRETERITE]
+    for third in ("estuvie", "hubie", "fue", "tuvie"):
+        out += _past_subjunctive(third)
+    out += ["estando", "habiendo", "sintiendo", "teniendo"]
+    out += [stem_ + e for stem_ in ("estad", "habid", "sentid", "tenid", "mí", "tuy", "suy")
+            for e in _AGREEMENT]
+    return out
+
+
 @functools.lru_cache(maxsize=None)
 def spanish_stop_words() -> tuple[str, ...]:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/spanish.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+    """The 313 words of Spark ML's Spanish list: fixed words plus verb forms by rule."""
+    return tuple(dict.fromkeys(STOP_WORDS + _verb_forms()))
 
 
 def stem(word: Column) -> Column:
