@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -49,9 +52,12 @@ def get_session(master: str | None = None, app: str = "demandspark",
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings and the checkpoint folder to a session
-    built elsewhere (e.g. by spark-submit or a test driver)."""
+    built elsewhere (e.g. by spark-submit or a test driver). Settings that the
+    cluster chose itself stay."""
+    chosen = spark.sparkContext.getConf()
     for k, v in SCALE_CONF.items():
-        spark.conf.set(k, v)
+        if not chosen.contains(k):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -60,15 +66,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a folder every executor can reach; it is
-    read from the session. Only when it is unset (local tests) do we create
-    one under the system temp folder.
+    read from the session. Only a ``local`` master without the setting (tests)
+    gets a folder under the system temp folder, which goes when the process
+    ends; on a cluster a missing setting is an error, as files in one machine's
+    folder are lost to the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master is {master})")
         d = tempfile.mkdtemp(prefix="demandspark-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
