@@ -6,7 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import read_table
+from demandspark.llm.packing import pack_documents
 from demandspark.llm.suffix_dedup import remove_repeats
+from demandspark.llm.token_files import read_checksums, write_token_files
+from demandspark.llm.tokens import tokenizer_text
+from demandspark.session import shared_dir
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_text(), capacity=2048, end_id=0)
+    return out.withColumn("length", F.col("length").cast("long"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer_text(), end_id=1)
+    return read_checksums(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +31,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
