@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import read_table
+from demandspark.llm.decontaminate import find_contamination
+from demandspark.llm.language_id import fit, held_out, identify
+from demandspark.llm.line_dedup import dedup_lines
 from demandspark.llm.packing import pack_documents
 from demandspark.llm.suffix_dedup import remove_repeats
 from demandspark.llm.token_files import read_checksums, write_token_files
@@ -13,11 +16,56 @@ from demandspark.llm.tokens import tokenizer_text
 from demandspark.session import shared_dir
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = find_contamination(docs, read_table(spark, sf_dir, "benchmark"), min_match=5, coverage=0.5)
+    return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"),
+                      F.coalesce(F.array_max("matches.coverage"), F.lit(0.0)).alias("coverage"),
+                      F.array_sort("matches.item_id").alias("item_ids"), "matches")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, min_lines=3)
+
+
+OP2_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+runs AS (
+  SELECT doc_id, i, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS n
+    FROM runs WHERE c IS NOT NULL) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest(range(3)) AS k)),
+marked AS (
+  SELECT l.doc_id, l.i, l.line, g.i IS NOT NULL AS g,
+         lag(g.i IS NOT NULL) OVER (PARTITION BY l.doc_id ORDER BY l.i) AS before
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i)
+SELECT d.doc_id,
+       CASE WHEN d.text IS NOT NULL
+            THEN coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT g), '') END AS text,
+       count(*) AS n_lines, count(*) FILTER (WHERE g) AS n_removed,
+       count(*) FILTER (WHERE g AND NOT coalesce(before, false)) AS n_runs
+FROM marked m JOIN documents d ON d.doc_id = m.doc_id
+GROUP BY d.doc_id, d.text"""
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_text(), capacity=2048, end_id=0)
     return out.withColumn("length", F.col("length").cast("long"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out()).select("text", "lang"))
+    out = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score", "spans")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer_text(), end_id=1)
@@ -31,10 +79,15 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_line_dedup": op2_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_language_id": op6_language_id,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}
