@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.llm.chat_format import format_conversations, read_loss, read_turns
 from demandspark.llm.common import read_table
 from demandspark.llm.decontaminate import find_contamination
 from demandspark.llm.language_id import fit, held_out, identify
+from demandspark.llm.license_scan import scan
 from demandspark.llm.line_dedup import dedup_lines
 from demandspark.llm.packing import pack_documents
+from demandspark.llm.quality_rules import BOILERPLATE, NAVIGATION, clean_documents
 from demandspark.llm.suffix_dedup import remove_repeats
 from demandspark.llm.token_files import read_checksums, write_token_files
 from demandspark.llm.tokens import tokenizer_text
@@ -54,6 +57,88 @@ FROM marked m JOIN documents d ON d.doc_id = m.doc_id
 GROUP BY d.doc_id, d.text"""
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clean_documents(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "n_lines_removed", F.char_length("text").cast("long").alias("clean_chars"))
+
+
+OP4_SQL = """
+WITH t AS (SELECT doc_id, text, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, string_split(t, chr(10)) AS lines
+  FROM t),
+full_lines AS (
+  SELECT doc_id, list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS f FROM w),
+pos AS (SELECT doc_id, words, unnest(range(len(words) - 2)) AS i FROM w WHERE len(words) > 2),
+win AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i + 1], words[i + 2], words[i + 3]) AS c FROM pos),
+rep AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM win, (SELECT unnest(range(3)) AS k) WHERE c > 1 GROUP BY doc_id),
+passed AS (
+  SELECT doc_id, list_filter(lines, lambda x: NOT (
+    100 * len(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) > 10 * len(regexp_replace(x, '[\\x20\\x09-\\x0D]', '', 'g'))
+    OR 100 * len(regexp_replace(x, '[^!]', '', 'g')) > 10 * len(regexp_replace(x, '[\\x20\\x09-\\x0D]', '', 'g'))
+    OR regexp_matches(x, '@NAVIGATION@') OR regexp_matches(x, '@BOILERPLATE@'))) AS p
+  FROM w),
+m AS (
+  SELECT w.doc_id, text, len(words) AS n_words,
+         len(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+         len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(f) - len(list_distinct(f)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         len(lines) - len(p) AS n_lines_removed, array_to_string(p, chr(10)) AS clean,
+         len(words) < 50 OR 100 * coalesce(n, 0) > 50 * len(words) AS base_failed
+  FROM w JOIN full_lines USING (doc_id) JOIN passed USING (doc_id) LEFT JOIN rep USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * (word_chars - len(regexp_replace(clean, '[\\x20\\x09-\\x0D]', '', 'g')))
+         <= 50 * word_chars AS kept,
+       n_lines_removed, CASE WHEN text IS NOT NULL THEN len(clean) END AS clean_chars
+FROM m""".replace("@NAVIGATION@", NAVIGATION).replace("@BOILERPLATE@", BOILERPLATE)
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    out = format_conversations(rows.unionByName(probe))
+    read = out.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"),
+                      read_loss(F.col("segments")).alias("loss"))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(joined, 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("long").alias("loss_chars"),
+                       F.sha2("loss", 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+OP7_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]'
+  FROM (SELECT unnest([0, 1]) AS k)),
+e AS (
+  SELECT *, replace(replace(text, '&', '&amp;'), '<', '&lt;') AS body,
+         replace(replace(role, '&', '&amp;'), '<', '&lt;') AS head,
+         regexp_extract_all(text, '!\\[(image|audio|document)\\]\\([^()\\s]*\\)') AS parts
+  FROM rows),
+f AS (
+  -- a placeholder is 7 characters longer than the part it stands for
+  SELECT *, len('<|turn|><|text|><|end|>') + len(head) + len(body) + 7 * len(parts) AS size FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_text(), capacity=2048, end_id=0)
     return out.withColumn("length", F.col("length").cast("long"))
@@ -81,6 +166,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op4_quality_rules": op4_quality_rules,
+    "op7_chat_format": op7_chat_format,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op9_token_files": op9_token_files,
@@ -90,4 +178,6 @@ QUERIES = {
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op4_quality_rules": OP4_SQL,
+    "op7_chat_format": OP7_SQL,
 }
