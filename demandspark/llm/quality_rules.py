@@ -23,10 +23,14 @@ WHITE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Line rules: a line that contains a match is removed.
+#: Each match holds one of KEYWORDS in small letters.
 NAVIGATION = "(?i)(^|[\\x20\\x09-\\x0D])(home|menu|login|log in|sign in|sign up|next|previous|search|share)" \
              "[\\x20\\x09-\\x0D]*([|>»/·]|$)"
 BOILERPLATE = "(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses cookies|" \
               "enable javascript|lorem ipsum|click here|read more|subscribe to our|powered by)"
+KEYWORDS = ("home", "menu", "log", "sign ", "next", "previous", "search", "share", "rights reserved", "terms of ",
+            "privacy policy", "cookie", "enable javascript", "lorem ipsum", "click here", "read more", "subscribe to",
+            "powered by")
 
 
 def without(text: Column, characters: str) -> Column:
@@ -51,11 +55,28 @@ def line_fails(line: Column) -> Column:
             | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE))
 
 
+def has_any(text: Column, parts) -> Column:
+    out = F.lit(False)
+    for part in parts:
+        out = out | F.contains(text, F.lit(part))
+    return out
+
+
+def may_fail(text: Column) -> Column:
+    """False only if no line of ``text`` can fail: substring tests, far cheaper than the rules."""
+    small = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return has_any(text, "!" + SYMBOLS) | has_any(small, KEYWORDS)
+
+
 def repeated_words(words: Column) -> Column:
     """Words covered by 3-word windows that occur twice or more in the text.
 
     The windows' hashes are sorted with their positions, so equal windows are
     neighbours; n log n for a text of n words."""
+    return F.transform(F.array(words), _repeated)[0]   # bound once: each window reads it
+
+
+def _repeated(words: Column) -> Column:
     n = F.size(words)
     windows = F.transform(F.sequence(F.lit(0), n - 3),
                           lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1),
@@ -92,22 +113,24 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     """
     t = full_text()
     base = docs.select("doc_id", "text", t.alias("_t"), words_of(t).alias("_words"),
-                       F.split(t, "\n").alias("_lines"))
+                       F.split(t, "\n").alias("_lines"), may_fail(t).alias("_check"))
     measured = base.select(
-        "doc_id", "text", "_lines", F.size("_words").cast("long").alias("n_words"),
-        F.char_length(without(F.col("_t"), WHITE)).cast("long").alias("word_chars"),
-        count_of(F.col("_t"), SYMBOLS).cast("long").alias("n_symbols"),
+        "doc_id", "text", "_lines", "_check", F.size("_words").cast("long").alias("n_words"),
+        F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.when(has_any(F.col("_t"), SYMBOLS), count_of(F.col("_t"), SYMBOLS)).otherwise(0).cast("long")
+        .alias("n_symbols"),
         F.filter("_lines", lambda x: without(x, WHITE) != "").alias("_full"),
         repeated_words(F.col("_words")).alias("n_repeat_words"))
-    # a line passes or fails once; the text is put together from those that pass
     judged = measured.select(
         "*", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        F.filter("_lines", lambda x: ~line_fails(x)).alias("_passed"))
+        F.when(F.col("_check"), F.filter("_lines", lambda x: ~line_fails(x))).otherwise(F.col("_lines"))
+        .alias("_passed"))
+    cut = F.size("_passed") < F.size("_lines")
     cleaned = judged.select(
-        "*", F.when(F.col("text").isNotNull(), F.array_join("_passed", "\n")).alias("_clean"),
-        ((F.col("n_words") < MIN_WORDS)
-         | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)).alias("base_failed"))
-    left = F.char_length(without(F.coalesce(F.col("_clean"), F.lit("")), WHITE))
+        "*", F.when(cut, F.array_join("_passed", "\n")).otherwise(F.col("text")).alias("_clean"),
+        cut.alias("_cut"), ((F.col("n_words") < MIN_WORDS)
+                            | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)).alias("base_failed"))
+    left = F.when(F.col("_cut"), F.char_length(without(F.col("_clean"), WHITE))).otherwise(F.col("word_chars"))
     return cleaned.select(
         "doc_id", F.col("_clean").alias("text"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", (F.size("_lines") - F.size("_passed")).cast("long").alias("n_lines_removed"),
