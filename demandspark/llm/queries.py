@@ -11,6 +11,7 @@ from demandspark.llm.decontaminate import find_contamination
 from demandspark.llm.language_id import fit, held_out, identify
 from demandspark.llm.license_scan import scan
 from demandspark.llm.line_dedup import dedup_lines
+from demandspark.llm.ngram_join import near_duplicates
 from demandspark.llm.packing import pack_documents
 from demandspark.llm.quality_rules import BOILERPLATE, NAVIGATION, clean_documents
 from demandspark.llm.suffix_dedup import remove_repeats
@@ -151,6 +152,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "spans")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(read_table(spark, sf_dir, "documents"), words=5, percent=75)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer_text(), end_id=1)
@@ -171,6 +177,7 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
+    "op8_ngram_join": op8_ngram_join,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
