@@ -7,9 +7,10 @@ frequent tokens a prefix is longer by one token for each class in it, as a class
 may share one token without a signature; so hot passages are indexed by pairs
 of tokens and rare tokens by themselves, and no pair of similar sets is missed.
 
-Frequent means that a counter shared by a few other tokens (a fixed table of
-hashed counts over all documents) stands out; it only sets the order, which is
-the same for every document, so results don't depend on it.
+How frequent a token is comes from a fixed table of hashed counters over all
+documents, in which it shares a counter with others. The counters only set the
+order and the classes, which are the same for every document, so results don't
+depend on them.
 
 Equal sets are one node. Documents that share a signature are held against one
 pivot of their group, links are verified on whole sets, and only members still
@@ -33,11 +34,12 @@ from demandspark.llm.common import full_text, materialize
 
 WORDS = 5
 PERCENT = 75
-SKETCH_BITS = 20         # counters of the frequency table: 2**20, sent to every task (2 MB)
-BLOCK = 1 << 14          # counters in one row while the table is summed
+SKETCH_BITS = 24         # counters of the frequency table: 2**24 bytes, sent to every task (16 MB)
+BLOCK = 1 << 19          # counters in one row while the table is summed
 BUCKETS = 256            # signature buckets at least, each grouped in memory
 BUCKET_SHINGLES = 4_000_000   # shingles of the input for one bucket
-PIVOT_ROUNDS = 3         # rounds against one more pivot before all pairs across components
+PIVOT_ROUNDS = 3         # rounds of large groups against one more pivot before all pairs across components
+LARGE = 64               # members of a large group
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True   # fixed values: ASCII white space
@@ -87,7 +89,7 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int):
 def _measure(batches: Iterator[pa.RecordBatch], words: int, bits: int) -> Iterator[pa.RecordBatch]:
     """A row for each document (block -1), then this task's counters in blocks."""
     task = TaskContext.get().partitionId()
-    counts = np.zeros(1 << bits, np.int64)
+    counts = np.zeros(1 << bits, np.uint16)
     seen: set[tuple[int, int]] = set()
     kinds = {"doc_id": pa.int64(), "n": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "task": pa.int32(),
              "block": pa.int32(), "counts": pa.binary()}
@@ -105,55 +107,77 @@ def _measure(batches: Iterator[pa.RecordBatch], words: int, bits: int) -> Iterat
         rows.append((doc[r], len(tokens), *key, task, -1, None))
         if key not in seen and len(tokens):
             seen.add(key)
-            np.add.at(counts, (tokens >> np.uint64(64 - bits)).astype(np.int64), 1)
+            at = (tokens >> np.uint64(64 - bits)).astype(np.int64)   # sorted
+            cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            more = np.diff(np.append(cut, len(at)))
+            counts[at[cut]] = np.minimum(counts[at[cut]] + more, 0xFFFF)
         if len(rows) >= 20_000:
             yield flush()
             rows = []
     for b in range(0, len(counts), BLOCK):
         own = counts[b:b + BLOCK]
         if own.any():
-            rows.append((None, 0, 0, 0, task, b // BLOCK, own.astype("<u4").tobytes()))
+            rows.append((None, 0, 0, 0, task, b // BLOCK, _pack(own)))
     if rows:
         yield flush()
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    """Counters up to 255: all of them, or the places of few that aren't 0 with their values."""
+    low = np.minimum(counts, 255).astype(np.uint8)
+    used = np.flatnonzero(low)
+    if 5 * len(used) < len(low):
+        return b"s" + used.astype("<u4").tobytes() + low[used].tobytes()
+    return b"d" + low.tobytes()
+
+
+def _add_packed(total: np.ndarray, raw: bytes) -> None:
+    if raw[:1] == b"s":
+        n = (len(raw) - 1) // 5
+        total[np.frombuffer(raw, "<u4", n, 1)] += np.frombuffer(raw, np.uint8, n, 1 + 4 * n)
+    else:
+        total[:len(raw) - 1] += np.frombuffer(raw, np.uint8, -1, 1)
+
+
 def _sum_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(BLOCK, np.int64)
     for raw in pdf["counts"]:
-        total[:len(raw) // 4] += np.frombuffer(raw, "<u4")
-    return pd.DataFrame([{"task": 0, "block": pdf["block"].iloc[0],
-                          "counts": np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()}])
+        _add_packed(total, raw)
+    return pd.DataFrame([{"task": 0, "block": pdf["block"].iloc[0], "counts": _pack(total)}])
 
 
 def frequency_table(measured: DataFrame, bits: int) -> np.ndarray:
-    """Counters summed over tasks: 2**bits numbers, whatever the input."""
+    """Counters summed over tasks, at most 255: 2**bits bytes, whatever the input."""
     kind = "task int, block int, counts binary"
-    rows = (measured.where("block >= 0").select((F.col("task") % 64).alias("task"), "block", "counts")
+    rows = (measured.where("block >= 0").select((F.col("task") % 32).alias("task"), "block", "counts")
             .groupBy("block", "task").applyInPandas(_sum_blocks, kind)
-            .groupBy("block").applyInPandas(_sum_blocks, kind).collect())
-    out = np.zeros(1 << bits, np.int64)
+            .groupBy("block").applyInPandas(_sum_blocks, kind).toLocalIterator())
+    out = np.zeros(-(-(1 << bits) // BLOCK) * BLOCK, np.uint8)
     for r in rows:
-        own = np.frombuffer(r["counts"], "<u4")
         at = r["block"] * BLOCK
-        out[at:at + BLOCK] = own[:len(out) - at]
-    # 0: rare; frequent counters stand out from what chance puts together
-    mean = out.mean()
-    out[out <= mean + 8 * np.sqrt(mean) + 16] = 0
-    return np.minimum(out, np.iinfo(np.uint16).max).astype(np.uint16)
+        _add_packed(out[at:at + BLOCK], bytes(r["counts"]))
+    return out[:1 << bits]
 
 
-def signatures(tokens: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
+def frequent_from(table: np.ndarray) -> int:
+    """The count from which a token is frequent: far above what chance puts together."""
+    mean = float(table.mean())
+    return int(mean + 8 * mean ** 0.5) + 16
+
+
+def signatures(tokens: np.ndarray, table: np.ndarray, frequent: int, percent: int) -> np.ndarray:
     """Names of the signatures of a set. Two sets whose Jaccard similarity is at
     least ``percent`` have one in common, unless they are equal and of one or two tokens."""
     n = len(tokens)
     need = -(-n * percent // 100)            # overlap with any similar set, at least
     miss = n - need + 1
     freq = table[(tokens >> np.uint64(64 - int(len(table)).bit_length() + 1)).astype(np.int64)]
-    rare = tokens[freq == 0]                 # sorted by name
+    order = np.argsort(freq, kind="stable")  # by count, then by name
+    n_rare = int((freq < frequent).sum())
+    rare = tokens[order[:n_rare]]
     if len(rare) >= miss:
         return rare[:miss]
-    hot = tokens[freq > 0]
-    hot = hot[np.lexsort((hot, freq[freq > 0]))]
+    hot = tokens[order[n_rare:]]
     out = [rare]
     first = n.bit_length() - 1
     last = (n * 100 // percent).bit_length() - 1
@@ -165,8 +189,8 @@ def signatures(tokens: np.ndarray, table: np.ndarray, percent: int) -> np.ndarra
         new[at] = 1
         enough = np.flatnonzero(len(rare) + np.arange(1, len(hot) + 1) - np.cumsum(new) >= miss)
         p = int(enough[0]) + 1 if len(enough) else len(hot)
-        order = np.lexsort((hot[:p], own[:p]))
-        cls, tok = own[:p][order], hot[:p][order]
+        by = np.lexsort((hot[:p], own[:p]))
+        cls, tok = own[:p][by], hot[:p][by]
         for step in range(1, p):
             same = cls[step:] == cls[:-step]
             if not same.any():
@@ -181,7 +205,7 @@ def _signature_rows(batches, words: int, table: np.ndarray, percent: int, bucket
     sigs: list[np.ndarray] = []
     ids: list[int] = []
     sizes: list[int] = []
-    total = 0
+    total, frequent = 0, frequent_from(table)
 
     def flush():
         s = np.concatenate(sigs)
@@ -203,7 +227,7 @@ def _signature_rows(batches, words: int, table: np.ndarray, percent: int, bucket
         if key in seen:
             continue
         seen.add(key)
-        own = signatures(tokens, table, percent)
+        own = signatures(tokens, table, frequent, percent)
         sigs.append(own)
         ids.append(key)
         sizes.append(len(tokens))
@@ -299,27 +323,33 @@ def connected_components(links: DataFrame) -> DataFrame:
 
 
 def _across(pivot: int):
-    """Pairs of one group across components: one member of the largest component
-    (which one depends on ``pivot``) against the others, or (0) all."""
+    """Pairs across components of some groups. Of a group of up to LARGE members
+    all; of a larger one those of one member of the largest component (which
+    one depends on ``pivot``) with the others, or all if pivot is 0."""
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        ids, size = pdf["id"].to_numpy(), pdf["size"].to_numpy()
-        names, code, count = np.unique(pdf["root"].to_numpy(), return_inverse=True, return_counts=True)
-        largest = int(count.argmax())
-        out = []
-        if pivot:
-            own = np.flatnonzero(code == largest)
-            rest = np.flatnonzero(code != largest)
-            out.append((np.full(len(rest), own[(pivot * 7919) % len(own)]), rest))
-        else:
-            left = np.ones(len(ids), bool)
+        pdf = pdf.sort_values(["g1", "g2", "id"])
+        g1, g2, ids, roots, size = (pdf[c].to_numpy() for c in ("g1", "g2", "id", "root", "size"))
+        cuts = np.flatnonzero(np.concatenate([[True], (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]), [True]]))
+        us, vs = [], []
+        for a, b in zip(cuts, cuts[1:]):
+            names, code, count = np.unique(roots[a:b], return_inverse=True, return_counts=True)
+            if pivot and b - a > LARGE:
+                largest = int(count.argmax())
+                own = np.flatnonzero(code == largest)
+                rest = np.flatnonzero(code != largest)
+                us.append(np.full(len(rest), a + own[(pivot * 7919) % len(own)]))
+                vs.append(a + rest)
+                continue
+            left = np.ones(b - a, bool)
             for c in np.argsort(count, kind="stable")[:-1]:   # each smaller component against those left
                 here = np.flatnonzero(code == c)
                 left[here] = False
                 rest = np.flatnonzero(left)
-                out.append((np.repeat(here, len(rest)), np.tile(rest, len(here))))
-        u, v = (np.concatenate(x) for x in zip(*out))
-        return pd.DataFrame({"u": ids[u], "v": ids[v], "us": size[u], "vs": size[v]})
+                us.append(a + np.repeat(here, len(rest)))
+                vs.append(a + np.tile(rest, len(here)))
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+        low, high = np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v])
+        return pd.DataFrame({"u": low, "v": high, "us": size[u], "vs": size[v]}).drop_duplicates(["u", "v"])
     return pairs
 
 
@@ -381,7 +411,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         members = materialize(placed.join(split, ["g1", "g2"], "left_semi"), "members")
         if members.isEmpty():
             break
-        new = verify(members.groupBy("g1", "g2").applyInPandas(_across(pivot), "u long, v long, us int, vs int"))
+        new = verify(members.groupBy(F.pmod(F.xxhash64("g1", "g2"), F.lit(buckets)).alias("b"))
+                     .applyInPandas(_across(pivot), "u long, v long, us int, vs int"))
         members = members.drop("root")
         tested = tested.unionByName(new)
         if not new.where("linked").isEmpty():
