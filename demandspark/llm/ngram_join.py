@@ -7,10 +7,10 @@ frequent tokens a prefix is longer by one token for each class in it, as a class
 may share one token without a signature; so hot passages are indexed by pairs
 of tokens and rare tokens by themselves, and no pair of similar sets is missed.
 
-How frequent a token is comes from a fixed table of hashed counters over all
-documents, in which it shares a counter with others. The counters only set the
-order and the classes, which are the same for every document, so results don't
-depend on them.
+How many documents hold a token is counted over all of them, on 32 bits of its
+name; the counts reach the tasks as a table of fixed size, in which a token may
+get another's higher count. Counts only set the order and the classes, which
+are the same for every document, so results don't depend on them.
 
 Equal sets are one node. Documents that share a signature are held against one
 pivot of their group, links are verified on whole sets, and only members still
@@ -25,7 +25,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +33,11 @@ from demandspark.llm.common import full_text, materialize
 
 WORDS = 5
 PERCENT = 75
-SKETCH_BITS = 24         # counters of the frequency table: 2**24 bytes, sent to every task (16 MB)
-BLOCK = 1 << 19          # counters in one row while the table is summed
+CELL_BITS = 32           # bits of a token's name on which documents are counted
+RANGE_BITS = 8           # ranges of cells, each counted in one group
+SLOT_BITS = 16           # counts kept of a range: the table has 2**(8 + 16) bytes (16 MB)
+SHARED = 2               # a count of one is no news
+FREQUENT = 64            # counts from here on are indexed by pairs of tokens
 BUCKETS = 256            # signature buckets at least, each grouped in memory
 BUCKET_SHINGLES = 4_000_000   # shingles of the input for one bucket
 PIVOT_ROUNDS = 3         # rounds of large groups against one more pivot before all pairs across components
@@ -86,94 +88,95 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int):
                 yield batch, r, tokens
 
 
-def _measure(batches: Iterator[pa.RecordBatch], words: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document (block -1), then this task's counters in blocks."""
-    task = TaskContext.get().partitionId()
-    counts = np.zeros(1 << bits, np.uint16)
+def _cells(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
+
+
+def _slots(cells: np.ndarray) -> np.ndarray:
+    """Place of each cell in the table: its range, then a hash."""
+    inside = mix64(cells.astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)
+    return ((cells >> np.uint32(CELL_BITS - RANGE_BITS)).astype(np.int64) << SLOT_BITS) + inside.astype(np.int64)
+
+
+def _pack(cells: np.ndarray) -> bytes:
+    """Sorted cells as gaps, of two bytes where all fit."""
+    gaps = np.diff(cells, prepend=cells[:1])
+    head = np.array([cells[0]], "<u4").tobytes()
+    if int(gaps.max()) < 1 << 16:
+        return b"2" + head + gaps.astype("<u2").tobytes()
+    return b"4" + head + gaps.astype("<u4").tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    gaps = np.frombuffer(raw, "<u2" if raw[:1] == b"2" else "<u4", -1, 5)
+    return np.cumsum(gaps, dtype=np.int64) + np.frombuffer(raw, "<u4", 1, 1)[0]
+
+
+def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """A row for each document (range -1), and the cells of this task's tokens by range."""
     seen: set[tuple[int, int]] = set()
-    kinds = {"doc_id": pa.int64(), "n": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "task": pa.int32(),
-             "block": pa.int32(), "counts": pa.binary()}
+    kinds = {"doc_id": pa.int64(), "n": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "range": pa.int32(),
+             "cells": pa.binary()}
     rows: list[tuple] = []
+    held: list[np.ndarray] = []
+    size = 0
 
     def flush():
-        cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values())], names=list(kinds))
+        if held:
+            cells = np.sort(np.concatenate(held))
+            cut = np.searchsorted(cells, np.arange((1 << RANGE_BITS) + 1, dtype=np.int64) << (CELL_BITS - RANGE_BITS))
+            rows.extend((None, 0, 0, 0, r, _pack(cells[cut[r]:cut[r + 1]]))
+                        for r in range(1 << RANGE_BITS) if cut[r + 1] > cut[r])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
 
     doc, current = None, None
     for batch, r, tokens in _sets(batches, words):
         if batch is not current:
             current, doc = batch, batch.column("doc_id").to_pylist()
         key = set_key(tokens) if len(tokens) else (0, 0)
-        rows.append((doc[r], len(tokens), *key, task, -1, None))
-        if key not in seen and len(tokens):
+        rows.append((doc[r], len(tokens), *key, -1, None))
+        if len(tokens) and key not in seen:
             seen.add(key)
-            at = (tokens >> np.uint64(64 - bits)).astype(np.int64)   # sorted
-            cut = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            more = np.diff(np.append(cut, len(at)))
-            counts[at[cut]] = np.minimum(counts[at[cut]] + more, 0xFFFF)
-        if len(rows) >= 20_000:
+            held.append(_cells(tokens))
+            size += len(tokens)
+        if size >= 8_000_000:
             yield flush()
-            rows = []
-    for b in range(0, len(counts), BLOCK):
-        own = counts[b:b + BLOCK]
-        if own.any():
-            rows.append((None, 0, 0, 0, task, b // BLOCK, _pack(own)))
+            rows, held, size = [], [], 0
     if rows:
         yield flush()
 
 
-def _pack(counts: np.ndarray) -> bytes:
-    """Counters up to 255: all of them, or the places of few that aren't 0 with their values."""
-    low = np.minimum(counts, 255).astype(np.uint8)
-    used = np.flatnonzero(low)
-    if 5 * len(used) < len(low):
-        return b"s" + used.astype("<u4").tobytes() + low[used].tobytes()
-    return b"d" + low.tobytes()
-
-
-def _add_packed(total: np.ndarray, raw: bytes) -> None:
-    if raw[:1] == b"s":
-        n = (len(raw) - 1) // 5
-        total[np.frombuffer(raw, "<u4", n, 1)] += np.frombuffer(raw, np.uint8, n, 1 + 4 * n)
-    else:
-        total[:len(raw) - 1] += np.frombuffer(raw, np.uint8, -1, 1)
-
+def _count_range(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The counts of one range of cells, at most 255, in its part of the table."""
+    cells = np.sort(np.concatenate([_unpack(raw) for raw in pdf["cells"]])).astype(np.uint32)
+    cut = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    count = np.diff(np.append(cut, len(cells)))
+    own, count = cells[cut[count >= SHARED]], np.minimum(count[count >= SHARED], 255).astype(np.uint8)
+    table = np.zeros(1 << SLOT_BITS, np.uint8)
+    np.maximum.at(table, _slots(own) & ((1 << SLOT_BITS) - 1), count)
+    return pd.DataFrame([{"range": pdf["range"].iloc[0], "counts": table.tobytes()}])
 
-def _sum_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(BLOCK, np.int64)
-    for raw in pdf["counts"]:
-        _add_packed(total, raw)
-    return pd.DataFrame([{"task": 0, "block": pdf["block"].iloc[0], "counts": _pack(total)}])
 
-
-def frequency_table(measured: DataFrame, bits: int) -> np.ndarray:
-    """Counters summed over tasks, at most 255: 2**bits bytes, whatever the input."""
-    kind = "task int, block int, counts binary"
-    rows = (measured.where("block >= 0").select((F.col("task") % 32).alias("task"), "block", "counts")
-            .groupBy("block", "task").applyInPandas(_sum_blocks, kind)
-            .groupBy("block").applyInPandas(_sum_blocks, kind).toLocalIterator())
-    out = np.zeros(-(-(1 << bits) // BLOCK) * BLOCK, np.uint8)
+def frequency_table(measured: DataFrame) -> np.ndarray:
+    """Counts of all ranges: 2**(RANGE_BITS + SLOT_BITS) bytes, whatever the input."""
+    rows = (measured.where("range >= 0").select("range", "cells").groupBy("range")
+            .applyInPandas(_count_range, "range int, counts binary").toLocalIterator())
+    out = np.zeros((1 << RANGE_BITS, 1 << SLOT_BITS), np.uint8)
     for r in rows:
-        at = r["block"] * BLOCK
-        _add_packed(out[at:at + BLOCK], bytes(r["counts"]))
-    return out[:1 << bits]
-
-
-def frequent_from(table: np.ndarray) -> int:
-    """The count from which a token is frequent: far above what chance puts together."""
-    mean = float(table.mean())
-    return int(mean + 8 * mean ** 0.5) + 16
+        out[r["range"]] = np.frombuffer(r["counts"], np.uint8)
+    return out.ravel()
 
 
-def signatures(tokens: np.ndarray, table: np.ndarray, frequent: int, percent: int) -> np.ndarray:
+def signatures(tokens: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
     """Names of the signatures of a set. Two sets whose Jaccard similarity is at
     least ``percent`` have one in common, unless they are equal and of one or two tokens."""
     n = len(tokens)
     need = -(-n * percent // 100)            # overlap with any similar set, at least
     miss = n - need + 1
-    freq = table[(tokens >> np.uint64(64 - int(len(table)).bit_length() + 1)).astype(np.int64)]
+    freq = table[_slots(_cells(tokens))]
     order = np.argsort(freq, kind="stable")  # by count, then by name
-    n_rare = int((freq < frequent).sum())
+    n_rare = int((freq < FREQUENT).sum())
     rare = tokens[order[:n_rare]]
     if len(rare) >= miss:
         return rare[:miss]
@@ -205,7 +208,7 @@ def _signature_rows(batches, words: int, table: np.ndarray, percent: int, bucket
     sigs: list[np.ndarray] = []
     ids: list[int] = []
     sizes: list[int] = []
-    total, frequent = 0, frequent_from(table)
+    total = 0
 
     def flush():
         s = np.concatenate(sigs)
@@ -227,7 +230,7 @@ def _signature_rows(batches, words: int, table: np.ndarray, percent: int, bucket
         if key in seen:
             continue
         seen.add(key)
-        own = signatures(tokens, table, frequent, percent)
+        own = signatures(tokens, table, percent)
         sigs.append(own)
         ids.append(key)
         sizes.append(len(tokens))
@@ -353,8 +356,7 @@ def _across(pivot: int):
     return pairs
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
-                    sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Components of the documents linked by 100 * intersection >= percent * union.
 
     docs: doc_id, text (other columns are ignored). Texts are lower-cased (A-Z)
@@ -368,10 +370,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     """
     base = docs.select("doc_id", full_text().alias("_t"))
     measured = materialize(base.mapInArrow(
-        lambda it: _measure(it, words, sketch_bits),
-        "doc_id long, n long, k1 long, k2 long, task int, block int, counts binary"), "measured")
-    rows = measured.where("block = -1").select("doc_id", "n", "k1", "k2")
-    table = frequency_table(measured, sketch_bits)
+        lambda it: _measure(it, words),
+        "doc_id long, n long, k1 long, k2 long, range int, cells binary"), "measured")
+    rows = measured.where("range = -1").select("doc_id", "n", "k1", "k2")
+    table = frequency_table(measured)
     shingles = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(BUCKETS, -(-shingles // BUCKET_SHINGLES))
     groups = (base.mapInArrow(lambda it: _signature_rows(it, words, table, percent, buckets),

@@ -60,22 +60,22 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,bits", [(1, 20), (2, 6), (3, 10)])
-def test_against_all_pairs(spark, monkeypatch, seed, bits):
+@pytest.mark.parametrize("seed,frequent", [(1, 64), (2, 0), (3, 4)])
+def test_against_all_pairs(spark, monkeypatch, seed, frequent):
     monkeypatch.setattr(J, "LARGE", 8)
-    if bits != 20:   # most tokens are frequent
-        monkeypatch.setattr(J, "frequent_from", lambda table: bits)
+    monkeypatch.setattr(J, "FREQUENT", frequent)   # 0: all tokens are frequent
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, component int").repartition(4)
-    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in J.near_duplicates(df, sketch_bits=bits).collect()), key=str)
+    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in J.near_duplicates(df).collect()), key=str)
     assert got == brute(rows)
 
 
 @pytest.mark.parametrize("hot", [0.0, 0.3, 0.9, 1.0])
-def test_similar_sets_share_a_signature(hot):
+def test_similar_sets_share_a_signature(monkeypatch, hot):
+    monkeypatch.setattr(J, "FREQUENT", 1)
     r = np.random.default_rng(7)
     pool = r.integers(0, 2**63, 20_000).astype(np.uint64)
-    table = np.where(r.random(1 << 12) < hot, r.integers(1, 99, 1 << 12), 0).astype(np.uint8)
+    table = np.where(r.random(1 << 24) < hot, r.integers(1, 99, 1 << 24), 0).astype(np.uint8)
     for _ in range(1500):
         n = int(r.choice([2, 3, 4, 5, 7, 8, 15, 16, 17, 31, 33, 90, 400]))
         a = r.choice(pool, n, replace=False)
@@ -85,7 +85,7 @@ def test_similar_sets_share_a_signature(hot):
         common = len(np.intersect1d(a, b))
         if 100 * common >= 75 * (len(a) + len(b) - common) and len(a) != len(b) or common < min(len(a), len(b)) and \
                 100 * common >= 75 * (len(a) + len(b) - common):
-            assert len(np.intersect1d(J.signatures(a, table, 1, 75), J.signatures(b, table, 1, 75)))
+            assert len(np.intersect1d(J.signatures(a, table, 75), J.signatures(b, table, 75)))
 
 
 def test_empty_and_keep_first(spark):
