@@ -42,6 +42,8 @@ BUCKETS = 256            # signature buckets at least, each grouped in memory
 BUCKET_SHINGLES = 4_000_000   # shingles of the input for one bucket
 PIVOT_ROUNDS = 3         # rounds of large groups against one more pivot before all pairs across components
 LARGE = 64               # members of a large group
+PROFILE = 256            # token classes of a set's profile
+PAIR_BLOCK = 100_000     # pairs held against each other's profile at once
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True   # fixed values: ASCII white space
@@ -287,18 +289,31 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                                          names=["u", "v", "linked"])
 
 
+def profile(tokens: np.ndarray) -> bytes:
+    """How many tokens of a set fall to each of PROFILE classes; the overlap of
+    two sets is at most the sum of the smaller counts."""
+    count = np.bincount((tokens & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE)
+    return np.minimum(count, 255).astype(np.uint8).tobytes()
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    ids, raw, size = [], [], 0
+    ids, raw, sums, size = [], [], [], 0
+
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary()),
+                                           pa.array(sums, pa.binary())], names=["id", "s", "p"])
+
     for _, _, tokens in _sets(batches, words):
         if len(tokens):
             ids.append(set_key(tokens)[0])
             raw.append(tokens.tobytes())
+            sums.append(profile(tokens))
             size += len(raw[-1])
         if size > 4 << 20:
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], names=["id", "s"])
-            ids, raw, size = [], [], 0
+            yield flush()
+            ids, raw, sums, size = [], [], [], 0
     if ids:
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(raw, pa.binary())], names=["id", "s"])
+        yield flush()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -325,34 +340,48 @@ def connected_components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _across(pivot: int):
-    """Pairs across components of some groups. Of a group of up to LARGE members
-    all; of a larger one those of one member of the largest component (which
-    one depends on ``pivot``) with the others, or all if pivot is 0."""
+def _across(pivot: int, percent: int):
+    """Pairs across components of some groups that may be similar by size and
+    profile. Of a group of up to LARGE members all; of a larger one those of one
+    member of the largest component (which one depends on ``pivot``) with the
+    others, or all if pivot is 0."""
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["g1", "g2", "id"])
         g1, g2, ids, roots, size = (pdf[c].to_numpy() for c in ("g1", "g2", "id", "root", "size"))
+        sums = np.frombuffer(b"".join(pdf["p"]), np.uint8).reshape(-1, PROFILE)
         cuts = np.flatnonzero(np.concatenate([[True], (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]), [True]]))
         us, vs = [], []
+
+        def hold(here, rest):
+            step = max(1, PAIR_BLOCK // max(1, len(rest)))
+            for i in range(0, len(here), step):
+                own = here[i:i + step]
+                u, v = np.repeat(own, len(rest)), np.tile(rest, len(own))
+                low, high = np.minimum(size[u], size[v]), np.maximum(size[u], size[v])
+                near = low * 100 >= high * percent
+                u, v, low = u[near], v[near], low[near]
+                least = np.minimum(sums[u], sums[v])
+                # a count of 255 may stand for more
+                most = np.where((least == 255).any(axis=1), low, least.sum(axis=1, dtype=np.int64))
+                may = most * 100 >= percent * (size[u].astype(np.int64) + size[v] - most)
+                us.append(u[may])
+                vs.append(v[may])
+
         for a, b in zip(cuts, cuts[1:]):
-            names, code, count = np.unique(roots[a:b], return_inverse=True, return_counts=True)
+            _, code, count = np.unique(roots[a:b], return_inverse=True, return_counts=True)
             if pivot and b - a > LARGE:
                 largest = int(count.argmax())
                 own = np.flatnonzero(code == largest)
-                rest = np.flatnonzero(code != largest)
-                us.append(np.full(len(rest), a + own[(pivot * 7919) % len(own)]))
-                vs.append(a + rest)
+                hold(a + own[[(pivot * 7919) % len(own)]], a + np.flatnonzero(code != largest))
                 continue
             left = np.ones(b - a, bool)
             for c in np.argsort(count, kind="stable")[:-1]:   # each smaller component against those left
                 here = np.flatnonzero(code == c)
                 left[here] = False
-                rest = np.flatnonzero(left)
-                us.append(a + np.repeat(here, len(rest)))
-                vs.append(a + np.tile(rest, len(here)))
+                hold(a + here, a + np.flatnonzero(left))
         u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-        low, high = np.minimum(ids[u], ids[v]), np.maximum(ids[u], ids[v])
-        return pd.DataFrame({"u": low, "v": high, "us": size[u], "vs": size[v]}).drop_duplicates(["u", "v"])
+        return pd.DataFrame({"u": np.minimum(ids[u], ids[v]), "v": np.maximum(ids[u], ids[v]),
+                             "us": size[u], "vs": size[v]}).drop_duplicates(["u", "v"])
     return pairs
 
 
@@ -387,7 +416,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     one = rows.join(wanted, F.col("k1") == F.col("id"), "left_semi").groupBy("k1").agg(F.min("doc_id").alias("doc_id"))
     sets = materialize(
         base.join(one.select("doc_id").distinct(), "doc_id", "left_semi")
-        .mapInArrow(lambda it: _set_rows(it, words), "id long, s binary").dropDuplicates(["id"]), "sets")
+        .mapInArrow(lambda it: _set_rows(it, words), "id long, s binary, p binary").dropDuplicates(["id"]), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = (pairs.where(F.least("us", "vs") * 100 >= F.greatest("us", "vs") * percent)
@@ -413,8 +442,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         members = materialize(placed.join(split, ["g1", "g2"], "left_semi"), "members")
         if members.isEmpty():
             break
-        new = verify(members.groupBy(F.pmod(F.xxhash64("g1", "g2"), F.lit(buckets)).alias("b"))
-                     .applyInPandas(_across(pivot), "u long, v long, us int, vs int"))
+        new = verify(members.join(sets.select("id", "p"), "id")
+                     .groupBy(F.pmod(F.xxhash64("g1", "g2"), F.lit(buckets)).alias("b"))
+                     .applyInPandas(_across(pivot, percent), "u long, v long, us int, vs int"))
         members = members.drop("root")
         tested = tested.unionByName(new)
         if not new.where("linked").isEmpty():
