@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20   # bytes of text handled at once inside a task
+SLICE_BYTES = 2 << 20   # bytes of text handled at once inside a task
 
 # Odd multipliers of the byte polynomials (golden-ratio constants of public mixers).
 MULT_A = np.uint64(0x9E3779B97F4A7C15)

@@ -7,10 +7,21 @@ from pyspark.sql import functions as F
 
 from demandspark.session import materialize
 
-__all__ = ["content_key", "full_text", "materialize", "read_table"]
+__all__ = ["content_key", "full_text", "materialize", "read_table", "small_batches"]
+
+
+ARROW_ROWS = 2000   # texts in one Arrow batch, so that a Python worker holds a few MB of them
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Small Arrow batches for this session, unless the cluster sets their size itself."""
+    if not spark.sparkContext.getConf().contains(_BATCH):
+        spark.conf.set(_BATCH, str(ARROW_ROWS))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -113,7 +113,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offs = byte_column(batch.column("text"))
         lang = batch.column("lang").to_pylist()
-        for i, j in slices(offs):
+        for i, j in slices(offs, 1 << 20):
             w = split_words(data, offs[i:j + 1])
             names = sorted(set(lang[i:j]))
             code = np.array([names.index(x) for x in lang[i:j]])
@@ -193,7 +193,7 @@ def _label_rows(batches: Iterator[pa.RecordBatch], model: Model, switch: float)
     langs = max(1, len(model.languages))
     names = np.array([*model.languages, UNKNOWN], dtype=object)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
-    limit = max(1 << 16, min(2 << 20, (16 << 20) // langs))
+    limit = max(1 << 16, min(1 << 20, (16 << 20) // langs))
     for batch in batches:
         data, offs = byte_column(batch.column("text"))
         preds, shares, spans = [], [], []

@@ -142,7 +142,7 @@ def _measure(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
             seen.add(key)
             held.append(_cells(tokens))
             size += len(tokens)
-        if size >= 8_000_000:
+        if size >= 3_000_000:
             yield flush()
             rows, held, size = [], [], 0
     if rows:
@@ -237,7 +237,7 @@ def _signature_rows(batches, words: int, table: np.ndarray, percent: int, bucket
         ids.append(key)
         sizes.append(len(tokens))
         total += len(own)
-        if total > 4_000_000:
+        if total > 1_000_000:
             yield flush()
             sigs, ids, sizes, total = [], [], [], 0
     if sigs:

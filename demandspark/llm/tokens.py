@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from demandspark.llm.arrays import LOWER, byte_column, slices
 
-CACHE_PIECES = 250_000   # pieces in each of the two generations kept per Python worker
+CACHE_PIECES = 200_000   # pieces in each of the two generations kept per Python worker
 
 # Byte classes. A cut between a Latin-1 letter and an ASCII digit or mark is a
 # cut for the tokenizer as well; GLUE (apostrophes, angle brackets and bars of
