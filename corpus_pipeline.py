@@ -10,20 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import materialize, read_table, small_batches
+from demandspark.llm.common import drop_written, read_table, small_batches
 from demandspark.llm.decontaminate import decontaminate
 from demandspark.llm.language_id import UNKNOWN, fit, held_out, identify
 from demandspark.llm.line_dedup import dedup_lines
 from demandspark.llm.ngram_join import keep_first
 from demandspark.llm.packing import pack_documents
 from demandspark.llm.tokens import tokenizer_text
+from demandspark.session import materialize
+
+def begin(spark: SparkSession) -> None:
+    """A stage's input is written, so what earlier stages wrote on their way can go."""
+    drop_written(spark)
+    small_batches(spark)
+
 
 MIN_LANGUAGE = 0.5       # share of a text's letters in its main language, at least
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a main language go: no letters, or none with half of them."""
-    small_batches(spark)
+    begin(spark)
     columns = docs.columns
     model = fit(docs.where(~held_out()).select("text", "lang"))
     found = identify(docs, model)
@@ -32,7 +39,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of three lines go, and documents of which nothing is left."""
-    small_batches(spark)
+    begin(spark)
     columns = docs.columns
     out = dedup_lines(docs, min_lines=3)
     left = (F.col("n_removed") < F.col("n_lines")) | F.col("text").isNull()
@@ -41,19 +48,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    small_batches(spark)
+    begin(spark)
     return keep_first(docs, words=5, percent=75)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold half of a benchmark item or more go."""
-    small_batches(spark)
+    begin(spark)
     return decontaminate(docs, read_table(spark, sf_dir, "benchmark"), min_match=5, coverage=0.5)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, as pieces packed into sequences of 2048 tokens."""
-    small_batches(spark)
+    begin(spark)
     return pack_documents(docs, tokenizer_text(), capacity=2048, end_id=0)
 
 

@@ -5,9 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.session import materialize
+from demandspark.session import shared_dir
 
-__all__ = ["content_key", "full_text", "materialize", "read_table", "small_batches"]
+__all__ = ["content_key", "drop_written", "full_text", "materialize", "read_table", "small_batches"]
+
+
+_WRITTEN: dict[str, list[str]] = {}   # cut points by application
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: a lineage cut
+    that survives lost executors."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.parquet(path)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the cut points written so far. Only for callers whose earlier results
+    are written already, as those of the pipeline's stages before the next one."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 ARROW_ROWS = 2000   # texts in one Arrow batch, so that a Python worker holds a few MB of them

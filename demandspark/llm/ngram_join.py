@@ -40,7 +40,7 @@ SHARED = 2               # a count of one is no news
 FREQUENT = 64            # counts from here on are indexed by pairs of tokens
 BUCKETS = 256            # signature buckets at least, each grouped in memory
 BUCKET_SHINGLES = 4_000_000   # shingles of the input for one bucket
-PIVOT_ROUNDS = 3         # rounds of large groups against one more pivot before all pairs across components
+PIVOT_ROUNDS = 1         # rounds of large groups against one more pivot before all pairs across components
 LARGE = 64               # members of a large group
 PROFILE = 256            # token classes of a set's profile
 PAIR_BLOCK = 100_000     # pairs held against each other's profile at once
