@@ -31,7 +31,7 @@ from demandspark.llm.tokens import encoded_slices
 
 SHARD_TOKENS = 1 << 20   # a shard ends with the document that reaches this many ids
 BUCKET_KEYS = 2000       # mean keys of a bucket, each built in memory
-GROUP_KEYS = 4           # mean keys that share a displacement seed
+GROUP_KEYS = 3           # mean keys that share a displacement seed
 
 SHARDS = "part int, seq int, docs array<long>, copies array<long>, lens array<int>, ids binary"
 INDEX = "bucket long, n int, seeds binary, prints binary, part binary, seq binary, at binary, len binary, start binary"

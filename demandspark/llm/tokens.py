@@ -19,6 +19,7 @@ import pyarrow as pa
 
 from demandspark.llm.arrays import LOWER, byte_column, slices
 
+ENCODE_BYTES = 4 << 20   # bytes of text encoded at once: more repeat each piece more often
 CACHE_PIECES = 200_000   # pieces in each of the two generations kept per Python worker
 
 # Byte classes. A cut between a Latin-1 letter and an ASCII digit or mark is a
@@ -75,8 +76,9 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
 
     def _add(self, pieces: list[str]) -> None:
-        plain = [w for w in pieces if PLAIN.fullmatch(w)]
-        other = [w for w in pieces if not PLAIN.fullmatch(w)]
+        plain, other = [], []
+        for w in pieces:
+            (plain if PLAIN.fullmatch(w) else other).append(w)
         for w, e in zip(other, self.whole.encode_batch(other, add_special_tokens=False)):
             self.new[w] = array("I", e.ids).tobytes()
         parts = [plain[i:i + 500] for i in range(0, len(plain), 500)]
@@ -115,9 +117,12 @@ class WordEncoder:
         starts = np.flatnonzero(begins & inside)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(rows), np.int64)
-        sizes = np.add.reduceat(inside, starts, dtype=np.int64)
+        last = inside.copy()
+        last[:-1] &= begins[1:] | ~inside[1:]
+        sizes = np.flatnonzero(last) + 1 - starts
         # letters of pieces without glue in lower case
-        glued = np.add.reduceat(cls == GLUE, starts, dtype=np.int64) > 0
+        glued = np.zeros(len(starts), bool)
+        glued[np.searchsorted(starts, np.flatnonzero(cls == GLUE), side="right") - 1] = True
         owner = np.repeat(glued, sizes)
         text, own = piece[inside], cls[inside]
         plain = (own == LETTER) & ~owner
@@ -132,7 +137,9 @@ class WordEncoder:
         flat = np.frombuffer(b"".join(found), "<u4")
         n = size[which]
         upto = np.cumsum(n)
-        ids = flat[np.repeat((np.cumsum(size) - size)[which] - (upto - n), n) + np.arange(int(upto[-1]))]
+        # 32 bits hold the places in one slice
+        shift = ((np.cumsum(size) - size)[which] - (upto - n)).astype(np.int32 if upto[-1] < 1 << 30 else np.int64)
+        ids = flat[np.repeat(shift, n) + np.arange(int(upto[-1]), dtype=shift.dtype)]
         before = np.concatenate([[0], upto])
         return ids, before[np.searchsorted(starts, rows)]
 
@@ -150,5 +157,5 @@ def encoded_slices(batch: pa.RecordBatch, column: str, spec: str
     """(first row, end row, ids, offsets) for slices of a batch."""
     data, offs = byte_column(batch.column(column))
     enc = encoder(spec)
-    for i, j in slices(offs):
+    for i, j in slices(offs, ENCODE_BYTES):
         yield i, j, *enc.encode(data, offs[i:j + 1])
