@@ -10,11 +10,10 @@ Fallback chain (each value is the log-mean at that key, in this order)::
     wap  = coalesce(prev-period depot_product,      ap)
     wcap = coalesce(prev-period client_depot_product, wap)
 
-Plan shape: product and location sides are broadcast behind a row-count check;
-the global mean is a one-row broadcast; the six statistic tables are left
-equi-joins on non-null id keys. Those tables grow with the data, so they are
-never hinted: AQE broadcasts one when its shuffle output is small and splits
-skewed partitions of the row side when one key is hot.
+Plan shape: the global mean is a scalar subquery; product and location sides
+are inner and the six statistic tables left equi-joins on non-null id keys. No
+side is hinted: the planner broadcasts one when its bytes are few, and AQE
+splits skewed partitions of the row side when one key is hot.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.joins import left_attach, small_dimension, with_constants
+from demandspark.operators.joins import left_attach, with_constants, written_dimension
 from demandspark.session import materialize
 from demandspark.operators.target_means import MeanStats, mean_stats
 from demandspark.operators.unique_counts import UNIQUE_SPECS, count_medians, unique_counts
@@ -113,8 +112,8 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
     Tables keyed alike are merged before they meet the rows, so the row side
     is joined once per key set: per-product distinct counts ride on the
     product dimension, per-depot counts on the location dimension (both
-    broadcast behind a row-count check), per-client counts on the client
-    log-mean table.
+    written once, so the planner knows their bytes), per-client counts on the
+    client log-mean table.
 
     ``materialize_stats`` (for jobs that write both sides) writes every
     statistic table once to the shared folder, so the train scan and its
@@ -134,7 +133,7 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
     def keyed(dim: DataFrame | None, key: str) -> tuple[DataFrame, str]:
         if dim is None:
             return counts[key], "left"
-        return small_dimension(dim.join(counts[key], key, "left")), how
+        return written_dimension(dim.join(counts[key], key, "left")), how
 
     prod_side, prod_how = keyed(product_feats, "product_id")
     depot_side, depot_how = keyed(location_feats, "depot_id")

@@ -1,8 +1,8 @@
-"""Join helpers: broadcast only behind a row-count check.
+"""Join helpers: no broadcast hints.
 
-Large aggregates are joined with plain equi-joins; AQE then turns a shuffle
-join into a broadcast join when the materialised side is small, and splits
-skewed partitions when one key is hot.
+Dimensions and aggregates are joined with plain equi-joins; AQE turns a shuffle
+join into a broadcast join when the materialised side is small in bytes, and
+splits skewed partitions when one key is hot.
 """
 
 from __future__ import annotations
@@ -14,25 +14,10 @@ from pyspark.sql import functions as F
 
 from demandspark.session import materialize
 
-# A dimension side is broadcast only when it has at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` provably has <= ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the frame
-    is returned unchanged and joins shuffle (with AQE skew handling).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def small_dimension(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def written_dimension(df: DataFrame) -> DataFrame:
     """Write a dimension table once to the checkpoint folder (cutting its
-    lineage), then broadcast it only if its row count is within the bound."""
-    written = materialize(df, "dimension")
-    return broadcast_if_small(written, max_rows)
+    lineage). The planner then knows its bytes and picks the join by them."""
+    return materialize(df, "dimension")
 
 
 def with_constants(df: DataFrame, consts: DataFrame) -> DataFrame:

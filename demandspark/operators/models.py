@@ -43,9 +43,12 @@ def _label(df: DataFrame, label: str, cap: float | None) -> DataFrame:
 def fit_ols(train: DataFrame, cols: Sequence[str], label: str = "demand",
             cap: float | None = LABEL_CAP):
     """Ordinary least squares (normal equations, no penalty) on a capped label."""
-    data = _label(assemble(train, cols), label, cap)
+    return fit(ols(), train, cols, label, cap)
+
+
+def ols() -> LinearRegression:
     return LinearRegression(featuresCol="features", labelCol="_label", solver="normal",
-                            regParam=0.0, elasticNetParam=0.0).fit(data)
+                            regParam=0.0, elasticNetParam=0.0)
 
 
 def ols_line(train: DataFrame, x: str, y: str) -> DataFrame:

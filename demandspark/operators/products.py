@@ -18,8 +18,7 @@ DEFAULT_SEED = 47
 GMM_COMPONENTS = 45
 KMEANS_CLUSTERS = 30
 KMEANS_ITERATIONS = 100
-PCA_ABOVE = 50          # reduce the word space before the mixture above this many words
-PCA_DIMS = 20
+PCA_DIMS = 20           # axes of the word space that the mixture is fitted on
 
 
 def encode(df: DataFrame, col: str, code: str) -> DataFrame:
@@ -108,11 +107,16 @@ def name_document_frequency(prepared: DataFrame, min_df: int = 2) -> DataFrame:
 
 
 def bag_of_words(prepared: DataFrame, min_df: int = 2):
-    """Fitted tokenizer + count vectorizer; returns (model, vectors frame)."""
+    """Fitted tokenizer + count vectorizer; returns (model, vectors frame).
+
+    The vocabulary is every word found in ``min_df`` names: its size is counted
+    first, so that no default limit cuts the rarer words."""
+    size = name_document_frequency(prepared, min_df).count()
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="short_name_processed", outputCol="_tokens",
                        pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
-        CountVectorizer(inputCol="_tokens", outputCol="words", minDF=float(min_df)),
+        CountVectorizer(inputCol="_tokens", outputCol="words", minDF=float(min_df),
+                        vocabSize=max(1, size)),
     ])
     model = pipe.fit(prepared)
     return model, model.transform(prepared).drop("_tokens")
@@ -120,18 +124,19 @@ def bag_of_words(prepared: DataFrame, min_df: int = 2):
 
 def product_groups(prepared: DataFrame, method: str = "gmm", seed: int = DEFAULT_SEED,
                    k: int | None = None, max_iter: int | None = None) -> DataFrame:
-    """(product_id, product_group) from clustering the bag of words."""
+    """(product_id, product_group) from clustering the bag of words.
+
+    The mixture has a full covariance per component, so it is always fitted on
+    the PCA_DIMS main axes (as many as there are words if fewer). Spark's PCA
+    refuses more than 65,535 words; k-means has no such bound."""
     model, vec = bag_of_words(prepared)
-    vocab = len(model.stages[-1].vocabulary)
-    features = "words"
-    if method == "gmm" and vocab > PCA_ABOVE:
-        vec = PCA(k=PCA_DIMS, inputCol="words", outputCol="_pca").fit(vec).transform(vec)
-        features = "_pca"
     if method == "gmm":
-        est = GaussianMixture(k=k or GMM_COMPONENTS, seed=seed, featuresCol=features,
+        axes = min(PCA_DIMS, len(model.stages[-1].vocabulary))
+        vec = PCA(k=axes, inputCol="words", outputCol="_pca").fit(vec).transform(vec)
+        est = GaussianMixture(k=k or GMM_COMPONENTS, seed=seed, featuresCol="_pca",
                               predictionCol="product_group", maxIter=max_iter or 100)
     else:
-        est = KMeans(k=k or KMEANS_CLUSTERS, seed=seed, featuresCol=features,
+        est = KMeans(k=k or KMEANS_CLUSTERS, seed=seed, featuresCol="words",
                      predictionCol="product_group", maxIter=max_iter or KMEANS_ITERATIONS,
                      initMode="k-means||")
     fitted = est.fit(vec)

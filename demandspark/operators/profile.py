@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from demandspark.functions.expressions import log_mean, null_count
 from demandspark.operators.joins import with_constants
-from demandspark.operators.quantiles import _pick, grouped_quantiles
+from demandspark.operators.quantiles import SMALL_TYPES, _pick, grouped_quantiles
 from demandspark.sources.ids import with_running_sum
 
 STAT_NAMES = ["count", "sum", "min", "max", "median", "mean"]
@@ -26,19 +26,21 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Da
     The value columns are stacked to (column, value) and all six statistics
     come from one (key, column, value) histogram, so a hot key is reduced
     map-side before the shuffle. The running count for the median is a window
-    per (key, column) over distinct values for integer columns (bounded by the
-    value range) and a distributed sorted running count otherwise: no task
-    holds a whole group.
+    per (key, column) over distinct values if all columns have a type of at
+    most 65,536 values and a distributed sorted running count otherwise: no
+    task holds a whole group. Integer columns are stacked as exact decimals if
+    all columns are integers, so their sums never pass through a double.
     """
     keys = list(keys)
+    types = dict(df.dtypes)
+    kind = "decimal(20,0)" if all(types[c] in _INTEGRAL for c in cols) else "double"
     stack = "stack({}, {}) as (_col, _v)".format(
-        len(cols), ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols))
+        len(cols), ", ".join(f"'{c}', cast(`{c}` as {kind})" for c in cols))
     long = df.selectExpr(*[f"`{k}`" for k in keys], stack).where(F.col("_v").isNotNull())
     gk = keys + ["_col"]
     hist = long.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    types = dict(df.dtypes)
-    if all(types[c] in _INTEGRAL for c in cols):
-        # integer values: a key's window holds one row per distinct value
+    if all(types[c] in SMALL_TYPES for c in cols):
+        # a key's window holds one row per distinct value
         w = Window.partitionBy(*gk).orderBy("_v")
         hist = (hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
@@ -52,7 +54,7 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Da
         F.sum(F.col("_v") * F.col("_c")).alias("sum"),
         F.min("_v").alias("min"), F.max("_v").alias("max"),
         *_pick([0.5], ["median"]),
-        (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"))
+        (F.sum(F.col("_v") * F.col("_c")).cast("double") / F.sum("_c")).alias("mean"))
     wide = stats.groupBy(*keys).pivot("_col", list(cols)).agg(
         *[F.first(s).alias(s) for s in STAT_NAMES])
     # integer statistics keep integer types (counts and sums of counts)

@@ -18,6 +18,10 @@ from demandspark.operators.joins import with_constants
 from demandspark.sources.ids import with_running_sum
 
 
+#: Types whose distinct values fit one window whatever the key.
+SMALL_TYPES = ("tinyint", "smallint")
+
+
 def _pick(probs: Sequence[float], names: Sequence[str]):
     out = []
     for p, name in zip(probs, names):
@@ -42,12 +46,11 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
     ``small_domain=True`` uses a window per key over its histogram instead:
     fewer jobs, and the window holds one row per distinct value of the key
-    (never the key's rows). ``None`` (default) picks it for integer values
-    (units, counts), whose distinct values per key are bounded by the value
-    range, and the distributed form for floating-point values.
+    (never the key's rows). ``None`` (default) picks it for types of at most
+    65,536 values and the distributed form for all others.
     """
     if small_domain is None:
-        small_domain = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
+        small_domain = dict(df.dtypes)[value] in SMALL_TYPES
     names = list(names or [f"q{int(p * 100)}" for p in probs])
     keys = list(keys)
     base = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())

@@ -8,6 +8,8 @@ and are the scalable default.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,8 +92,18 @@ def shuffle_rows(df: DataFrame, seed: int = DEFAULT_SEED, id_col: str = "row_id"
 
 def exact_sample(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "row_id") -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), uniformly at random and reproducible:
-    rows ranked by a seeded hash across partitions, first ``n`` kept."""
-    ranked = with_consecutive_id(df, [hash_order(id_col, seed), F.col(id_col)], name="_rank")
+    the first ``n`` rows by a seeded hash. A hash threshold a little above the
+    share wanted leaves few more than ``n`` rows to sort and write; should fewer
+    be left (ids that repeat hash alike), all rows are ranked."""
+    total = df.count()
+    if total <= n:
+        return df
+    order = hash_order(id_col, seed)
+    share = (n + 10 * math.sqrt(n) + 100) / total
+    near = df.where(order <= F.lit(min(int(share * 2 ** 64) - 2 ** 63, 2 ** 63 - 1)))
+    if near.count() < n:
+        near = df
+    ranked = with_consecutive_id(near, [order, F.col(id_col)], name="_rank")
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 

@@ -120,7 +120,10 @@ _P = PRODUCTS_ALL
 ORACLE["product_attributes"] = with_(*_P[:2]) + (
     f"SELECT product_id, name, short_name, brand, {r6('weight')} AS weight, "
     f"{r6('pieces')} AS pieces FROM attrs")
-ORACLE["label_encode"] = with_(*_P[:3]) + (
+ORACLE["inner_join_unmatched"] = with_(DEMAND, TRAIN, *_P[:2]) + (
+    "SELECT t.row_id, t.product_id, a.brand, t.demand "
+    "FROM train t JOIN attrs a ON t.product_id = a.product_id WHERE a.brand IS NOT NULL")
+ORACLE["label_encode"] =with_(*_P[:3]) + (
     "SELECT product_id, short_name, short_name_code, brand, brand_code FROM coded")
 ORACLE["brand_mean_weight"] = with_(*_P[:3]) + (
     f"SELECT brand_code, {r6('avg(weight)')} AS avg_brand_weight FROM coded "
@@ -159,11 +162,22 @@ ORACLE["median_vs_log_mean"] = with_(DEMAND_NOID, TRAIN) + (
     f"SELECT depot_id, {r6('median(demand)')} AS median, {r6(lm())} AS log_mean "
     "FROM train GROUP BY depot_id")
 _DESC_COLS = ["period", "depot_id", "channel_id", "route_id", "client_id", "product_id", "demand"]
-ORACLE["describe_numeric"] = with_(DEMAND_NOID, TRAIN) + " UNION ALL ".join(
-    f"""SELECT '{c}' AS column, count({c}) AS count, {r6(f'avg({c})')} AS mean,
+
+
+def _describe(cols: list[str], source: str, first: str = "") -> str:
+    return " UNION ALL ".join(
+        f"""SELECT {first}'{c}' AS column, count({c}) AS count, {r6(f'avg({c})')} AS mean,
   {r6(f'stddev_samp({c})')} AS std, {r6(f'min({c})')} AS min,
   {r6(f'quantile_cont({c}, 0.25)')} AS p25, {r6(f'quantile_cont({c}, 0.5)')} AS p50,
-  {r6(f'quantile_cont({c}, 0.75)')} AS p75, {r6(f'max({c})')} AS max FROM train""" for c in _DESC_COLS)
+  {r6(f'quantile_cont({c}, 0.75)')} AS p75, {r6(f'max({c})')} AS max FROM {source}""" for c in cols)
+
+
+ORACLE["describe_numeric"] = with_(DEMAND_NOID, TRAIN) + _describe(_DESC_COLS, "train")
+ORACLE["describe_test"] = with_(DEMAND, TEST) + _describe(["id"] + _DESC_COLS[:-1], "test")
+ORACLE["describe_unique_counts"] = with_(DEMAND_NOID, TRAIN, *[
+    f"u_{_key} AS (SELECT {_key}, " + ", ".join(f"count(DISTINCT {c}) AS {n}" for c, n in _cols)
+    + f" FROM train WHERE {_key} IS NOT NULL GROUP BY 1)" for _key, _cols in _U.values()]) + " UNION ALL ".join(
+    _describe([n for _, n in _cols], f"u_{_key}", f"'{_key}' AS key, ") for _key, _cols in _U.values())
 ORACLE["table_shape"] = with_(DEMAND, TRAIN, TEST) + """
 SELECT 'train' AS "table", count(*) AS n_rows, CAST(8 AS BIGINT) AS n_cols,
   'row_id,period,depot_id,channel_id,route_id,client_id,product_id,demand' AS columns FROM train
@@ -218,20 +232,21 @@ ORACLE["binarise_label"] = with_(DEMAND, TRAIN) + \
 # ---------------------------------------------------------------- splits
 ORACLE["kfold_exact"] = with_(DEMAND, TRAIN) + \
     "SELECT row_id, CAST(ntile(10) OVER (ORDER BY row_id) AS INTEGER) AS fold FROM train"
-ORACLE["kfold_hash"] = with_(DEMAND, TRAIN) + \
-    "SELECT count(*) AS n_rows, count(DISTINCT row_id) AS n_ids, count(*) AS n_assigned FROM train"
+ORACLE["kfold_hash"] = with_(DEMAND, TRAIN) + """SELECT CAST(fold AS INTEGER) AS fold,
+  true AS unique_ids, true AS balanced FROM (SELECT unnest(range(1, 6)) AS fold)
+WHERE (SELECT count(*) = count(DISTINCT row_id) FROM train)"""
 ORACLE["chunk_ids"] = with_(DEMAND, TRAIN) + """SELECT row_id,
   CAST(floor((row_number() OVER (ORDER BY row_id) - 1) / ceil(count(*) OVER () / 8.0)) AS INTEGER) AS chunk_id
 FROM train"""
 ORACLE["split_union"] = with_(DEMAND, TRAIN) + \
     "SELECT *, CAST(ntile(8) OVER (ORDER BY row_id) AS INTEGER) AS part FROM train"
 ORACLE["holdout_split"] = with_(DEMAND, TRAIN) + \
-    "SELECT count(*) AS n_rows, count(*) AS n_split FROM train"
+    "SELECT count(DISTINCT row_id) AS n_ids, CAST(0 AS BIGINT) AS n_on_both, true AS fifth_held_out FROM train"
 ORACLE["shuffle_rows"] = with_(DEMAND, TRAIN) + """SELECT count(*) AS n_rows,
   count(*) AS n_positions, CAST(1 AS BIGINT) AS min_pos, count(*) AS max_pos,
-  CAST(sum(row_id) AS BIGINT) AS sum_ids FROM train"""
+  CAST(sum(row_id) AS BIGINT) AS sum_ids, true AS order_is_new FROM train"""
 ORACLE["exact_sample"] = with_(DEMAND, TRAIN) + \
-    "SELECT least(count(*), 10000) AS n_rows, least(count(*), 10000) AS n_ids FROM train"
+    "SELECT count(*) // 2 AS n_rows, count(*) // 2 AS n_ids, true AS spread FROM train"
 
 # ---------------------------------------------------------------- scaling and models
 _SC = ["period", "channel_id", "route_id"]

@@ -246,6 +246,16 @@ def product_attributes(spark, sf):
     return round_doubles(PR.product_attributes(FX.products(spark, sf)))
 
 
+@register("inner_join_unmatched")
+def inner_join_unmatched(spark, sf):
+    """The dimension join that loses rows: train rows meet the products whose
+    brand is known, so rows of unbranded products drop out."""
+    branded = PR.product_attributes(FX.products(spark, sf)).where(F.col("brand").isNotNull())
+    rows = FE.attach_dimensions(_train(spark, sf, with_row_id=True),
+                                branded.select("product_id", "brand"), None)
+    return rows.select("row_id", "product_id", "brand", "demand")
+
+
 @register("label_encode")
 def label_encode(spark, sf):
     return PR.with_codes(FX.products(spark, sf)).select(
@@ -298,7 +308,7 @@ def document_words(spark, sf):
 def product_group_gmm(spark, sf):
     attrs = PR.with_codes(FX.products(spark, sf)).withColumn(
         "short_name_processed", processed_name("short_name"))
-    return PR.product_groups(attrs, "gmm", max_iter=10)
+    return PR.product_groups(attrs, "gmm")
 
 
 @register("product_group_kmeans")
@@ -333,6 +343,22 @@ def describe_numeric(spark, sf):
     return round_doubles(PF.describe(_train(spark, sf)))
 
 
+@register("describe_test")
+def describe_test(spark, sf):
+    return round_doubles(PF.describe(FX.train_test(spark, sf)[1]))
+
+
+@register("describe_unique_counts")
+def describe_unique_counts(spark, sf):
+    """Description of the distinct counts per depot, client and product."""
+    train = _train(spark, sf)
+    parts = []
+    for key in ("depot_id", "client_id", "product_id"):
+        counts = UC.unique_counts(train, key, with_extra=True)
+        parts.append(PF.describe(counts.drop(key)).select(F.lit(key).alias("key"), "*"))
+    return round_doubles(SP.union_parts(parts))
+
+
 @register("table_shape")
 def table_shape(spark, sf):
     train, test = FX.train_test(spark, sf)
@@ -426,9 +452,14 @@ def kfold_exact(spark, sf):
 
 @register("kfold_hash")
 def kfold_hash(spark, sf):
-    f = SP.hash_folds(_train(spark, sf, with_row_id=True), 5)
-    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
-                 F.sum(F.col("fold").between(1, 5).cast("long")).alias("n_assigned"))
+    """Per fold: whether its ids are unique and its size is a fifth within a fifth."""
+    t = _train(spark, sf, with_row_id=True)
+    folds = SP.hash_folds(t, 5).groupBy("fold").agg(F.count(F.lit(1)).alias("_n"),
+                                                    F.count_distinct("row_id").alias("_ids"))
+    total = t.agg(F.count(F.lit(1)).alias("_t"))
+    return with_constants(folds, total).select(
+        "fold", (F.col("_n") == F.col("_ids")).alias("unique_ids"),
+        (F.abs(5 * F.col("_n") / F.col("_t") - 1) < 0.2).alias("balanced"))
 
 
 @register("chunk_ids")
@@ -438,18 +469,22 @@ def chunk_ids_q(spark, sf):
 
 @register("split_union")
 def split_union(spark, sf):
-    parts = SP.split_parts(_train(spark, sf, with_row_id=True), 8)
-    return SP.union_parts(parts)
+    """Eight consecutive parts and their union: one pass that tags each row with its part."""
+    t = _train(spark, sf, with_row_id=True)
+    return SP.exact_folds(t, 8, order=[F.col("row_id")], name="part")
 
 
 @register("holdout_split")
 def holdout_split(spark, sf):
+    """Rows, distinct ids over both sides, ids on both sides, and whether a fifth is held out."""
     t = _train(spark, sf, with_row_id=True)
     a, b = SP.holdout_split(t)
-    n = t.agg(F.count(F.lit(1)).alias("n_rows"))
-    n = with_constants(with_constants(n, a.agg(F.count(F.lit(1)).alias("_a"))),
-                       b.agg(F.count(F.lit(1)).alias("_b")))
-    return n.select("n_rows", (F.col("_a") + F.col("_b")).alias("n_split"))
+    sides = (a.select("row_id", F.lit(0).alias("_held")).unionByName(b.select("row_id", F.lit(1).alias("_held")))
+             .groupBy("row_id").agg(F.min("_held").alias("_lo"), F.max("_held").alias("_hi")))
+    return sides.agg(
+        F.count(F.lit(1)).alias("n_ids"),
+        F.sum((F.col("_lo") != F.col("_hi")).cast("long")).alias("n_on_both"),
+        F.avg("_hi").between(0.15, 0.25).alias("fifth_held_out"))
 
 
 @register("shuffle_rows")
@@ -458,16 +493,22 @@ def shuffle_rows_q(spark, sf):
     return s.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_distinct("shuffled_pos").alias("n_positions"),
                  F.min("shuffled_pos").alias("min_pos"), F.max("shuffled_pos").alias("max_pos"),
-                 F.sum("row_id").alias("sum_ids"))
+                 F.sum("row_id").alias("sum_ids"),
+                 (F.abs(F.corr("row_id", "shuffled_pos")) < 0.2).alias("order_is_new"))
 
 
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 2_000_000
 
 
 @register("exact_sample")
 def exact_sample_q(spark, sf):
-    s = SP.exact_sample(_train(spark, sf, with_row_id=True), SAMPLE_ROWS)
-    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"))
+    """Half of the train rows: their number, distinct ids, and whether they lie
+    all over the id range (the mean id is near that of all rows)."""
+    t = _train(spark, sf, with_row_id=True)
+    all_rows = t.agg(F.count(F.lit(1)).alias("n"), F.avg("row_id").alias("mean_id")).first()
+    s = SP.exact_sample(t, all_rows["n"] // 2)
+    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
+                 F.coalesce(F.abs(F.avg("row_id") / all_rows["mean_id"] - 1) < 0.1, F.lit(True)).alias("spread"))
 
 
 # ---------------------------------------------------------------- scaling and models
@@ -507,7 +548,6 @@ def _feature_tables(spark, sf, cluster=None):
 
 
 _FEATURE_MEMO: dict = {}
-SMALL_GBT = dict(maxIter=10)
 
 
 @register("ols_predict")
@@ -517,11 +557,19 @@ def ols_predict(spark, sf):
     return M.predict(M.fit_ols(tr, cols), te, cols)
 
 
+def _gbt_model(spark, sf, train, cols):
+    """The booster at its full number of rounds, fitted once for prediction and importance."""
+    key = ("gbt", spark.sparkContext.applicationId, sf)
+    if key not in _FEATURE_MEMO:
+        _FEATURE_MEMO[key] = M.fit(M.gbt_regressor(), train, cols)
+    return _FEATURE_MEMO[key]
+
+
 @register("gbt_predict")
 def gbt_predict(spark, sf):
     tr, te = _feature_tables(spark, sf)
     cols = model_features()
-    return M.predict(M.fit(M.gbt_regressor(**SMALL_GBT), tr, cols), te, cols)
+    return M.predict(_gbt_model(spark, sf, tr, cols), te, cols)
 
 
 @register("gbt_early_stop")
@@ -529,7 +577,7 @@ def gbt_early_stop(spark, sf):
     tr, te = _feature_tables(spark, sf)
     cols = model_features()
     flagged = SP.hash_folds(tr, 5).withColumn("is_valid", F.col("fold") == 1)
-    model = M.fit_gbt_early_stop(flagged, cols, maxIter=20)
+    model = M.fit_gbt_early_stop(flagged, cols)
     return M.predict(model, te, cols)
 
 
@@ -542,7 +590,7 @@ def gbt_with_words(spark, sf):
     _, vec = PR.bag_of_words(attrs)
     words = vec.select("product_id", "words")
     cols = model_features() + ["words"]
-    model = M.fit(M.gbt_regressor(**SMALL_GBT), tr.join(words, "product_id"), cols)
+    model = M.fit(M.gbt_regressor(), tr.join(words, "product_id"), cols)
     return M.predict(model, te.join(words, "product_id"), cols)
 
 
@@ -564,7 +612,7 @@ def forest_predict(spark, sf):
 def binary_classify(spark, sf):
     tr, te = _feature_tables(spark, sf)
     cols = model_features()
-    model = M.fit_binary(tr.withColumn("label", F.col("demand") / 50.0), cols, **SMALL_GBT)
+    model = M.fit_binary(tr.withColumn("label", F.col("demand") / 50.0), cols)
     return M.predict_binary(model, te, cols)
 
 
@@ -572,7 +620,7 @@ def binary_classify(spark, sf):
 def feature_importance(spark, sf):
     tr, _ = _feature_tables(spark, sf)
     cols = model_features()
-    return M.split_importance(M.fit(M.gbt_regressor(**SMALL_GBT), tr, cols), cols)
+    return M.split_importance(_gbt_model(spark, sf, tr, cols), cols)
 
 
 @register("importance_share")
@@ -652,6 +700,14 @@ def cv_evaluate(spark, sf):
                          n_rows=SAMPLE_ROWS, k=5)
 
 
+@register("cv_evaluate_linear")
+def cv_evaluate_linear(spark, sf):
+    """The same fold evaluation with ordinary least squares as the model."""
+    rows = FX.demand(spark, sf)
+    return J.cv_evaluate(spark, rows, FX.products(spark, sf), FX.locations(spark, sf),
+                         n_rows=SAMPLE_ROWS, k=5, estimator=M.ols())
+
+
 @register("feature_job")
 def feature_job(spark, sf):
     """The feature job end to end: prepared products/locations cached as

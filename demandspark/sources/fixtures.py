@@ -17,7 +17,6 @@ from demandspark.sources.ids import with_consecutive_id
 FIRST_YEAR = 1995
 SPLIT_PERIOD = 72          # train: period < 72, test: period >= 72
 ROUTE_MODULUS = 97
-DROP_MODULUS = 13          # dimension rows dropped so inner joins lose rows
 LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                   "l_shipdate"]
@@ -132,28 +131,22 @@ def train_test(spark: SparkSession, sf_dir: str, dense: bool = False,
     return split_train_test(demand(spark, sf_dir, with_row_id=with_row_id, dense=dense))
 
 
-def products(spark: SparkSession, sf_dir: str, drop_some: bool = True) -> DataFrame:
-    """(product_id, name) with generated names; some parts dropped."""
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(product_id, name) of every part, with generated names."""
     part = table(spark, sf_dir, "part")
-    out = part.select(F.col("p_partkey").alias("product_id"),
-                      F.expr(PRODUCT_NAME_SQL).alias("name"))
-    if drop_some:
-        out = out.where(F.col("product_id") % DROP_MODULUS != 0)
-    return out
+    return part.select(F.col("p_partkey").alias("product_id"),
+                       F.expr(PRODUCT_NAME_SQL).alias("name"))
 
 
-def locations(spark: SparkSession, sf_dir: str, drop_some: bool = True) -> DataFrame:
-    """(depot_id, town, state): supplier -> nation -> region; some depots dropped."""
+def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(depot_id, town, state) of every depot: supplier -> nation -> region."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    out = (s.join(n, s.s_nationkey == n.n_nationkey)
-           .join(r, n.n_regionkey == r.r_regionkey)
-           .select(F.col("s_suppkey").alias("depot_id"), F.col("n_name").alias("town"),
-                   F.col("r_name").alias("state")))
-    if drop_some:
-        out = out.where(F.col("depot_id") % DROP_MODULUS != 0)
-    return out
+    return (s.join(n, s.s_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey)
+            .select(F.col("s_suppkey").alias("depot_id"), F.col("n_name").alias("town"),
+                    F.col("r_name").alias("state")))
 
 
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,14 +61,8 @@ def write_submission(pred: DataFrame, path: str, id_col: str = "id",
 
 
 def file_inventory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(file_name, size_mb) of every file behind the given tables, read from
-    the file-source metadata column."""
-    parts = []
-    for p in paths:
-        parts.append(spark.read.parquet(p).select("_metadata.file_path", "_metadata.file_size")
-                     .distinct())
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out.select(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"),
-                      size_mb("file_size").alias("size_mb"))
+    """(file_name, size_mb) of every file behind the given tables: one row per
+    file from the listing, no content is read."""
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                        size_mb("length").alias("size_mb"))

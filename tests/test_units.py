@@ -129,6 +129,57 @@ def test_quantiles_match_linear_interpolation(spark):
     assert gq.m == q(0.5)
 
 
+def test_exact_sample_of_repeated_ids(spark):
+    # all ids hash alike, so the hash threshold may leave none: still exactly n rows
+    df = spark.range(2000).select(F.lit(7).cast("long").alias("row_id"), F.col("id").alias("v"))
+    s = SP.exact_sample(df, 50, seed=5)
+    assert s.count() == 50 and s.select("v").distinct().count() == 50
+
+
+def test_grouped_stats_keep_exact_integer_sums(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(1, big, 1), (1, 1, 2), (1, 1, 5)], "k int, a long, b int")
+    r = PF.grouped_stats(df, ["k"], ["a", "b"]).first()
+    assert r.a_sum == big + 2 and r.a_max == big and r.a_median == 1.0
+    assert r.b_sum == 8 and r.b_median == 2.0
+
+
+def test_vocabulary_and_groups(spark):
+    names = ["pan blanco", "pan integral", "galleta blanco", "galleta integral", "torta"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)],
+                               "product_id long, short_name_processed string")
+    model, _ = PR.bag_of_words(df)
+    assert sorted(model.stages[-1].vocabulary) == ["blanco", "galleta", "integral", "pan"]
+    got = PR.product_groups(df, "gmm", k=2, max_iter=5).collect()
+    assert sorted(r.product_id for r in got) == [0, 1, 2, 3, 4]
+    assert all(0 <= r.product_group < 2 for r in got)
+
+
+def test_cached_table_hit_and_parameters(spark, tmp_path):
+    from demandspark.sources import io as IO
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+    path = str(tmp_path / "cache")
+    assert IO.cached_table(spark, path, build).count() == 3
+    assert IO.cached_table(spark, path, build).count() == 3
+    assert len(built) == 1
+
+
+def test_feature_csv_keeps_types(spark):
+    from demandspark.plans import jobs as J
+    from demandspark.sources import fixtures as FX
+    from conftest import SF_SMALL
+    train, test = FX.train_test(spark, SF_SMALL)
+    out = J.create_features(spark, train, test, FX.products(spark, SF_SMALL),
+                            FX.locations(spark, SF_SMALL), csv=True)
+    kinds = dict(out.test.dtypes)
+    assert kinds["lm_client"] == "double" and kinds["client_id"] == "bigint"
+    assert out.test.count() == test.count()
+
+
 def test_zero_variance_scaling(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "a double, b double")
     out = M.standard_scale(df, df, ["a", "b"]).collect()
