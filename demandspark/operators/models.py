@@ -69,8 +69,9 @@ def gbt_regressor(**overrides) -> GBTRegressor:
 
 def linear_booster(reg: float = 1e-4) -> LinearRegression:
     """Linear model with an L2 penalty and no standardisation (the same model
-    family as a linear booster; a different optimiser)."""
-    return LinearRegression(featuresCol="features", labelCol="_label", regParam=reg,
+    family as a linear booster), solved by normal equations: constant or badly
+    scaled columns can't stop it short, as they stop a line search."""
+    return LinearRegression(featuresCol="features", labelCol="_label", solver="normal", regParam=reg,
                             elasticNetParam=0.0, standardization=False)
 
 
