@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -46,6 +47,30 @@ def fit_ols(train: DataFrame, cols: Sequence[str], label: str = "demand",
     return fit(ols(), train, cols, label, cap)
 
 
+def fit_imputed(estimator, train: DataFrame, cols: Sequence[str], label: str = "demand",
+                cap: float | None = None):
+    """A linear model behind a mean imputer: NULL and NaN features become the
+    column's mean over ``train``, in training and in prediction. Every column
+    needs a value somewhere in ``train``. Score it with ``predict_imputed``."""
+    filled = [f"_filled_{c}" for c in cols]
+    steps = [Imputer(strategy="mean", inputCols=[f"_in_{c}" for c in cols], outputCols=filled),
+             VectorAssembler(inputCols=filled, outputCol="features", handleInvalid="error"), estimator]
+    return Pipeline(stages=steps).fit(_label(_imputer_inputs(train, cols), label, cap))
+
+
+def predict_imputed(model, rows: DataFrame, cols: Sequence[str], id_col: str = "id",
+                    floor: bool = True) -> DataFrame:
+    """(id, prediction) of a ``fit_imputed`` model, negatives floored at 0 when ``floor``."""
+    scored = model.transform(_imputer_inputs(rows, cols))
+    p = floor_zero(F.col("prediction")) if floor else F.col("prediction")
+    return scored.select(id_col, p.cast("double").alias("prediction"))
+
+
+def _imputer_inputs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The imputer takes doubles."""
+    return df.withColumns({f"_in_{c}": F.col(c).cast("double") for c in cols})
+
+
 def ols() -> LinearRegression:
     return LinearRegression(featuresCol="features", labelCol="_label", solver="normal",
                             regParam=0.0, elasticNetParam=0.0)
@@ -143,12 +168,14 @@ def standard_scale(train: DataFrame, rows: DataFrame, cols: Sequence[str],
                    suffix: str = "") -> DataFrame:
     """(x - mean) / population std with mean and std fitted on ``train``;
     a zero-variance column keeps scale 1 (so it becomes 0, no division error)."""
-    stats = train.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                      *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
+    # a column is constant if its least value is its greatest: the rounded sums
+    # of a constant may give a tiny deviation instead of zero
+    constant = {c: F.min(c) == F.max(c) for c in cols}
+    stats = train.agg(
+        *[F.when(constant[c], F.min(c).cast("double")).otherwise(F.avg(c)).alias(f"_m_{c}") for c in cols],
+        *[F.when(constant[c], F.lit(1.0)).otherwise(F.stddev_pop(c)).alias(f"_s_{c}") for c in cols])
     out = with_constants(rows, stats)
-    for c in cols:
-        s = F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
-        out = out.withColumn(c + suffix, (F.col(c) - F.col(f"_m_{c}")) / s)
+    out = out.withColumns({c + suffix: (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}") for c in cols})
     return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 

@@ -306,7 +306,45 @@ ORACLE["blend_pivot"] = with_(
   {r6('c.prediction')} AS client, {r6('p.prediction')} AS product, {r6('d.prediction')} AS depot
 FROM c JOIN p ON c.row_id = p.row_id JOIN d ON c.row_id = d.row_id"""
 
-ORACLE["feature_job"] = ORACLE["build_features_test"]
+ORACLE["feature_job"] = f"SELECT *, true AS has_group FROM ({ORACLE['build_features_test']})"
 ORACLE["submission_sink"] = with_(DEMAND, TRAIN, TEST, STATS) + \
     f"SELECT id, {r6('greatest(lm_prev_client_depot_product, 0)')} AS demand FROM (" + \
     chain_join("test") + ")"
+
+# ---------------------------------------------------------------- facts of fitted results
+_FACT = "count(*) AS n_rows, count(DISTINCT {k}) AS n_ids, CAST(sum({k}) AS BIGINT) AS sum_ids, " \
+    "CAST(0 AS BIGINT) AS n_wrong"
+for _k in ["ols_predict", "gbt_predict", "gbt_early_stop", "gbt_with_words", "linear_booster_predict",
+           "forest_predict", "binary_classify", "stack_submission"]:
+    ORACLE[f"{_k}_facts"] = with_(DEMAND, TEST) + f"SELECT {_FACT.format(k='id')} FROM test"
+for _k in ["product_group_gmm", "product_group_kmeans"]:
+    ORACLE[f"{_k}_facts"] = with_(_P[0]) + f"SELECT {_FACT.format(k='product_id')} FROM product"
+_MODELS = "(SELECT unnest(['gbt_a', 'linear_booster', 'gbt_b', 'ols']) AS model) m"
+ORACLE["stack_oof_facts"] = with_(DEMAND, TRAIN) + \
+    f"SELECT model, {_FACT.format(k='row_id')} FROM train CROSS JOIN {_MODELS} GROUP BY model"
+ORACLE["stack_test_mean_facts"] = with_(DEMAND, TEST) + \
+    f"SELECT model, {_FACT.format(k='id')} FROM test CROSS JOIN {_MODELS} GROUP BY model"
+ORACLE["feature_importance_facts"] = "SELECT true AS shares_sum_to_1, true AS gains_sum_to_1, " \
+    'true AS "distinct", CAST(0 AS BIGINT) AS n_unknown'
+for _k in ["cv_evaluate", "cv_evaluate_linear"]:
+    ORACLE[f"{_k}_facts"] = with_(DEMAND) + """SELECT CAST(1 AS INTEGER) AS fold,
+  n - CAST(ceil(n / 5.0) AS BIGINT) AS n_train, CAST(ceil(n / 5.0) AS BIGINT) AS n_valid,
+  true AS rmsle_in_range FROM (SELECT least(count(*), 2000000) AS n FROM demand)"""
+ORACLE["file_inventory_facts"] = "SELECT true AS all_listed, CAST(0 AS BIGINT) AS n_unsized"
+ORACLE["feature_product_groups"] = with_(DEMAND, TRAIN) + """SELECT product_id, count(*) AS n_rows,
+  CAST(1 AS BIGINT) AS n_groups, true AS all_grouped FROM train GROUP BY product_id"""
+
+# ---------------------------------------------------------------- feature table users
+from demandspark.sources.schemas import model_features  # noqa: E402
+
+_FC = model_features()
+_TRAIN_F, _TEST_F = (ORACLE[f"build_features_{s}"] for s in ("train", "test"))
+ORACLE["scaled_features"] = (
+    f"WITH ftr AS ({_TRAIN_F}), fte AS ({_TEST_F}), st AS (SELECT " + ", ".join(
+        f"CASE WHEN min({c}) = max({c}) THEN CAST(min({c}) AS DOUBLE) ELSE avg({c}) END AS m_{c}, "
+        f"CASE WHEN min({c}) = max({c}) THEN 1.0::DOUBLE ELSE stddev_pop({c}) END AS s_{c}" for c in _FC)
+    + " FROM ftr) SELECT id, " + ", ".join(
+        f"round(CAST((t.{c} - st.m_{c}) / st.s_{c} AS DOUBLE), 5) AS {c}" for c in _FC)
+    + " FROM fte t CROSS JOIN st")
+ORACLE["shuffled_features"] = _TRAIN_F
+ORACLE["evaluator_score"] = f"SELECT rmsle FROM ({ORACLE['rmsle_clamped']})"

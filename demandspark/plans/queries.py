@@ -15,6 +15,7 @@ from demandspark.operators import target_means as TM
 from demandspark.operators import unique_counts as UC
 from demandspark.operators.joins import with_constants
 from demandspark.plans.common import round_doubles
+from demandspark.session import materialize, shared_dir
 from demandspark.sources import fixtures as FX
 from demandspark.sources import io as IO
 
@@ -28,6 +29,23 @@ def register(name: str):
     return deco
 
 
+_FEATURE_MEMO: dict = {}
+
+
+def fitted_query(name: str):
+    """Register a query that fits a model. Its result is written once a session,
+    so that the query that states facts about it doesn't fit the model again."""
+    def deco(fn):
+        def q(spark, sf):
+            key = (name, spark.sparkContext.applicationId, sf)
+            if key not in _FEATURE_MEMO:
+                _FEATURE_MEMO[key] = materialize(fn(spark, sf), name)
+            return _FEATURE_MEMO[key]
+        QUERIES[name] = q
+        return q
+    return deco
+
+
 # ---------------------------------------------------------------- scans
 
 @register("demand_scan")
@@ -164,7 +182,6 @@ from demandspark.operators import profile as PF  # noqa: E402
 from demandspark.operators import splits as SP  # noqa: E402
 from demandspark.operators import stacking as ST  # noqa: E402
 from demandspark.plans import jobs as J  # noqa: E402
-from demandspark.session import materialize, shared_dir  # noqa: E402
 from demandspark.sources.schemas import DEMAND_SCHEMA, model_features  # noqa: E402
 
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -304,14 +321,14 @@ def document_words(spark, sf):
             .where(F.col("doc_freq") >= 2))
 
 
-@register("product_group_gmm")
+@fitted_query("product_group_gmm")
 def product_group_gmm(spark, sf):
     attrs = PR.with_codes(FX.products(spark, sf)).withColumn(
         "short_name_processed", processed_name("short_name"))
     return PR.product_groups(attrs, "gmm")
 
 
-@register("product_group_kmeans")
+@fitted_query("product_group_kmeans")
 def product_group_kmeans(spark, sf):
     attrs = PR.with_codes(FX.products(spark, sf)).withColumn(
         "short_name_processed", processed_name("short_name"))
@@ -535,26 +552,23 @@ def ols_one_feature(spark, sf):
     return round_doubles(M.ols_line(_train(spark, sf), "period", "demand"))
 
 
-def _feature_tables(spark, sf, cluster=None):
-    key = ("features", spark.sparkContext.applicationId, sf, cluster)
+def _feature_tables(spark, sf):
+    """Train and test features with the product group, written once for all models."""
+    key = ("features", spark.sparkContext.applicationId, sf)
     if key not in _FEATURE_MEMO:
         train, test = FX.train_test(spark, sf)
-        prods = PR.product_features(PR.prepare_products(FX.products(spark, sf), cluster=cluster,
-                                                        max_iter=10))
+        prods = PR.product_features(PR.prepare_products(FX.products(spark, sf), cluster="gmm"))
         locs = PR.location_features(PR.prepare_locations(FX.locations(spark, sf)))
         tr, te = FE.build_features(train, test, prods, locs, materialize_stats=True)
         _FEATURE_MEMO[key] = (materialize(tr, "train-features"), materialize(te, "test-features"))
     return _FEATURE_MEMO[key]
 
 
-_FEATURE_MEMO: dict = {}
-
-
-@register("ols_predict")
+@fitted_query("ols_predict")
 def ols_predict(spark, sf):
     tr, te = _feature_tables(spark, sf)
-    cols = model_features()
-    return M.predict(M.fit_ols(tr, cols), te, cols)
+    cols = model_features(with_groups=True)
+    return M.predict_imputed(M.fit_imputed(M.ols(), tr, cols, cap=M.LABEL_CAP), te, cols)
 
 
 def _gbt_model(spark, sf, train, cols):
@@ -565,23 +579,23 @@ def _gbt_model(spark, sf, train, cols):
     return _FEATURE_MEMO[key]
 
 
-@register("gbt_predict")
+@fitted_query("gbt_predict")
 def gbt_predict(spark, sf):
     tr, te = _feature_tables(spark, sf)
-    cols = model_features()
+    cols = model_features(with_groups=True)
     return M.predict(_gbt_model(spark, sf, tr, cols), te, cols)
 
 
-@register("gbt_early_stop")
+@fitted_query("gbt_early_stop")
 def gbt_early_stop(spark, sf):
     tr, te = _feature_tables(spark, sf)
-    cols = model_features()
+    cols = model_features(with_groups=True)
     flagged = SP.hash_folds(tr, 5).withColumn("is_valid", F.col("fold") == 1)
     model = M.fit_gbt_early_stop(flagged, cols)
     return M.predict(model, te, cols)
 
 
-@register("gbt_with_words")
+@fitted_query("gbt_with_words")
 def gbt_with_words(spark, sf):
     """Boosting on the features plus the product bag-of-words vector."""
     tr, te = _feature_tables(spark, sf)
@@ -589,37 +603,37 @@ def gbt_with_words(spark, sf):
         "short_name_processed", processed_name("short_name"))
     _, vec = PR.bag_of_words(attrs)
     words = vec.select("product_id", "words")
-    cols = model_features() + ["words"]
+    cols = model_features(with_groups=True) + ["words"]
     model = M.fit(M.gbt_regressor(), tr.join(words, "product_id"), cols)
     return M.predict(model, te.join(words, "product_id"), cols)
 
 
-@register("linear_booster_predict")
+@fitted_query("linear_booster_predict")
 def linear_booster_predict(spark, sf):
     tr, te = _feature_tables(spark, sf)
-    cols = model_features()
-    return M.predict(M.fit(M.linear_booster(), tr, cols), te, cols)
+    cols = model_features(with_groups=True)
+    return M.predict_imputed(M.fit_imputed(M.linear_booster(), tr, cols), te, cols)
 
 
-@register("forest_predict")
+@fitted_query("forest_predict")
 def forest_predict(spark, sf):
     tr, te = _feature_tables(spark, sf)
-    cols = model_features()
+    cols = model_features(with_groups=True)
     return M.predict(M.fit(M.random_forest(10, maxDepth=8), tr, cols), te, cols)
 
 
-@register("binary_classify")
+@fitted_query("binary_classify")
 def binary_classify(spark, sf):
     tr, te = _feature_tables(spark, sf)
-    cols = model_features()
+    cols = model_features(with_groups=True)
     model = M.fit_binary(tr.withColumn("label", F.col("demand") / 50.0), cols)
     return M.predict_binary(model, te, cols)
 
 
-@register("feature_importance")
+@fitted_query("feature_importance")
 def feature_importance(spark, sf):
     tr, _ = _feature_tables(spark, sf)
-    cols = model_features()
+    cols = model_features(with_groups=True)
     return M.split_importance(_gbt_model(spark, sf, tr, cols), cols)
 
 
@@ -670,37 +684,37 @@ def _stack(spark, sf):
     key = ("stack", spark.sparkContext.applicationId, sf)
     if key not in _FEATURE_MEMO:
         tr, te = _feature_tables(spark, sf)
-        cols = model_features()
+        cols = model_features(with_groups=True)
         est = ST.base_models(num_trees=5)
         oof, tst = J.stack_phase_one(tr, te, cols, n_chunks=2, k=3, estimators=est)
         _FEATURE_MEMO[key] = (oof, tst, tr, list(est))
     return _FEATURE_MEMO[key]
 
 
-@register("stack_oof")
+@fitted_query("stack_oof")
 def stack_oof(spark, sf):
     return _stack(spark, sf)[0]
 
 
-@register("stack_test_mean")
+@fitted_query("stack_test_mean")
 def stack_test_mean(spark, sf):
     return ST.mean_over(_stack(spark, sf)[1], ["id", "model"])
 
 
-@register("stack_submission")
+@fitted_query("stack_submission")
 def stack_submission(spark, sf):
     oof, tst, tr, models = _stack(spark, sf)
     return J.stack_phase_two(oof, tst, tr, models, maxIter=10)
 
 
-@register("cv_evaluate")
+@fitted_query("cv_evaluate")
 def cv_evaluate(spark, sf):
     rows = FX.demand(spark, sf)
     return J.cv_evaluate(spark, rows, FX.products(spark, sf), FX.locations(spark, sf),
                          n_rows=SAMPLE_ROWS, k=5)
 
 
-@register("cv_evaluate_linear")
+@fitted_query("cv_evaluate_linear")
 def cv_evaluate_linear(spark, sf):
     """The same fold evaluation with ordinary least squares as the model."""
     rows = FX.demand(spark, sf)
@@ -712,10 +726,14 @@ def cv_evaluate_linear(spark, sf):
 def feature_job(spark, sf):
     """The feature job end to end: prepared products/locations cached as
     parquet, train/test features written to the shared folder, test features
-    read back."""
+    read back. Clustering has no SQL: for the product group it says whether the
+    row has one in range."""
     train, test = FX.train_test(spark, sf)
-    out = J.create_features(spark, train, test, FX.products(spark, sf), FX.locations(spark, sf))
-    return round_doubles(out.test)
+    out = J.create_features(spark, train, test, FX.products(spark, sf), FX.locations(spark, sf),
+                            cluster="gmm")
+    grouped = F.col("product_group").between(0, PR.GMM_COMPONENTS - 1)
+    return round_doubles(out.test.withColumn("has_group", F.coalesce(grouped, F.lit(False)))
+                         .drop("product_group"))
 
 
 @register("submission_sink")
@@ -728,3 +746,112 @@ def submission_sink(spark, sf):
         "id", F.col("lm_prev_client_depot_product").alias("prediction"))
     path = IO.write_submission(pred, shared_dir(spark, "submission"))
     return round_doubles(IO.read_csv(spark, path, SUBMISSION_SCHEMA))
+
+
+# ---------------------------------------------------------------- facts of fitted results
+# A model's values have no SQL; what must hold of any of its results has.
+
+def _facts(rows, key, value, low, high, group=()):
+    """Rows, distinct keys, and values that are missing or out of [low, high]."""
+    ok = F.coalesce((~F.isnan(F.col(value).cast("double"))) & F.col(value).between(low, high), F.lit(False))
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids"),
+            F.sum(key).cast("long").alias("sum_ids"), F.count_if(~ok).alias("n_wrong")]
+    return rows.groupBy(*group).agg(*aggs) if group else rows.agg(*aggs)
+
+
+HUGE = 1e12
+# query -> (key, value, least and greatest value, grouping)
+FACTS = {
+    **{name: ("id", "prediction", 0.0, HUGE, ()) for name in (
+        "ols_predict", "gbt_predict", "gbt_early_stop", "gbt_with_words",
+        "linear_booster_predict", "forest_predict")},
+    "product_group_gmm": ("product_id", "product_group", 0, PR.GMM_COMPONENTS - 1, ()),
+    "product_group_kmeans": ("product_id", "product_group", 0, PR.KMEANS_CLUSTERS - 1, ()),
+    "stack_oof": ("row_id", "prediction", -HUGE, HUGE, ("model",)),
+    "stack_test_mean": ("id", "prediction", -HUGE, HUGE, ("model",)),
+    "stack_submission": ("id", "demand", 0.0, HUGE, ()),
+}
+
+
+def _facts_query(name, spec):
+    def q(spark, sf):
+        return _facts(QUERIES[name](spark, sf), *spec)
+    return q
+
+
+for _key, _spec in FACTS.items():
+    register(f"{_key}_facts")(_facts_query(_key, _spec))
+
+
+@register("binary_classify_facts")
+def binary_classify_facts(spark, sf):
+    """As above, with p0 + p1 = 1 and a class that follows the larger probability."""
+    rows = QUERIES["binary_classify"](spark, sf)
+    ok = (F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9) & (
+        F.col("prediction") == (F.col("p1") > F.col("p0")).cast("int"))
+    return _facts(rows.withColumn("_p", F.when(ok, F.col("p1"))), "id", "_p", 0.0, 1.0)
+
+
+@register("feature_importance_facts")
+def feature_importance_facts(spark, sf):
+    """Shares of splits and of gain each sum to 1, over distinct features of the model."""
+    rows = QUERIES["feature_importance"](spark, sf)
+    return rows.agg((F.abs(F.sum("fscore") - 1) < 1e-9).alias("shares_sum_to_1"),
+                    (F.abs(F.sum("gain") - 1) < 1e-9).alias("gains_sum_to_1"),
+                    (F.count(F.lit(1)) == F.count_distinct("feature")).alias("distinct"),
+                    F.count_if(~F.col("feature").isin(model_features(with_groups=True))).alias("n_unknown"))
+
+
+def _cv_facts(name):
+    def q(spark, sf):
+        return QUERIES[name](spark, sf).select(
+            "fold", "n_train", "n_valid", F.col("rmsle").between(0.0, 5.0).alias("rmsle_in_range"))
+    return q
+
+
+for _key in ("cv_evaluate", "cv_evaluate_linear"):
+    register(f"{_key}_facts")(_cv_facts(_key))
+
+
+@register("file_inventory_facts")
+def file_inventory_facts(spark, sf):
+    """Whether every table has a file, and files without a size."""
+    rows = QUERIES["file_inventory"](spark, sf)
+    return rows.agg((F.count(F.lit(1)) >= len(TABLE_NAMES)).alias("all_listed"),
+                    F.count_if(~F.coalesce(F.col("size_mb") >= 0, F.lit(False))).alias("n_unsized"))
+
+
+@register("feature_product_groups")
+def feature_product_groups(spark, sf):
+    """Per product of the train features: rows, number of groups, and whether each row has one."""
+    tr, _ = _feature_tables(spark, sf)
+    return tr.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("product_group").alias("n_groups"),
+        (F.count("product_group") == F.count(F.lit(1))).alias("all_grouped"))
+
+
+# ---------------------------------------------------------------- feature table users
+
+@register("scaled_features")
+def scaled_features(spark, sf):
+    """Every model feature of the test rows scaled by the train rows' mean and
+    deviation; the features count as the feature queries return them, rounded."""
+    tr, te = (round_doubles(t) for t in _feature_tables(spark, sf))
+    cols = model_features()
+    return round_doubles(M.standard_scale(tr, te, cols, "_scaled").select(
+        "id", *[F.col(f"{c}_scaled").alias(c) for c in cols]), 5)
+
+
+@register("shuffled_features")
+def shuffled_features(spark, sf):
+    """The train features written in a shuffled order, read back with each row's position."""
+    tr, _ = _feature_tables(spark, sf)
+    path = IO.write_parquet(SP.shuffle_rows(tr), shared_dir(spark, "shuffled-features"))
+    return round_doubles(spark.read.parquet(path).drop("shuffled_pos", "product_group"))
+
+
+@register("evaluator_score")
+def evaluator_score(spark, sf):
+    """The chain's error by the Spark ML evaluator (a number for tuning, as one row)."""
+    e = ME.RmsleEvaluator("lm_prev_client_depot_product", "demand").evaluate(_chain_scored(spark, sf))
+    return round_doubles(spark.createDataFrame([(e,)], "rmsle double"))

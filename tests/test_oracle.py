@@ -5,28 +5,28 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from demandspark.sources import fixtures as FX
 from oracle_compare import compare, type_diffs
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
-SLOW_ROWS_ONLY = {"stack_oof", "stack_test_mean", "stack_submission", "cv_evaluate",
-                  "binary_classify", "gbt_with_words"}
+# 150 rounds on a fold of all rows; cv_evaluate_linear runs the same job here
+SLOW = {"cv_evaluate", "cv_evaluate_facts"}
 
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
+    assert df.count() == FX.train_test(spark, E.SMOKE_DIR)[1].count() > 0
     assert df.columns[0] == "id"
 
 
 def test_every_query_has_oracle_or_is_model():
     missing = set(QUERIES) - set(ORACLE)
-    for k in missing:
-        assert any(s in k for s in ("gbt", "ols_predict", "forest", "booster", "binary",
-                                    "importance", "product_group", "stack", "cv_", "file_"))
+    for k in missing:  # what has no SQL has a query of facts that does (text operators have their own tests)
+        assert f"{k}_facts" in ORACLE or k.startswith("op") or k == "pipeline", k
 
 
-@pytest.mark.parametrize("key", sorted(ORACLE))
+@pytest.mark.parametrize("key", sorted(set(ORACLE) - SLOW))
 def test_oracle(spark, key):
     df = QUERIES[key](spark, SF_SMALL)
     ok, msg = compare(df, ORACLE[key], SF_SMALL)
@@ -37,9 +37,9 @@ def test_oracle(spark, key):
         assert node not in plan, node
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE) - SLOW_ROWS_ONLY))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE) - SLOW))
 def test_rows_only(spark, key):
-    assert QUERIES[key](spark, SF_SMALL).count() >= 0
+    assert QUERIES[key](spark, SF_SMALL).count() > 0
 
 
 def test_stacking_properties(spark):

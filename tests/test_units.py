@@ -255,3 +255,30 @@ def test_unmatched_dimension_rows(spark):
     _, left = FE.build_features(train, test, prods, locs, keep_unmatched=True)
     got = {r.id: r for r in left.collect()}
     assert set(got) == {7, 8} and got[8].weight is None and got[8].lm_client == got[7].lm_client
+
+
+def test_facts_fail_on_wrong_results(spark):
+    from demandspark.plans.queries import _facts
+    schema = "id long, prediction double"
+    good = _facts(spark.createDataFrame([(1, 0.0), (2, 3.5)], schema), "id", "prediction", 0.0, 9.0).first()
+    assert tuple(good) == (2, 2, 3, 0)
+    bad = spark.createDataFrame([(1, None), (1, float("nan")), (2, -1.0), (3, 10.0), (4, float("inf"))], schema)
+    row = _facts(bad, "id", "prediction", 0.0, 9.0).first()
+    assert row["n_rows"] == 5 and row["n_ids"] == 4 and row["n_wrong"] == 5
+
+
+def test_linear_models_fill_missing_values(spark):
+    rows = [(i, float(i) if i % 4 else None, 2.0 * i) for i in range(40)]
+    df = spark.createDataFrame(rows + [(40, float("nan"), 80.0)], "id long, x double, demand double")
+    for est in (M.ols(), M.linear_booster()):
+        pred = M.predict_imputed(M.fit_imputed(est, df, ["x"]), df, ["x"]).collect()
+        assert len(pred) == 41 and all(p["prediction"] >= 0 for p in pred)
+        by_id = {p["id"]: p["prediction"] for p in pred}
+        assert by_id[40] == by_id[4] == by_id[0]  # missing values share the mean's prediction
+        assert by_id[30] > by_id[10]
+
+
+def test_scaling_of_a_constant_that_sums_inexactly(spark):
+    df = spark.range(1000).select("id", F.lit(0.1).alias("c"), F.col("id").cast("double").alias("x"))
+    out = M.standard_scale(df, df, ["c", "x"]).agg(F.max(F.abs("c")).alias("c"), F.stddev_pop("x").alias("x")).first()
+    assert out["c"] == 0.0 and abs(out["x"] - 1) < 1e-9
