@@ -619,7 +619,7 @@ def linear_booster_predict(spark, sf):
 def forest_predict(spark, sf):
     tr, te = _feature_tables(spark, sf)
     cols = model_features(with_groups=True)
-    return M.predict(M.fit(M.random_forest(10, maxDepth=8), tr, cols), te, cols)
+    return M.predict(M.fit(M.random_forest(), tr, cols), te, cols)
 
 
 @fitted_query("binary_classify")
