@@ -148,11 +148,16 @@ def gate(text: Column) -> Column:
     """False only if neither a base phrase nor a rule can match the lower-cased text.
 
     Every rule's match holds one of these words; the doubtful short ones are
-    looked for as words."""
+    looked for as words. Words of a phrase may have anything of GAP between them."""
     out = F.lit(False)
     for part in ("licen", "gnu", "spdx", "commons", "cc0", "agpl", "lgpl", "gfdl", "gpl", "cddl", "eupl", "sspl",
-                 "odbl", "free software", "public domain", "hereby granted", "provided as is", "unencumbered", "redistribut", "bsd"):
+                 "odbl", "unencumbered", "redistribut", "bsd"):
         out = out | F.contains(text, F.lit(part))
+    for phrase in ("free software", "public domain", "hereby granted", "provided as is"):
+        near = F.lit(True)
+        for word in phrase.split():
+            near = near & F.contains(text, F.lit(word))
+        out = out | (near & text.rlike(GAP.join(phrase.split())))
     short = "(^|[^a-z0-9])(cc[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+by|asl|mpl|epl|ms[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+pl|" \
             "all[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+rights)([^a-z0-9]|$)"
     letters = (F.contains(text, F.lit("cc")) | F.contains(text, F.lit("asl")) | F.contains(text, F.lit("mpl"))

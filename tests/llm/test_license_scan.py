@@ -3,8 +3,12 @@
 import random
 import re
 
+from re import _parser
+
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
-from demandspark.llm.license_scan import BASE, RULES, scan
+from demandspark.llm.license_scan import BASE, RULES, gate, scan
 
 GAP = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -74,3 +78,47 @@ def test_given_documents(spark):
     for d in docs.collect():
         assert got[d.doc_id] == brute(d.text)
     assert scan(docs.where("doc_id < 0")).count() == 0
+
+
+def sample(tree, k):
+    """A match of a parsed pattern: alternative k of each choice, as few repeats as possible."""
+    out = ""
+    for op, arg in tree:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "IN":
+                out += "x" if str(arg[0][0]) != "LITERAL" else chr(arg[k % len(arg)][1])
+            case "BRANCH":
+                out += sample(arg[1][k % len(arg[1])], k)
+            case "SUBPATTERN":
+                out += sample(arg[3], k)
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                out += sample(arg[2], k) * arg[0]
+            case _:
+                raise ValueError(op)
+    return out
+
+
+def test_gate_with_anything_between_words(spark):
+    gaps = [" ", "\n", "\n# ", "\n * ", " '", '", "', "-", ",  ", "\r\n// "]
+    texts = set()
+    for r in RULES:
+        for k in range(9):
+            match = sample(_parser.parse(r.pattern), k)
+            assert re.fullmatch(r.pattern, match)
+            texts |= {gap.join(match.split(" ")) for gap in gaps}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "text string")
+    assert [r.text for r in df.where(~gate(F.col("text"))).collect()] == []
+
+
+def test_wrapped_notices(spark):
+    texts = ["This software is provided 'as-is', without any express or implied warranty.",
+             "# published by the Free\n# Software Foundation", "released into the public\ndomain",
+             "Permission to use, copy, modify, and/or distribute this software for any purpose is hereby\ngranted",
+             "free of software", "a public, open domain", "hereby not granted"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(scan(df))
+    for i, t in enumerate(texts):
+        assert got[i] == brute(t), t
+    assert [got[i][5] for i in range(7)] == ["zlib", "gpl", "public-domain", "isc", "", "", ""]
