@@ -385,7 +385,7 @@ def _across(pivot: int, percent: int):
     return pairs
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, keys: bool = False) -> DataFrame:
     """Components of the documents linked by 100 * intersection >= percent * union.
 
     docs: doc_id, text (other columns are ignored). Texts are lower-cased (A-Z)
@@ -393,7 +393,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shingle; a null text or one without words has none and links with nothing.
     Returns per row: doc_id, n_shingles, component_id (the smallest doc_id
     reachable by links, its own included; null if there is none but null) and
-    component (the component's name). Equal sets are always linked, so repeated
+    component (the component's name), with ``keys`` also k1 (the name of the
+    row's set). Equal sets are always linked, so repeated
     rows share a component; an empty table gives no rows. Shingles and sets are
     compared by 64-bit names.
     """
@@ -414,9 +415,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # the sets of all that share a signature, computed again from one text each
     wanted = members.select("id").distinct()
     one = rows.join(wanted, F.col("k1") == F.col("id"), "left_semi").groupBy("k1").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(
-        base.join(one.select("doc_id").distinct(), "doc_id", "left_semi")
-        .mapInArrow(lambda it: _set_rows(it, words), "id long, s binary, p binary").dropDuplicates(["id"]), "sets")
+    own = (base.join(one.select("doc_id").distinct(), "doc_id", "left_semi")
+           .mapInArrow(lambda it: _set_rows(it, words), "id long, s binary, p binary"))
+    if not rows.where("doc_id is null and n > 0").isEmpty():
+        # sets of rows without a doc_id only are found by their own name
+        own = own.unionByName(
+            base.where("doc_id is null").mapInArrow(lambda it: _set_rows(it, words), "id long, s binary, p binary")
+            .dropDuplicates(["id"])
+            .join(one.where("doc_id is null").select(F.col("k1").alias("id")), "id", "left_semi"))
+    sets = materialize(own.dropDuplicates(["id"]), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = (pairs.where(F.least("us", "vs") * 100 >= F.greatest("us", "vs") * percent)
@@ -451,25 +458,47 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             roots = connected_components(tested.where("linked"))
 
     named = rows.join(roots, F.col("k1") == F.col("node"), "left").select(
-        "doc_id", "n", F.coalesce("root", "k1").alias("component"))
+        "doc_id", "n", "k1", F.coalesce("root", "k1").alias("component"))
     named = materialize(named, "named")
     lowest = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    linked = named.where("n > 0").join(lowest, "component").select("doc_id", "n", "component", "component_id")
-    alone = named.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("component"),
+    linked = named.where("n > 0").join(lowest, "component").select("doc_id", "n", "k1", "component", "component_id")
+    alone = named.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("k1"),
+                                        F.lit(None).cast("long").alias("component"),
                                         F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component")
+    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component",
+                                            *(["k1"] if keys else []))
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """docs with one document of each component: that of the smallest doc_id
-    (any one of repeated rows). Documents without words all stay; a component
-    of null doc_ids only keeps one of them; columns unchanged."""
-    found = near_duplicates(docs, **options)
-    first = (found.where("n_shingles > 0 and doc_id <=> component_id")
-             .select(F.col("doc_id").alias("_d")).distinct())
-    empty = F.length(F.regexp_replace(full_text(), "[\\x20\\x09-\\x0D]+", "")) == 0
+def _keyed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """The rows, which have words, with the name of their set."""
+    for batch in batches:
+        keys = [set_key(tokens)[0] for _, _, tokens in _sets(iter([batch]), words)]
+        names = [c for c in batch.schema.names if c != "_t"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(keys, pa.int64())],
+                                         names=[*names, "_k1"])
+
+
+def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs with one document of each component: that of the smallest doc_id (a
+    null only where there is no other; of its rows one of the smallest set name,
+    any one of equal sets). Documents without words all stay; columns unchanged."""
     columns = docs.columns
-    base = docs.withColumn("_empty", empty)
-    kept = (base.where("not _empty").join(first, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-            .dropDuplicates(["doc_id"]))
-    return kept.unionByName(base.where("_empty")).select(*columns)
+    found = near_duplicates(docs, words, percent, keys=True).where("n_shingles > 0")
+    first = (found.groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1")).alias("f"))
+             .select(F.col("f.doc_id").alias("_d"), F.col("f.k1").alias("_k")))
+    empty = F.length(F.regexp_replace(full_text(), "[\\x20\\x09-\\x0D]+", "")) == 0
+    full = docs.where(~empty)
+    # a doc_id of one row names it; rows of others and of null are told apart by their sets
+    repeated = materialize(found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"),
+                           "repeated")
+    sure = first.join(repeated, F.col("_d") == F.col("doc_id"), "left_anti").select("_d")
+    kept = full.join(sure, F.col("doc_id") == F.col("_d"), "left_semi")
+    if not repeated.isEmpty():
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+        keyed = (full.where("doc_id is null").unionByName(full.join(repeated, "doc_id", "left_semi").select(*columns))
+                 .withColumn("_t", full_text()).mapInArrow(lambda it: _keyed(it, words), f"{schema}, _k1 long"))
+        kept = kept.unionByName(
+            keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k1") == F.col("_k")), "left_semi")
+            .dropDuplicates(["doc_id", "_k1"]).select(*columns))
+    return kept.unionByName(docs.where(empty)).select(*columns)

@@ -97,3 +97,24 @@ def test_empty_and_keep_first(spark):
     out = J.keep_first(df)
     assert out.columns == df.columns
     assert sorted((x.doc_id, x.source) for x in out.collect()) == [(1, "b"), (2, "c"), (4, "d"), (5, "e")]
+
+
+def test_null_and_repeated_doc_ids(spark):
+    r = random.Random(4)
+
+    def text(n):
+        return [f"v{r.randrange(500)}" for _ in range(n)]
+
+    a, b, c, d = text(60), text(60), text(60), text(60)
+    rows = [(None, " ".join(a)), (None, " ".join(b)), (None, " ".join([*b, "end"])), (None, " ".join(a)),
+            (None, " ".join(text(40))), (7, " ".join(c)), (7, " ".join(text(40))), (7, " ".join([*c, "end"])),
+            (8, " ".join([*d, "end"])), (None, " ".join(d)), (None, None), (None, ""), (9, " ".join([*c, "other"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = J.near_duplicates(df)
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in found.collect()), key=str) == brute(rows)
+    assert found.where("n_shingles > 0").select("component").distinct().count() == 6
+    got = [(x.doc_id, x.text) for x in J.keep_first(df).collect()]
+    groups = [{0, 3}, {1, 2}, {4}, {5, 7}, {6}, {8}, {10}, {11}]     # what may be kept, one of each
+    assert len(got) == len(groups)
+    for group in groups:
+        assert sum(x in [rows[i] for i in group] for x in got) == 1
