@@ -172,7 +172,8 @@ def frequency_table(measured: DataFrame) -> np.ndarray:
 
 def signatures(tokens: np.ndarray, table: np.ndarray, percent: int) -> np.ndarray:
     """Names of the signatures of a set. Two sets whose Jaccard similarity is at
-    least ``percent`` have one in common, unless they are equal and of one or two tokens."""
+    least ``percent`` have one in common, unless they are equal and of one or two tokens.
+    Where similar sets may overlap in one token only, each token is a signature."""
     n = len(tokens)
     need = -(-n * percent // 100)            # overlap with any similar set, at least
     miss = n - need + 1
@@ -187,13 +188,18 @@ def signatures(tokens: np.ndarray, table: np.ndarray, percent: int) -> np.ndarra
     first = n.bit_length() - 1
     last = (n * 100 // percent).bit_length() - 1
     for size in range(first, last + 1):      # the size classes of n and of the largest similar set
-        classes = max(1, (1 << size) // 8)
+        # overlap of two similar sets that meet in this size class, at least; a pair needs one token more than classes
+        least = -(-(-(-(1 << size) * percent // 100)) * percent // 100)
+        if least == 1:
+            out.append(hot[:miss - len(rare)])
+            continue
+        classes = max(1, min((1 << size) // 8, least - 1))
         own = ((hot * MULT_B) >> np.uint64(32)) % np.uint64(classes)
         _, at = np.unique(own, return_index=True)
         new = np.zeros(len(hot), np.int64)
         new[at] = 1
         enough = np.flatnonzero(len(rare) + np.arange(1, len(hot) + 1) - np.cumsum(new) >= miss)
-        p = int(enough[0]) + 1 if len(enough) else len(hot)
+        p = int(enough[0]) + 1
         by = np.lexsort((hot[:p], own[:p]))
         cls, tok = own[:p][by], hot[:p][by]
         for step in range(1, p):
@@ -226,8 +232,8 @@ def _signature_rows(batches, words: int, table: np.ndarray, percent: int, bucket
             pa.array([z[o].tobytes() for _, o in own], pa.binary())], names=["bucket", "sigs", "ids", "sizes"])
 
     for _, _, tokens in _sets(batches, words):
-        if len(tokens) < 2:
-            continue                         # similar sets of one token are equal
+        if 100 * len(tokens) < 2 * percent:
+            continue                         # one token: similar sets are equal
         key = set_key(tokens)[0]
         if key in seen:
             continue
@@ -398,6 +404,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows share a component; an empty table gives no rows. Shingles and sets are
     compared by 64-bit names.
     """
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be above 0 and 100 at most")
     base = docs.select("doc_id", full_text().alias("_t"))
     measured = materialize(base.mapInArrow(
         lambda it: _measure(it, words),

@@ -118,3 +118,44 @@ def test_null_and_repeated_doc_ids(spark):
     assert len(got) == len(groups)
     for group in groups:
         assert sum(x in [rows[i] for i in group] for x in got) == 1
+
+
+@pytest.mark.parametrize("percent", [1, 5, 10, 20, 30, 36, 40, 50, 51, 66, 75, 90, 100])
+def test_similar_sets_share_a_signature_at_any_percent(monkeypatch, percent):
+    monkeypatch.setattr(J, "FREQUENT", 1)
+    r = np.random.default_rng(percent)
+    pool = r.integers(0, 2**63, 20_000).astype(np.uint64)
+    tables = [np.where(r.random(1 << 24) < hot, r.integers(1, 99, 1 << 24), 0).astype(np.uint8) for hot in (0.5, 1.0)]
+    found = 0
+    for _ in range(3000):
+        # the least overlap that is similar, as often as not
+        n, m = (int(x) for x in r.choice([1, 2, 3, 4, 5, 7, 8, 15, 16, 17, 31, 33, 90, 400], 2))
+        common = min(n, m, -(-(n + m) * percent // (100 + percent)) + int(r.integers(0, 2)))
+        own = r.choice(pool, n + m - common, replace=False)
+        a, b = np.unique(own[:n]), np.unique(own[n - common:])
+        if 100 * common < percent * (n + m - common) or common == n == m:
+            continue
+        found += 1
+        for table in tables:
+            assert len(np.intersect1d(J.signatures(a, table, percent), J.signatures(b, table, percent))), (n, m, common)
+    assert found or percent > 90
+
+
+@pytest.mark.parametrize("percent,frequent", [(10, 0), (30, 0), (50, 0), (50, 64)])
+def test_low_percents_against_all_pairs(spark, monkeypatch, percent, frequent):
+    monkeypatch.setattr(J, "FREQUENT", frequent)
+    r = random.Random(percent)
+    vocab = [f"w{i}" for i in range(9)]
+    rows = [(1, "a b c d e"), (2, "a b c d e f"), (3, "only these")]
+    rows += [(10 + i, " ".join(r.choice(vocab) for _ in range(r.choice([5, 6, 7, 9, 12])))) for i in range(40)]
+    long = [f"x{i}" for i in range(400)]
+    rows += [(100 + i, " ".join(long[25 * i:25 * i + 60])) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = J.near_duplicates(df, percent=percent).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in found), key=str) == brute(rows, percent=percent)
+
+
+@pytest.mark.parametrize("percent", [0, 101])
+def test_percent_out_of_range(spark, percent):
+    with pytest.raises(ValueError):
+        J.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), percent=percent)
