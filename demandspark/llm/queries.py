@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from demandspark.llm.chat_format import format_conversations, read_loss, read_turns
 from demandspark.llm.common import read_table
 from demandspark.llm.decontaminate import find_contamination
+from demandspark.llm.fingerprints import COUNT, MASK, ONES, SIGNS, SIZE, SLOT, edit_fingerprints
 from demandspark.llm.language_id import fit, held_out, identify
 from demandspark.llm.license_scan import scan
 from demandspark.llm.line_dedup import dedup_lines
+from demandspark.llm.merkle import document_proofs
 from demandspark.llm.ngram_join import near_duplicates
 from demandspark.llm.packing import pack_documents
 from demandspark.llm.quality_rules import BOILERPLATE, NAVIGATION, clean_documents
+from demandspark.llm.search import search
 from demandspark.llm.suffix_dedup import remove_repeats
 from demandspark.llm.token_files import read_checksums, write_token_files
 from demandspark.llm.tokens import tokenizer_text
@@ -169,6 +172,144 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+o AS (
+  SELECT doc_id, t, len(t) AS n, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt
+  FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST)),
+e AS (SELECT *, left(t, n - n // 2) || left(nt, n // 2) AS x FROM o),
+lines AS (
+  SELECT doc_id, kind, unnest(string_split(CASE kind WHEN 0 THEN t WHEN 1 THEN x ELSE nt END, chr(10))) AS line
+  FROM e, (SELECT unnest([0, 1, 2]) AS kind)),
+hashed AS (
+  SELECT doc_id, kind, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS filled, sha256(line) AS h FROM lines),
+words AS (
+  SELECT doc_id, kind, filled,
+         [CAST('0x' || substr(h, 1, 15) AS BIGINT), CAST('0x' || substr(h, 16, 15) AS BIGINT),
+          CAST('0x' || substr(h, 31, 15) AS BIGINT), CAST('0x' || substr(h, 46, 15) AS BIGINT)] AS w
+  FROM hashed),
+packed AS (
+  SELECT doc_id, kind, p, CASE
+      WHEN p >= {SIGNS} AND p < {COUNT} THEN w[p - {SIGNS} + 1] & {MASK}
+      WHEN NOT filled THEN 0 WHEN p = {COUNT} THEN 1
+      ELSE (w[p // {SLOT} + 1] >> (p % {SLOT})) & {ONES} END AS v
+  FROM words, (SELECT unnest(range({SIZE})) AS p)),
+lanes AS (
+  SELECT doc_id, kind, p, CAST(sum(v & 65535) AS BIGINT) & 65535 AS a,
+         CAST(sum((v >> {SLOT}) & 65535) AS BIGINT) & 65535 AS b,
+         CAST(sum((v >> {2 * SLOT}) & 65535) AS BIGINT) & 65535 AS c
+  FROM packed GROUP BY doc_id, kind, p),
+prints AS (
+  SELECT doc_id, kind,
+         string_agg(lpad(lower(to_hex(a | (b << {SLOT}) | (c << {2 * SLOT}))), 15, '0'), '' ORDER BY p) AS f,
+         max(a) FILTER (WHERE p = {COUNT}) AS n
+  FROM lanes GROUP BY doc_id, kind),
+signed AS (
+  SELECT doc_id, kind, p, l,
+         ((2 * CASE l WHEN 0 THEN a WHEN 1 THEN b ELSE c END - prints.n + 98304) & 65535) - 32768 AS s
+  FROM lanes JOIN prints USING (doc_id, kind), (SELECT unnest([0, 1, 2]) AS l) WHERE p < {SIGNS}),
+near AS (
+  SELECT x.doc_id, y.kind, sum(x.s * y.s) AS dot, sum(x.s * x.s + y.s * y.s) AS size
+  FROM signed x JOIN signed y ON x.doc_id = y.doc_id AND x.p = y.p AND x.l = y.l AND x.kind = 0 AND y.kind > 0
+  GROUP BY x.doc_id, y.kind),
+alike AS (
+  SELECT doc_id, near.kind, CASE WHEN own.f = other.f THEN 1.0 WHEN size = 0 THEN 0.0
+         ELSE greatest(0.0, least(1.0, 2 * dot::DOUBLE / size)) END AS v
+  FROM near JOIN prints own USING (doc_id) JOIN prints other USING (doc_id)
+  WHERE own.kind = 0 AND other.kind = near.kind)
+SELECT e.doc_id, e.n AS n_chars, sha256(x) AS edited_sha256, f.f AS fingerprint, g.f AS edited_fingerprint,
+       CAST(a.v AS DOUBLE) AS near_edited, CAST(b.v AS DOUBLE) AS near_next
+FROM e JOIN (SELECT * FROM prints WHERE kind = 0) f USING (doc_id) JOIN (SELECT * FROM prints WHERE kind = 1) g USING (doc_id)
+JOIN (SELECT * FROM alike WHERE kind = 1) a USING (doc_id) JOIN (SELECT * FROM alike WHERE kind = 2) b USING (doc_id)"""
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return document_proofs(read_table(spark, sf_dir, "documents"), picked)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         -- crc32 of the decimal digits: each byte is followed by eight steps (-1)
+         4294967295 - list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+             string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+           AS crc
+  FROM documents),
+l AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS claimed
+  FROM d),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY source) AS size FROM l),
+nodes(g, lev, i, digest, size) AS (
+  SELECT g, 0, i, leaf, size FROM leaves
+  UNION ALL
+  SELECT g, lev + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (max(size) + 15) // 16
+  FROM nodes WHERE size > 1 GROUP BY g, lev, i // 16),
+tops(lev, i, digest, size) AS (
+  SELECT 0, g, digest, count(*) OVER () FROM nodes WHERE size = 1
+  UNION ALL
+  SELECT lev + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (max(size) + 15) // 16
+  FROM tops WHERE size > 1 GROUP BY lev, i // 16),
+-- both kinds of trees: g is -1 at the top; a run of more than one level's nodes by its parent
+runs AS (
+  SELECT g, lev, i // 16 AS p, list(digest ORDER BY i) AS run FROM nodes WHERE size > 1 GROUP BY g, lev, i // 16
+  UNION ALL SELECT -1, lev, i // 16, list(digest ORDER BY i) FROM tops WHERE size > 1 GROUP BY lev, i // 16),
+fold(doc_id, own, leaf, g, lev, i, digest, siblings, last) AS (
+  SELECT doc_id, g, leaf, g, 0, i, coalesce(claimed, leaf), '', false FROM leaves
+  UNION ALL
+  SELECT doc_id, own, leaf, CASE WHEN run IS NULL THEN -1 ELSE f.g END, CASE WHEN run IS NULL THEN 0 ELSE f.lev + 1 END,
+         CASE WHEN run IS NULL THEN own ELSE i // 16 END,
+         CASE WHEN run IS NULL THEN digest
+              ELSE sha256(array_to_string(list_concat(list_concat(run[1:i % 16], [digest]), run[i % 16 + 2:]), '')) END,
+         siblings || CASE WHEN run IS NULL THEN '' ELSE
+           array_to_string(list_concat(run[1:i % 16], run[i % 16 + 2:]), '') END,
+         run IS NULL AND f.g = -1
+  FROM fold f LEFT JOIN runs r ON f.g = r.g AND f.lev = r.lev AND f.i // 16 = r.p WHERE NOT last)
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(siblings) AS proof_sha256,
+       f.digest AS folded_root, f.digest = r.digest AS verified
+FROM fold f JOIN nodes s ON s.g = f.own AND s.size = 1, tops r WHERE f.last AND r.size = 1"""
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM documents),
+size AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+corpus AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM size),
+tf AS (SELECT doc_id, w, count(*) AS tf FROM words GROUP BY doc_id, w),
+weight AS (
+  SELECT w, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM tf, corpus GROUP BY w, nn),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+terms AS (SELECT item_id, w, count(*) AS c FROM asked GROUP BY item_id, w),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(c * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // l)))) AS BIGINT) AS score
+  FROM terms JOIN tf USING (w) JOIN weight USING (w) JOIN size USING (doc_id), corpus
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20"""
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
@@ -180,6 +321,9 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_token_files": op9_token_files,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -187,4 +331,7 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op4_quality_rules": OP4_SQL,
     "op7_chat_format": OP7_SQL,
+    "op11_fingerprints": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
