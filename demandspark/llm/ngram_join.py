@@ -42,8 +42,9 @@ BUCKETS = 256            # signature buckets at least, each grouped in memory
 BUCKET_SHINGLES = 4_000_000   # shingles of the input for one bucket
 PIVOT_ROUNDS = 1         # rounds of large groups against one more pivot before all pairs across components
 LARGE = 64               # members of a large group
-PROFILE = 256            # token classes of a set's profile
+PROFILE = 2048           # bits of a set's profile
 PAIR_BLOCK = 100_000     # pairs held against each other's profile at once
+FIRST = 16               # names of its first groups that a member brings along
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True   # fixed values: ASCII white space
@@ -296,10 +297,18 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def profile(tokens: np.ndarray) -> bytes:
-    """How many tokens of a set fall to each of PROFILE classes; the overlap of
-    two sets is at most the sum of the smaller counts."""
-    count = np.bincount((tokens & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE)
-    return np.minimum(count, 255).astype(np.uint8).tobytes()
+    """A bit for each of PROFILE classes that holds a token of the set. For each bit that only one of
+    two sets has, that set has a token which the other lacks."""
+    bits = np.zeros(PROFILE, bool)
+    bits[(tokens & np.uint64(PROFILE - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_common(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
+    """The overlap of sets of these profiles (64-bit words by row) and sizes, at most."""
+    def lacks(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+    return np.minimum(n_left - lacks(left, right), n_right - lacks(right, left))
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -350,13 +359,24 @@ def _across(pivot: int, percent: int):
     """Pairs across components of some groups that may be similar by size and
     profile. Of a group of up to LARGE members all; of a larger one those of one
     member of the largest component (which one depends on ``pivot``) with the
-    others, or all if pivot is 0."""
+    others, or all if pivot is 0. Then a pair stays out of a group if its members'
+    first groups (``first``, by name) show one before it that holds both: that one gives the pair."""
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["g1", "g2", "id"])
         g1, g2, ids, roots, size = (pdf[c].to_numpy() for c in ("g1", "g2", "id", "root", "size"))
-        sums = np.frombuffer(b"".join(pdf["p"]), np.uint8).reshape(-1, PROFILE)
+        size = size.astype(np.int64)
+        bits = np.frombuffer(b"".join(pdf["p"]), np.uint64).reshape(-1, PROFILE // 64)
         cuts = np.flatnonzero(np.concatenate([[True], (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1]), [True]]))
         us, vs = [], []
+        first = np.full((len(pdf), FIRST), np.iinfo(np.int64).max)
+        if not pivot:
+            for i, names in enumerate(pdf["first"]):
+                first[i, :len(names)] = names
+
+        def earlier(u, v, group):
+            """Whether an earlier group is among the first ones of both."""
+            same = (first[u][:, :, None] == first[v][:, None, :]) & (first[u] < group)[:, :, None]
+            return same.any(axis=(1, 2))
 
         def hold(here, rest):
             step = max(1, PAIR_BLOCK // max(1, len(rest)))
@@ -365,13 +385,15 @@ def _across(pivot: int, percent: int):
                 u, v = np.repeat(own, len(rest)), np.tile(rest, len(own))
                 low, high = np.minimum(size[u], size[v]), np.maximum(size[u], size[v])
                 near = low * 100 >= high * percent
-                u, v, low = u[near], v[near], low[near]
-                least = np.minimum(sums[u], sums[v])
-                # a count of 255 may stand for more
-                most = np.where((least == 255).any(axis=1), low, least.sum(axis=1, dtype=np.int64))
-                may = most * 100 >= percent * (size[u].astype(np.int64) + size[v] - most)
-                us.append(u[may])
-                vs.append(v[may])
+                u, v = u[near], v[near]
+                most = most_common(bits[u], bits[v], size[u], size[v])
+                may = most * 100 >= percent * (size[u] + size[v] - most)
+                u, v = u[may], v[may]
+                if not pivot:
+                    new = ~earlier(u, v, g1[here[0]])
+                    u, v = u[new], v[new]
+                us.append(u)
+                vs.append(v)
 
         for a, b in zip(cuts, cuts[1:]):
             _, code, count = np.unique(roots[a:b], return_inverse=True, return_counts=True)
@@ -457,7 +479,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         members = materialize(placed.join(split, ["g1", "g2"], "left_semi"), "members")
         if members.isEmpty():
             break
-        new = verify(members.join(sets.select("id", "p"), "id")
+        rows_of = members.join(sets.select("id", "p"), "id")
+        if not pivot:
+            # as many groups as a set has signatures, at most
+            named = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("g1")), 1, FIRST).alias("first"))
+            rows_of = rows_of.join(named, "id")
+        new = verify(rows_of
                      .groupBy(F.pmod(F.xxhash64("g1", "g2"), F.lit(buckets)).alias("b"))
                      .applyInPandas(_across(pivot, percent), "u long, v long, us int, vs int"))
         members = members.drop("root")
@@ -491,22 +518,25 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     null only where there is no other; of its rows one of the smallest set name,
     any one of equal sets). Documents without words all stay; columns unchanged."""
     columns = docs.columns
+    renamed = docs.select(*[F.col(f"`{c}`").alias(f"c_{c}") for c in columns])   # own names can't clash
     found = near_duplicates(docs, words, percent, keys=True).where("n_shingles > 0")
     first = (found.groupBy("component")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1")).alias("f"))
              .select(F.col("f.doc_id").alias("_d"), F.col("f.k1").alias("_k")))
-    empty = F.length(F.regexp_replace(full_text(), "[\\x20\\x09-\\x0D]+", "")) == 0
-    full = docs.where(~empty)
+    empty = F.length(F.regexp_replace(full_text("c_text"), "[\\x20\\x09-\\x0D]+", "")) == 0
+    full = renamed.where(~empty)
     # a doc_id of one row names it; rows of others and of null are told apart by their sets
-    repeated = materialize(found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"),
-                           "repeated")
-    sure = first.join(repeated, F.col("_d") == F.col("doc_id"), "left_anti").select("_d")
-    kept = full.join(sure, F.col("doc_id") == F.col("_d"), "left_semi")
+    repeated = materialize(found.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+                           .select(F.col("doc_id").alias("c_doc_id")), "repeated")
+    sure = first.join(repeated, F.col("_d") == F.col("c_doc_id"), "left_anti").select("_d")
+    kept = full.join(sure, F.col("c_doc_id") == F.col("_d"), "left_semi")
     if not repeated.isEmpty():
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        keyed = (full.where("doc_id is null").unionByName(full.join(repeated, "doc_id", "left_semi").select(*columns))
-                 .withColumn("_t", full_text()).mapInArrow(lambda it: _keyed(it, words), f"{schema}, _k1 long"))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.schema.fields)
+        keyed = (full.where("c_doc_id is null").unionByName(full.join(repeated, "c_doc_id", "left_semi")
+                                                            .select(*full.columns))
+                 .withColumn("_t", full_text("c_text"))
+                 .mapInArrow(lambda it: _keyed(it, words), f"{schema}, _k1 long"))
         kept = kept.unionByName(
-            keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k1") == F.col("_k")), "left_semi")
-            .dropDuplicates(["doc_id", "_k1"]).select(*columns))
-    return kept.unionByName(docs.where(empty)).select(*columns)
+            keyed.join(first, F.col("c_doc_id").eqNullSafe(F.col("_d")) & (F.col("_k1") == F.col("_k")), "left_semi")
+            .dropDuplicates(["c_doc_id", "_k1"]).select(*full.columns))
+    return kept.unionByName(renamed.where(empty)).toDF(*columns)

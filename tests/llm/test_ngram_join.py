@@ -159,3 +159,37 @@ def test_low_percents_against_all_pairs(spark, monkeypatch, percent, frequent):
 def test_percent_out_of_range(spark, percent):
     with pytest.raises(ValueError):
         J.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), percent=percent)
+
+
+def test_clashing_names(spark):
+    rows = [(1, "a b c d e f", 5, 6), (2, "a b c d e f", 7, 8), (None, "g h i j k", 9, 9), (3, "", 0, 0), (3, "x y z v w", 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _d int, _k1 int")
+    for a, b in (("_t", "_k"), ("_d", "_k1"), ("component", "n_shingles"), ("g1", "c_text")):
+        out = J.keep_first(df.toDF("doc_id", "text", a, b))
+        assert out.columns == ["doc_id", "text", a, b]
+        assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], *rows[2:]], key=str)
+
+
+def test_pairs_come_from_one_group(spark, monkeypatch):
+    """A pair that many groups hold comes out once, and none is lost when members bring one name only."""
+    r = random.Random(6)
+    shared = [f"s{i}" for i in range(60)]
+    rows = [(k, " ".join(shared[:r.randint(20, 60)] + [f"o{k}x{i}" for i in range(r.randint(0, 30))])) for k in range(90)]
+    monkeypatch.setattr(J, "FREQUENT", 3)
+    monkeypatch.setattr(J, "LARGE", 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for first in (1, 16):
+        monkeypatch.setattr(J, "FIRST", first)
+        found = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in J.near_duplicates(df).collect()), key=str)
+        assert found == brute(rows)
+
+
+def test_most_common_is_a_bound():
+    r = np.random.default_rng(4)
+    for _ in range(200):
+        n, m, common = (int(x) for x in r.integers(1, 3000, 3))
+        own = r.integers(0, 2**63, n + m).astype(np.uint64)
+        a, b = np.unique(own[:n]), np.unique(own[max(0, n - common):])
+        bits = [np.frombuffer(J.profile(x), np.uint64)[None, :] for x in (a, b)]
+        most = J.most_common(*bits, np.array([len(a)]), np.array([len(b)]))
+        assert most[0] >= len(np.intersect1d(a, b))
