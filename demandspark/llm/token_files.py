@@ -153,6 +153,13 @@ def _lookup_bucket(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out)[hit]
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """Keys without nulls: copy c of the null doc_id is copy -1 - c of 0."""
+    missing = F.col("doc_id").isNull()
+    return df.withColumns({"copy": F.when(missing, -1 - F.col("copy")).otherwise(F.col("copy")),
+                           "doc_id": F.coalesce("doc_id", F.lit(0)).cast("long")})
+
+
 def _with_bucket(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(buckets)))
 
@@ -162,7 +169,7 @@ def write_token_files(docs: DataFrame, path: str, spec: str, end_id: int = 1) ->
     in ascending doc_id order, and the index. Returns the number of buckets.
 
     Rows of equal doc_id are ordered by their text and numbered as copies; a
-    null doc_id comes first and is stored but has no key; other columns are
+    null doc_id comes first and has copies like any other; other columns are
     ignored; an empty table gives empty files.
     """
     spark = docs.sparkSession
@@ -186,11 +193,10 @@ def write_token_files(docs: DataFrame, path: str, spec: str, end_id: int = 1) ->
     up = Window.partitionBy("part", "seq").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
     entries = (rows.withColumn("at", F.coalesce(F.sum("len").over(up), F.lit(0)))
                .join(bases, ["part", "seq"])
-               .withColumn("start", F.col("base") + F.col("at"))
-               .where("doc_id is not null"))
+               .withColumn("start", F.col("base") + F.col("at")))
     n = shards.agg(F.sum(F.size("docs"))).first()[0] or 0
     buckets = max(1, -(-n // BUCKET_KEYS))
-    (_with_bucket(entries.select("doc_id", "copy", "part", "seq", "at", "len", "start"), buckets)
+    (_with_bucket(_keyed(entries).select("doc_id", "copy", "part", "seq", "at", "len", "start"), buckets)
      .groupBy("bucket").applyInPandas(_build_bucket, INDEX)
      .withColumn("buckets", F.lit(buckets))
      .write.parquet(f"{path}/index"))
@@ -207,16 +213,18 @@ def find_documents(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame
     """(doc_id, copy, part, seq, at, len, start) of those of ``keys`` (doc_id,
     copy) that the index holds (up to a fingerprint match in 2**32)."""
     index, buckets = _index(spark, path)
-    keys = _with_bucket(keys.select(F.col("doc_id").cast("long"), F.col("copy").cast("long"))
-                        .where("doc_id is not null"), buckets)
-    return keys.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(
+    keys = _with_bucket(_keyed(keys.select(F.col("doc_id").cast("long"), F.col("copy").cast("long"))), buckets)
+    found = keys.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(
         _lookup_bucket, "doc_id long, copy long, part int, seq int, at long, len long, start long")
+    missing = F.col("copy") < 0
+    return found.withColumns({"doc_id": F.when(~missing, F.col("doc_id")),
+                              "copy": F.when(missing, -1 - F.col("copy")).otherwise(F.col("copy"))})
 
 
-def read_document(spark: SparkSession, path: str, doc_id: int, copy: int = 0) -> np.ndarray | None:
+def read_document(spark: SparkSession, path: str, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
     """The ids of one document: one index row and one shard are read."""
     index, buckets = _index(spark, path)
-    key = _with_bucket(spark.createDataFrame([(doc_id, copy)], "doc_id long, copy long"), buckets).toPandas()
+    key = _with_bucket(_keyed(spark.createDataFrame([(doc_id, copy)], "doc_id long, copy long")), buckets).toPandas()
     rows = index.where(F.col("bucket") == int(key["bucket"][0])).toPandas()
     found = _lookup_bucket(key, rows)
     if not len(found):
