@@ -73,40 +73,33 @@ class Block:
             self.seeds[size] = names[order], item[order], pos[order]
 
 
-def tile(seeds: np.ndarray, size: int, n_item: int) -> list[tuple[int, int, int]]:
+def tile(doc: np.ndarray, item: np.ndarray, offsets: np.ndarray, size: int) -> list[tuple[int, int, int]]:
     """Tiles (item start, document start, words) of greedy string tiling.
 
-    seeds: rows (item position, document position) where ``size`` words agree.
-    Ties go to the first place in the item, then in the document."""
-    order = np.lexsort((seeds[:, 0], seeds[:, 1] - seeds[:, 0]))
-    p, d = seeds[order, 0], seeds[order, 1]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(p) != 1) | (np.diff(d - p) != 0)]))
-    ends = np.append(new[1:], len(p))
-    heap = [(-(int(e - b) + size - 1), int(p[b]), int(d[b])) for b, e in zip(new, ends)]
+    offsets: the differences of document and item position at which ``size``
+    words may agree. Ties go to the first place in the item, then in the
+    document. Memory follows the texts and their runs of agreeing words, of
+    which an offset has few, not the pairs of agreeing places."""
+    heap = []
+    for o in offsets.tolist():
+        lo, hi = max(0, -o), min(len(item), len(doc) - o)
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], item[lo:hi] == doc[lo + o:hi + o], [False]])))
+        heap.extend((b - e, lo + b, lo + b + o) for b, e in zip(edge[::2].tolist(), edge[1::2].tolist()) if e - b >= size)
     heapq.heapify(heap)
-    item_marks = np.zeros(n_item, bool)
-    doc_marks: set[int] = set()
+    item_free, doc_free = np.ones(len(item), bool), np.ones(len(doc), bool)
     tiles = []
     while heap:
         n, i, j = heapq.heappop(heap)
         n = -n
-        free = [not item_marks[i + k] and j + k not in doc_marks for k in range(n)]
-        if all(free):
-            item_marks[i:i + n] = True
-            doc_marks.update(range(j, j + n))
+        free = item_free[i:i + n] & doc_free[j:j + n]
+        if free.all():
+            item_free[i:i + n] = doc_free[j:j + n] = False
             tiles.append((i, j, n))
             continue
-        k = 0
-        while k < n:  # what is left of the match
-            if not free[k]:
-                k += 1
-                continue
-            e = k
-            while e < n and free[e]:
-                e += 1
-            if e - k >= size:
-                heapq.heappush(heap, (-(e - k), i + k, j + k))
-            k = e
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]])))   # what is left of the match
+        for b, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if e - b >= size:
+                heapq.heappush(heap, (b - e, i + b, j + b))
     return sorted(tiles)
 
 
@@ -114,27 +107,33 @@ def _matches(words: np.ndarray, block: Block, hits: dict[int, tuple[np.ndarray,
     out = []
     for size, (names, where) in hits.items():
         known, item, pos = block.seeds[size]
-        lo, hi = np.searchsorted(known, names, "left"), np.searchsorted(known, names, "right")
+        order = np.argsort(names, kind="stable")
+        once, first = np.unique(names[order], return_index=True)
+        places = np.split(where[order], first[1:])                 # in the document, by seed
+        lo, hi = np.searchsorted(known, once, "left"), np.searchsorted(known, once, "right")
         n = hi - lo
         at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        d, k, p = np.repeat(where, n), item[at], pos[at]
+        seed, k, p = np.repeat(np.arange(len(once)), n), item[at], pos[at]
         for own in np.unique(k):
             of = k == own
             target = block.words[own]
-            tiles = tile(np.column_stack([p[of], d[of]]), size, len(target))
+            agree = np.zeros(len(words) + len(target), bool)
+            for s, i in zip(seed[of], p[of]):
+                agree[places[s] - i + len(target)] = True
+            tiles = tile(words, target, np.flatnonzero(agree) - len(target), size)
             covered = sum(t[2] for t in tiles)
             out.append({"item_id": block.ids[own], "coverage": covered / len(target), "words": covered,
                         "tiles": [dict(zip(("item", "doc", "words"), t)) for t in tiles]})
     return out
 
 
-def _tile_rows(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.RecordBatch]:
+def _tile_rows(batches: Iterator[pa.RecordBatch], block: Block, found_so_far: str) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("words", pa.int32()),
                                ("tiles", pa.list_(pa.struct([("item", pa.int32()), ("doc", pa.int32()),
                                                              ("words", pa.int32())])))]))
     for batch in batches:
         data, offs = byte_column(batch.column("text"))
-        before = batch.column("_m").to_pylist()
+        before = batch.column(found_so_far).to_pylist()
         for i, j in slices(offs):
             words, at = word_names(data, offs[i:j + 1])
             found: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
@@ -151,7 +150,7 @@ def _tile_rows(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[pa.R
                 before[i + r] = (before[i + r] or []) + _matches(words[at[r]:at[r + 1]], block, hits)
         names = batch.schema.names
         yield pa.RecordBatch.from_arrays(
-            [pa.array(before, kind) if c == "_m" else batch.column(c) for c in names], names=names)
+            [pa.array(before, kind) if c == found_so_far else batch.column(c) for c in names], names=names)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
@@ -169,13 +168,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = M
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
     none = F.array().cast(MATCHES)
-    out = docs.drop("matches").withColumn("_m", none)
+    out = docs.drop("matches")
+    own_name = "_matches"
+    while own_name in out.columns:
+        own_name += "_"
+    out = out.withColumn(own_name, none)
     for b in range(blocks):  # a block is about block_bytes, whatever the benchmark's size
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         block = Block([(r[0], r[1]) for r in own], min_match)
         if block.seeds:
-            out = out.mapInArrow(lambda it, block=block: _tile_rows(it, block), out.schema)
-    return (out.withColumn("matches", F.filter("_m", lambda m: m["coverage"] >= coverage)).drop("_m"))
+            out = out.mapInArrow(lambda it, block=block: _tile_rows(it, block, own_name), out.schema)
+    return out.withColumn("matches", F.filter(own_name, lambda m: m["coverage"] >= coverage)).drop(own_name)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandspark.llm.decontaminate import decontaminate, find_contamination
 from demandspark.llm.line_dedup import dedup_lines
@@ -112,3 +113,17 @@ def test_no_benchmark(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate(df, empty).count() == 1
     assert decontaminate(df.where("doc_id > 1"), spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")).count() == 0
+
+
+def test_long_texts_of_equal_words(spark):
+    """Every place agrees with every other; memory follows the texts' lengths, not their product."""
+    docs = [(1, "la " * 200_000, 1), (2, "la " * 300 + "x " * 9 + "la " * 300, 2), (1, "other words", 3), (1, "other words", 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, _m int").withColumn("_matches", F.lit("kept"))
+    bench = spark.createDataFrame([(1, "la " * 500), (2, "la " * 40)], "item_id long, text string")
+    out = find_contamination(df, bench)
+    assert out.columns == ["doc_id", "text", "_m", "_matches", "matches"]
+    got = {x._m: sorted((y.item_id, y.coverage, [(t.item, t.doc, t.words) for t in y.tiles]) for y in x.matches)
+           for x in out.collect()}
+    assert got == {1: [(1, 1.0, [(0, 0, 500)]), (2, 1.0, [(0, 0, 40)])],
+                   2: [(1, 1.0, [(0, 0, 300), (300, 309, 200)]), (2, 1.0, [(0, 0, 40)])], 3: []}
+    assert out.where("_matches = 'kept'").count() == 4
