@@ -169,7 +169,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans",
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("repeated"))
 
 
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
