@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.session import shared_dir
 
-__all__ = ["content_key", "drop_written", "full_text", "materialize", "read_table", "small_batches"]
+__all__ = ["content_key", "drop_tables", "full_text", "materialize", "read_table", "recording", "small_batches"]
+
+
+_RECORD: ContextVar[list[str] | None] = ContextVar("cut_points", default=None)
 
 
-_WRITTEN: dict[str, list[str]] = {}   # cut points by application
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Cut points that are written inside are noted in ``paths``."""
+    token = _RECORD.set(paths)
+    try:
+        yield
+    finally:
+        _RECORD.reset(token)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -19,14 +33,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (noted := _RECORD.get()) is not None:
+        noted.append(path)
     return spark.read.parquet(path)
 
 
-def drop_written(spark: SparkSession) -> None:
-    """Delete the cut points written so far. Only for callers whose earlier results
-    are written already, as those of the pipeline's stages before the next one."""
-    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete cut points whose readers are done."""
+    for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 

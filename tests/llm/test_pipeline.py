@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline as P
 from conftest import SF_SMALL
+from demandspark.llm.ngram_join import near_duplicates
 from demandspark.session import materialize
 from test_lines_and_benchmark import brute_lines, words
 from test_ngram_join import brute as brute_groups
@@ -49,3 +50,10 @@ def test_stages(spark):
     for r in pieces:
         bins[r.sequence_id] += r.length
     assert max(bins.values()) <= 2048 and len(bins) <= -(-sum(tokens.values()) // 2048) + 2
+
+
+def test_other_results_outlive_the_pipeline(spark):
+    """Stages delete only what the pipeline wrote on its way."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    found = near_duplicates(docs)
+    assert P.run(spark, SF_SMALL).count() >= found.count() / 2
