@@ -1,14 +1,12 @@
 """Spark ML models: OLS, boosted trees (regression / binary), linear booster,
-random forest, feature importance, standard scaling and mean imputation.
+random forest, standard scaling and mean imputation.
 
 Parameter defaults follow the source pipeline (150 rounds, depth 4, step
-0.01, row subsample 0.7, column share 0.4, min child weight 7, seed 1301);
-queries may pass smaller values to run quickly.
+0.01, row subsample 0.7, column share 0.4, min child weight 7, seed 1301).
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -21,6 +19,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.expressions import binarise, cap_label, floor_zero
 from demandspark.operators.joins import with_constants
+from demandspark.operators.linear_booster import LinearBooster
 
 # The booster parameter map.
 GBT_PARAMS = dict(maxIter=150, maxDepth=4, stepSize=0.01, subsamplingRate=0.7,
@@ -32,7 +31,8 @@ LABEL_CAP = 10
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    """Feature vector column (NULL/NaN kept as NaN; trees handle them)."""
+    """Feature vector column, NULL and NaN kept as NaN: fitted trees send them to the right, but fits
+    refuse them, so rows to be fitted need every feature (as the feature tables have) or a filler."""
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
@@ -92,12 +92,9 @@ def gbt_regressor(**overrides) -> GBTRegressor:
                         **params)
 
 
-def linear_booster(reg: float = 1e-4) -> LinearRegression:
-    """Linear model with an L2 penalty and no standardisation (the same model
-    family as a linear booster), solved by normal equations: constant or badly
-    scaled columns can't stop it short, as they stop a line search."""
-    return LinearRegression(featuresCol="features", labelCol="_label", solver="normal", regParam=reg,
-                            elasticNetParam=0.0, standardization=False)
+def linear_booster(**options) -> LinearBooster:
+    """Linear base learner of a booster: coordinate descent with step and penalty."""
+    return LinearBooster(**options)
 
 
 def random_forest(num_trees: int = 20, **overrides) -> RandomForestRegressor:
@@ -120,14 +117,6 @@ def predict(model, rows: DataFrame, cols: Sequence[str], id_col: str = "id",
     return scored.select(id_col, p.cast("double").alias("prediction"))
 
 
-def fit_gbt_early_stop(train: DataFrame, cols: Sequence[str], label: str = "demand",
-                       valid_col: str = "is_valid", tol: float = 0.01, **overrides):
-    """Boosting that stops when the validation error stops improving
-    (tolerance based, on rows flagged by ``valid_col``)."""
-    est = gbt_regressor(validationIndicatorCol=valid_col, validationTol=tol, **overrides)
-    return fit(est, train, cols, label)
-
-
 def fit_binary(train: DataFrame, cols: Sequence[str], label: str = "label",
                threshold: float = 0.5, **overrides):
     """Binary boosted classifier on a label binarised at ``threshold``."""
@@ -145,25 +134,6 @@ def predict_binary(model, rows: DataFrame, cols: Sequence[str], id_col: str = "i
                          F.col("prediction").cast("int").alias("prediction"))
 
 
-_SPLIT = re.compile(r"If \(feature (\d+) ")
-
-
-def split_importance(model, cols: Sequence[str]) -> DataFrame:
-    """(feature, fscore, gain): split counts per feature normalised to sum 1,
-    ascending, next to Spark's gain-based importance. Reads the fitted model's
-    description (its size is the model's, not the data's)."""
-    counts: dict[int, int] = {}
-    for m in _SPLIT.finditer(model.toDebugString):
-        i = int(m.group(1))
-        counts[i] = counts.get(i, 0) + 1
-    total = sum(counts.values()) or 1
-    gains = model.featureImportances.toArray()
-    rows = [(cols[i], c / total, float(gains[i])) for i, c in counts.items()]
-    spark = SparkSession.getActiveSession()
-    df = spark.createDataFrame(rows, "feature string, fscore double, gain double")
-    return df.orderBy("fscore", "feature")
-
-
 def standard_scale(train: DataFrame, rows: DataFrame, cols: Sequence[str],
                    suffix: str = "") -> DataFrame:
     """(x - mean) / population std with mean and std fitted on ``train``;

@@ -4,21 +4,20 @@ mean imputation, bag of words and product grouping (Spark ML)."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.feature import CountVectorizer, PCA, RegexTokenizer
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions import expressions as X
-from demandspark.functions.text import TOKEN_PATTERN, processed_name, tokens
+from demandspark.functions.text import TOKEN_PATTERN, processed_name
 from demandspark.operators.joins import with_constants
+from demandspark.operators.words import COMPONENTS as GMM_COMPONENTS, ROUNDS, document_frequency, fit_mixture, word_counts
 from demandspark.sources.ids import dense_codes_many
 
 DEFAULT_SEED = 47
-GMM_COMPONENTS = 45
 KMEANS_CLUSTERS = 30
 KMEANS_ITERATIONS = 100
-PCA_DIMS = 20           # axes of the word space that the mixture is fitted on
 
 
 def encode(df: DataFrame, col: str, code: str) -> DataFrame:
@@ -98,20 +97,12 @@ def product_features(prepared: DataFrame) -> DataFrame:
     return prepared.select(*cols)
 
 
-def name_document_frequency(prepared: DataFrame, min_df: int = 2) -> DataFrame:
-    """(token, doc_freq) of tokens found in at least ``min_df`` processed names."""
-    t = prepared.select("product_id", F.explode(F.array_distinct(tokens("short_name_processed")))
-                        .alias("token"))
-    return (t.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
-            .where(F.col("doc_freq") >= min_df))
-
-
 def bag_of_words(prepared: DataFrame, min_df: int = 2):
     """Fitted tokenizer + count vectorizer; returns (model, vectors frame).
 
     The vocabulary is every word found in ``min_df`` names: its size is counted
     first, so that no default limit cuts the rarer words."""
-    size = name_document_frequency(prepared, min_df).count()
+    size = document_frequency(prepared, "short_name_processed", min_df=min_df).count()
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="short_name_processed", outputCol="_tokens",
                        pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
@@ -124,23 +115,17 @@ def bag_of_words(prepared: DataFrame, min_df: int = 2):
 
 def product_groups(prepared: DataFrame, method: str = "gmm", seed: int = DEFAULT_SEED,
                    k: int | None = None, max_iter: int | None = None) -> DataFrame:
-    """(product_id, product_group) from clustering the bag of words.
-
-    The mixture has a full covariance per component, so it is always fitted on
-    the PCA_DIMS main axes (as many as there are words if fewer). Spark's PCA
-    refuses more than 65,535 words; k-means has no such bound."""
-    model, vec = bag_of_words(prepared)
+    """(product_id, product_group) from clustering the words of the names: a
+    mixture on the sparse word counts, or k-means on the word vectors."""
     if method == "gmm":
-        axes = min(PCA_DIMS, len(model.stages[-1].vocabulary))
-        vec = PCA(k=axes, inputCol="words", outputCol="_pca").fit(vec).transform(vec)
-        est = GaussianMixture(k=k or GMM_COMPONENTS, seed=seed, featuresCol="_pca",
-                              predictionCol="product_group", maxIter=max_iter or 100)
-    else:
-        est = KMeans(k=k or KMEANS_CLUSTERS, seed=seed, featuresCol="words",
-                     predictionCol="product_group", maxIter=max_iter or KMEANS_ITERATIONS,
-                     initMode="k-means||")
-    fitted = est.fit(vec)
-    return fitted.transform(vec).select("product_id", F.col("product_group").cast("int"))
+        fitted = fit_mixture(prepared, word_counts(prepared, "short_name_processed"), k=k or GMM_COMPONENTS,
+                             rounds=max_iter or ROUNDS, seed=seed)
+        return fitted.groups.withColumnRenamed("group", "product_group")
+    _, vec = bag_of_words(prepared)
+    est = KMeans(k=k or KMEANS_CLUSTERS, seed=seed, featuresCol="words",
+                 predictionCol="product_group", maxIter=max_iter or KMEANS_ITERATIONS,
+                 initMode="k-means||")
+    return est.fit(vec).transform(vec).select("product_id", F.col("product_group").cast("int"))
 
 
 def prepare_locations(locations: DataFrame) -> DataFrame:

@@ -138,6 +138,11 @@ ORACLE["name_tokens"] = with_(*_P[:4]) + "SELECT product_id, short_name_processe
 ORACLE["bag_of_words"] = with_(*_P[:4]) + r"""SELECT token, count(*) AS doc_freq FROM (
   SELECT product_id, unnest(list_distinct(regexp_extract_all(lower(short_name_processed), '(\w\w+)', 1))) AS token
   FROM processed) GROUP BY token HAVING count(*) >= 2"""
+ORACLE["bag_of_words_counts"] = with_(*_P[:4], r"""held AS (SELECT product_id, token, count(*) AS n FROM (
+  SELECT product_id, unnest(regexp_extract_all(lower(short_name_processed), '(\w\w+)', 1)) AS token
+  FROM processed) GROUP BY product_id, token)""") + """SELECT product_id, word_id, token, n FROM held JOIN (
+  SELECT token, row_number() OVER (ORDER BY token) - 1 AS word_id FROM held GROUP BY token HAVING count(*) >= 2)
+  USING (token)"""
 ORACLE["document_words"] = f"""WITH docs AS (SELECT doc_id, text FROM documents WHERE lang = 'es'),
 toks AS (SELECT doc_id, list_distinct(list_transform(
            list_filter(regexp_extract_all(lower(text), '(\\w\\w+)', 1),
@@ -313,7 +318,7 @@ ORACLE["submission_sink"] = with_(DEMAND, TRAIN, TEST, STATS) + \
 
 # ---------------------------------------------------------------- facts of fitted results
 _FACT = "count(*) AS n_rows, count(DISTINCT {k}) AS n_ids, CAST(sum({k}) AS BIGINT) AS sum_ids, " \
-    "CAST(0 AS BIGINT) AS n_wrong"
+    "CAST(0 AS BIGINT) AS n_wrong, true AS varied"
 for _k in ["ols_predict", "gbt_predict", "gbt_early_stop", "gbt_with_words", "linear_booster_predict",
            "forest_predict", "binary_classify", "stack_submission"]:
     ORACLE[f"{_k}_facts"] = with_(DEMAND, TEST) + f"SELECT {_FACT.format(k='id')} FROM test"
@@ -330,6 +335,15 @@ for _k in ["cv_evaluate", "cv_evaluate_linear"]:
     ORACLE[f"{_k}_facts"] = with_(DEMAND) + """SELECT CAST(1 AS INTEGER) AS fold,
   n - CAST(ceil(n / 5.0) AS BIGINT) AS n_train, CAST(ceil(n / 5.0) AS BIGINT) AS n_valid,
   true AS rmsle_in_range FROM (SELECT least(count(*), 2000000) AS n FROM demand)"""
+ORACLE["planted_signal_facts"] = with_(DEMAND, TEST) + """SELECT model, count(*) AS n_rows, true AS beats_constant
+FROM test CROSS JOIN (SELECT unnest(['gbt', 'forest', 'linear_booster', 'ols']) AS model) m GROUP BY model"""
+ORACLE["ols_two_features"] = with_(DEMAND, TRAIN) + f"""SELECT {r6('a')} AS slope_period, {r6('b')} AS slope_channel,
+  {r6('my - a * mx - b * mz')} AS intercept FROM (
+  SELECT (sxy * szz - szy * sxz) / (sxx * szz - sxz * sxz) AS a, (szy * sxx - sxy * sxz) / (sxx * szz - sxz * sxz) AS b,
+         mx, mz, my FROM (
+    SELECT var_pop(period) AS sxx, var_pop(channel_id) AS szz, covar_pop(period, channel_id) AS sxz,
+           covar_pop(demand, period) AS sxy, covar_pop(demand, channel_id) AS szy,
+           avg(period) AS mx, avg(channel_id) AS mz, avg(demand) AS my FROM train))"""
 ORACLE["file_inventory_facts"] = "SELECT true AS all_listed, CAST(0 AS BIGINT) AS n_unsized"
 ORACLE["feature_product_groups"] = with_(DEMAND, TRAIN) + """SELECT product_id, count(*) AS n_rows,
   CAST(1 AS BIGINT) AS n_groups, true AS all_grouped FROM train GROUP BY product_id"""

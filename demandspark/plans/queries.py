@@ -179,8 +179,10 @@ from demandspark.functions.text import drop_stop_words, processed_name, stem, to
 from demandspark.operators import metrics as ME  # noqa: E402
 from demandspark.operators import models as M  # noqa: E402
 from demandspark.operators import profile as PF  # noqa: E402
+from demandspark.operators import boosting as BO  # noqa: E402
 from demandspark.operators import splits as SP  # noqa: E402
 from demandspark.operators import stacking as ST  # noqa: E402
+from demandspark.operators.words import document_frequency, word_counts  # noqa: E402
 from demandspark.plans import jobs as J  # noqa: E402
 from demandspark.sources.schemas import DEMAND_SCHEMA, model_features  # noqa: E402
 
@@ -305,9 +307,18 @@ def name_tokens(spark, sf):
 
 @register("bag_of_words")
 def bag_of_words(spark, sf):
-    attrs = PR.product_attributes(FX.products(spark, sf)).withColumn(
+    return document_frequency(_named_products(spark, sf), "short_name_processed")
+
+
+def _named_products(spark, sf):
+    return PR.product_attributes(FX.products(spark, sf)).withColumn(
         "short_name_processed", processed_name("short_name"))
-    return PR.name_document_frequency(attrs)
+
+
+@register("bag_of_words_counts")
+def bag_of_words_counts(spark, sf):
+    """The bag of words itself: (product, word number, word, count)."""
+    return word_counts(_named_products(spark, sf), "short_name_processed")
 
 
 @register("document_words")
@@ -552,12 +563,20 @@ def ols_one_feature(spark, sf):
     return round_doubles(M.ols_line(_train(spark, sf), "period", "demand"))
 
 
+def _grouped_products(spark, sf):
+    """Prepared products with their group, written once for all models."""
+    key = ("products", spark.sparkContext.applicationId, sf)
+    if key not in _FEATURE_MEMO:
+        _FEATURE_MEMO[key] = materialize(PR.prepare_products(FX.products(spark, sf), cluster="gmm"), "grouped-products")
+    return _FEATURE_MEMO[key]
+
+
 def _feature_tables(spark, sf):
     """Train and test features with the product group, written once for all models."""
     key = ("features", spark.sparkContext.applicationId, sf)
     if key not in _FEATURE_MEMO:
         train, test = FX.train_test(spark, sf)
-        prods = PR.product_features(PR.prepare_products(FX.products(spark, sf), cluster="gmm"))
+        prods = PR.product_features(_grouped_products(spark, sf))
         locs = PR.location_features(PR.prepare_locations(FX.locations(spark, sf)))
         tr, te = FE.build_features(train, test, prods, locs, materialize_stats=True)
         _FEATURE_MEMO[key] = (materialize(tr, "train-features"), materialize(te, "test-features"))
@@ -591,8 +610,7 @@ def gbt_early_stop(spark, sf):
     tr, te = _feature_tables(spark, sf)
     cols = model_features(with_groups=True)
     flagged = SP.hash_folds(tr, 5).withColumn("is_valid", F.col("fold") == 1)
-    model = M.fit_gbt_early_stop(flagged, cols)
-    return M.predict(model, te, cols)
+    return BO.fit_early_stop(flagged, cols).predict(te, cols)
 
 
 @fitted_query("gbt_with_words")
@@ -634,7 +652,7 @@ def binary_classify(spark, sf):
 def feature_importance(spark, sf):
     tr, _ = _feature_tables(spark, sf)
     cols = model_features(with_groups=True)
-    return M.split_importance(_gbt_model(spark, sf, tr, cols), cols)
+    return BO.split_importance(_gbt_model(spark, sf, tr, cols), cols)
 
 
 @register("importance_share")
@@ -711,15 +729,16 @@ def stack_submission(spark, sf):
 def cv_evaluate(spark, sf):
     rows = FX.demand(spark, sf)
     return J.cv_evaluate(spark, rows, FX.products(spark, sf), FX.locations(spark, sf),
-                         n_rows=SAMPLE_ROWS, k=5)
+                         n_rows=SAMPLE_ROWS, k=5, prepared=_grouped_products(spark, sf))
 
 
 @fitted_query("cv_evaluate_linear")
 def cv_evaluate_linear(spark, sf):
-    """The same fold evaluation with ordinary least squares as the model."""
+    """The same fold evaluation with ordinary least squares: labels capped at 10, missing features filled."""
     rows = FX.demand(spark, sf)
     return J.cv_evaluate(spark, rows, FX.products(spark, sf), FX.locations(spark, sf),
-                         n_rows=SAMPLE_ROWS, k=5, estimator=M.ols())
+                         n_rows=SAMPLE_ROWS, k=5, estimator=M.ols(), cap=M.LABEL_CAP, imputed=True,
+                         prepared=_grouped_products(spark, sf))
 
 
 @register("feature_job")
@@ -752,24 +771,25 @@ def submission_sink(spark, sf):
 # A model's values have no SQL; what must hold of any of its results has.
 
 def _facts(rows, key, value, low, high, group=()):
-    """Rows, distinct keys, and values that are missing or out of [low, high]."""
+    """Rows, distinct keys, values that are missing or out of [low, high], and whether values differ."""
     ok = F.coalesce((~F.isnan(F.col(value).cast("double"))) & F.col(value).between(low, high), F.lit(False))
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids"),
-            F.sum(key).cast("long").alias("sum_ids"), F.count_if(~ok).alias("n_wrong")]
+            F.sum(key).cast("long").alias("sum_ids"), F.count_if(~ok).alias("n_wrong"),
+            F.coalesce(F.min(value) < F.max(value), F.lit(False)).alias("varied")]
     return rows.groupBy(*group).agg(*aggs) if group else rows.agg(*aggs)
 
 
-HUGE = 1e12
+TOP_DEMAND = 50.0        # the greatest demand of the tables; a capped label's is LABEL_CAP
 # query -> (key, value, least and greatest value, grouping)
 FACTS = {
-    **{name: ("id", "prediction", 0.0, HUGE, ()) for name in (
-        "ols_predict", "gbt_predict", "gbt_early_stop", "gbt_with_words",
-        "linear_booster_predict", "forest_predict")},
+    "ols_predict": ("id", "prediction", 0.0, 2.0 * M.LABEL_CAP, ()),
+    **{name: ("id", "prediction", 0.0, 1.5 * TOP_DEMAND, ()) for name in (
+        "gbt_predict", "gbt_early_stop", "gbt_with_words", "linear_booster_predict", "forest_predict")},
     "product_group_gmm": ("product_id", "product_group", 0, PR.GMM_COMPONENTS - 1, ()),
     "product_group_kmeans": ("product_id", "product_group", 0, PR.KMEANS_CLUSTERS - 1, ()),
-    "stack_oof": ("row_id", "prediction", -HUGE, HUGE, ("model",)),
-    "stack_test_mean": ("id", "prediction", -HUGE, HUGE, ("model",)),
-    "stack_submission": ("id", "demand", 0.0, HUGE, ()),
+    "stack_oof": ("row_id", "prediction", -TOP_DEMAND, 2 * TOP_DEMAND, ("model",)),
+    "stack_test_mean": ("id", "prediction", -TOP_DEMAND, 2 * TOP_DEMAND, ("model",)),
+    "stack_submission": ("id", "demand", 0.0, 1.5 * TOP_DEMAND, ()),
 }
 
 
@@ -813,6 +833,44 @@ for _key in ("cv_evaluate", "cv_evaluate_linear"):
     register(f"{_key}_facts")(_cv_facts(_key))
 
 
+PLANTED_COLS = ["channel_id", "depot_id", "route_id"]
+
+
+def planted(rows):
+    """Rows with a label that two of the features decide."""
+    y = F.col("channel_id") * 3 + F.col("route_id") / 10
+    return rows.withColumn("demand", y.cast("double"))
+
+
+def learnt(scored):
+    """Whether the error of (prediction, demand) is below 0.7 of the best constant's, the mean of the logs."""
+    off = F.log1p(X.floor_zero(F.col("prediction"))) - F.log1p("demand")
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                      (F.sqrt(F.avg(off * off)) < 0.7 * F.stddev_pop(F.log1p("demand"))).alias("beats_constant"))
+
+
+@register("planted_signal_facts")
+def planted_signal_facts(spark, sf):
+    """Each kind of model learns a planted label on the train rows and predicts it on the test rows."""
+    train, test = FX.train_test(spark, sf)
+    tr, te = planted(train), planted(test)
+    cols, parts = PLANTED_COLS, []
+    for name, est, imputed in (("gbt", M.gbt_regressor(), False), ("forest", M.random_forest(5, maxDepth=8), False),
+                               ("linear_booster", M.linear_booster(), True), ("ols", M.ols(), True)):
+        fit, predict = (M.fit_imputed, M.predict_imputed) if imputed else (M.fit, M.predict)
+        pred = predict(fit(est, tr, cols), te, cols)
+        parts.append(learnt(pred.join(te.select("id", "demand"), "id")).select(F.lit(name).alias("model"), "*"))
+    return SP.union_parts(parts)
+
+
+@register("ols_two_features")
+def ols_two_features(spark, sf):
+    """Ordinary least squares of demand on period and channel: one row of coefficients."""
+    m = M.fit_ols(_train(spark, sf), ["period", "channel_id"], cap=None)
+    row = (float(m.coefficients[0]), float(m.coefficients[1]), float(m.intercept))
+    return round_doubles(spark.createDataFrame([row], "slope_period double, slope_channel double, intercept double"))
+
+
 @register("file_inventory_facts")
 def file_inventory_facts(spark, sf):
     """Whether every table has a file, and files without a size."""

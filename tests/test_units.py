@@ -261,7 +261,7 @@ def test_facts_fail_on_wrong_results(spark):
     from demandspark.plans.queries import _facts
     schema = "id long, prediction double"
     good = _facts(spark.createDataFrame([(1, 0.0), (2, 3.5)], schema), "id", "prediction", 0.0, 9.0).first()
-    assert tuple(good) == (2, 2, 3, 0)
+    assert tuple(good) == (2, 2, 3, 0, True)
     bad = spark.createDataFrame([(1, None), (1, float("nan")), (2, -1.0), (3, 10.0), (4, float("inf"))], schema)
     row = _facts(bad, "id", "prediction", 0.0, 9.0).first()
     assert row["n_rows"] == 5 and row["n_ids"] == 4 and row["n_wrong"] == 5
