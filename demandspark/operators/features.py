@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from demandspark.operators.joins import left_attach, with_constants, written_dimension
 from demandspark.session import materialize
-from demandspark.operators.target_means import MeanStats, mean_stats
+from demandspark.operators.target_means import MeanStats, mean_state, mean_stats, mean_stats_from_state
 from demandspark.operators.unique_counts import UNIQUE_SPECS, count_medians, unique_counts
 from demandspark.sources.schemas import (EXTRA_MEAN_FEATURES, KEY_COLUMNS, LOCATION_FEATURES,
                                          MEAN_FEATURES, PRODUCT_FEATURES)
@@ -115,18 +115,21 @@ def build_features(train: DataFrame, test: DataFrame, product_feats: DataFrame |
     written once, so the planner knows their bytes), per-client counts on the
     client log-mean table.
 
-    ``materialize_stats`` (for jobs that write both sides) writes every
-    statistic table once to the shared folder, so the train scan and its
-    aggregations run once for both the train and the test output.
+    ``materialize_stats`` (for jobs that need both sides) scans the train rows
+    once for all statistics: their finest aggregation state is written to the
+    shared folder, and every statistic and distinct count is merged from it,
+    the coarser ones from the next finer, each written once for both outputs.
     """
-    stats = mean_stats(train, label)
     cols = feature_columns(product_feats, location_feats)
-    counts = {key: unique_counts(train, key) for key in UNIQUE_SPECS}
+    if materialize_stats:
+        state = materialize(mean_state(train, label), "state")
+        stats = mean_stats_from_state(state, materialize)
+        counts = {k: materialize(unique_counts(state, k), f"counts-{k}") for k in UNIQUE_SPECS}
+    else:
+        stats = mean_stats(train, label)
+        counts = {key: unique_counts(train, key) for key in UNIQUE_SPECS}
     medians = count_medians([(counts[k], list(spec)) for k, spec in UNIQUE_SPECS.items()])
     if materialize_stats:
-        stats = MeanStats(**{f: materialize(getattr(stats, f), f"stat-{f}")
-                             for f in stats.__dataclass_fields__})
-        counts = {k: materialize(v, f"counts-{k}") for k, v in counts.items()}
         medians = materialize(medians, "count-medians")
     how = "left" if keep_unmatched else "inner"
 

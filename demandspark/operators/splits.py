@@ -8,9 +8,7 @@ and are the scalable default.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from demandspark.operators.joins import with_constants
@@ -19,6 +17,7 @@ from demandspark.sources.ids import with_consecutive_id
 DEFAULT_SEED = 47
 CV_SEED = 451
 HOLDOUT_SEED = 1729
+PREFIX_BITS = 16   # hash prefixes that the exact sample counts
 
 
 def hash_order(id_col: str = "row_id", seed: int = DEFAULT_SEED) -> Column:
@@ -92,19 +91,40 @@ def shuffle_rows(df: DataFrame, seed: int = DEFAULT_SEED, id_col: str = "row_id"
 
 def exact_sample(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "row_id") -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), uniformly at random and reproducible:
-    the first ``n`` rows by a seeded hash. A hash threshold a little above the
-    share wanted leaves few more than ``n`` rows to sort and write; should fewer
-    be left (ids that repeat hash alike), all rows are ranked."""
-    total = df.count()
-    if total <= n:
+    the first ``n`` rows by a seeded hash, without a global sort.
+
+    One scan counts rows per hash prefix (at most 2^PREFIX_BITS counts, merged
+    map-side). The prefix in which the n-th row lies is the bound: rows below it
+    all belong to the sample, rows above it none, and only those on it (about one
+    in 2^PREFIX_BITS; more if ids repeat, as these hash alike) are sorted and
+    written. The kept rows are filters on scans of ``df``, so ``df`` should be a
+    written table."""
+    if n <= 0:
+        return df.where(F.lit(False))
+    bound = prefix_bound(df, n, seed, id_col)
+    if bound is None:
         return df
-    order = hash_order(id_col, seed)
-    share = (n + 10 * math.sqrt(n) + 100) / total
-    near = df.where(order <= F.lit(min(int(share * 2 ** 64) - 2 ** 63, 2 ** 63 - 1)))
-    if near.count() < n:
-        near = df
-    ranked = with_consecutive_id(near, [order, F.col(id_col)], name="_rank")
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    order, prefix = hash_order(id_col, seed), hash_prefix(id_col, seed)
+    on_bound = with_consecutive_id(df.where(prefix == bound.prefix), [order, F.col(id_col)], name="_rank")
+    return (df.where(prefix < bound.prefix)
+            .unionByName(on_bound.where(F.col("_rank") <= n - bound.below).drop("_rank")))
+
+
+def hash_prefix(id_col: str = "row_id", seed: int = DEFAULT_SEED) -> Column:
+    """The leading bits of the hash order (signed, so prefixes order as hashes do)."""
+    return F.shiftright(hash_order(id_col, seed), 64 - PREFIX_BITS)
+
+
+def prefix_bound(df: DataFrame, n: int, seed: int = DEFAULT_SEED, id_col: str = "row_id") -> Row | None:
+    """(prefix, below) of the prefix that holds the n-th row and the number of
+    rows before it; None if all rows are among the first ``n``. The window runs
+    over the histogram, whose size is fixed."""
+    counts = df.groupBy(hash_prefix(id_col, seed).alias("prefix")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("_n").over(Window.partitionBy())
+    return (counts.select("prefix", (upto - F.col("_n")).alias("below"), upto.alias("_upto"), total.alias("_total"))
+            .where((F.col("_upto") >= n) & (F.col("below") < n) & (F.col("_total") > n))
+            .select("prefix", "below").first())
 
 
 def holdout_split(df: DataFrame, test_fraction: float = 0.2,

@@ -98,3 +98,57 @@ def mean_stats(train: DataFrame, value: str = "demand") -> MeanStats:
         prev_depot_product=level_mean(train, "lm_prev_depot_product", value),
         prev_client_depot_product=level_mean(train, "lm_prev_client_depot_product", value),
     )
+
+
+# Keys of the finest aggregation state: every statistic of the feature job groups by some of them.
+STATE_KEYS = ["period", "channel_id", "client_id", "depot_id", "product_id"]
+
+
+def mean_state(rows: DataFrame, value: str = "demand") -> DataFrame:
+    """The finest aggregation state: per key of STATE_KEYS (NULL is a key here) the
+    sum and the count of log1p(value). Distinct counts need only its keys."""
+    lv = F.log1p(F.col(value).cast("double"))
+    return rows.groupBy(*STATE_KEYS).agg(F.sum(lv).alias("log_sum"), F.count(lv).alias("log_n"))
+
+
+def merge_state(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The state of coarser keys: sums of sums and of counts."""
+    return state.groupBy(*keys).agg(F.sum("log_sum").alias("log_sum"), F.sum("log_n").alias("log_n"))
+
+
+def state_mean(state: DataFrame, keys: Sequence[str], name: str, shift: int = 0,
+               period_col: str = "period") -> DataFrame:
+    """Log-mean per key from a state of these keys; NULL keys dropped, NULL where no value counted."""
+    out = state
+    for k in keys:
+        out = out.where(F.col(k).isNotNull())
+    out = out.select(*keys, F.expm1(F.when(F.col("log_n") > 0, F.col("log_sum") / F.col("log_n"))).alias(name))
+    if shift:
+        out = out.withColumn(period_col, (F.col(period_col) + F.lit(shift)).cast("int"))
+    return out
+
+
+def mean_stats_from_state(state: DataFrame, written=lambda df, name: df) -> MeanStats:
+    """The statistics of ``mean_stats``, each merged from the next finer state
+    instead of from the rows. ``written(df, name)`` may cut the lineage between
+    the steps, so that no state is merged twice."""
+    def step(finer: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+        return written(merge_state(finer, keys), f"state-{name}")
+
+    prev_cdp = step(state, "prev_client_depot_product", PREV_LEVELS["lm_prev_client_depot_product"])
+    prev_dp = step(prev_cdp, "prev_depot_product", PREV_LEVELS["lm_prev_depot_product"])
+    cpd = step(prev_cdp, "client_product_depot", LEVELS["lm_client_product_depot"])
+    dp = step(prev_dp, "depot_product", LEVELS["lm_depot_product"])
+    cp = step(cpd, "client_product", LEVELS["lm_client_product"])
+    c = step(cp, "client", LEVELS["lm_client"])
+    return MeanStats(
+        global_mean=state_mean(step(c, "global", []), [], "lm_global"),
+        client=state_mean(c, LEVELS["lm_client"], "lm_client"),
+        client_product=state_mean(cp, LEVELS["lm_client_product"], "lm_client_product"),
+        depot_product=state_mean(dp, LEVELS["lm_depot_product"], "lm_depot_product"),
+        client_product_depot=state_mean(cpd, LEVELS["lm_client_product_depot"], "lm_client_product_depot"),
+        prev_depot_product=state_mean(prev_dp, PREV_LEVELS["lm_prev_depot_product"],
+                                      "lm_prev_depot_product", shift=1),
+        prev_client_depot_product=state_mean(prev_cdp, PREV_LEVELS["lm_prev_client_depot_product"],
+                                             "lm_prev_client_depot_product", shift=1),
+    )

@@ -114,6 +114,21 @@ def test_exact_sample_size(spark):
     assert SP.exact_sample(df, 5000).count() == 1000
 
 
+def test_exact_sample_is_the_first_by_hash_without_a_sort(spark):
+    df = spark.range(1, 20_001).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("row_id"), F.col("id").alias("v"))
+    ranked = sorted((r.h, r.row_id or 0) for r in df.select("row_id", SP.hash_order("row_id", 9).alias("h")).collect())
+    for n in (0, 1, 777, 19_999, 20_000, 50_000):
+        got = SP.exact_sample(df, n, seed=9).select("row_id", SP.hash_order("row_id", 9).alias("h")).collect()
+        assert sorted((r.h, r.row_id or 0) for r in got) == ranked[:n]
+    assert SP.exact_sample(df.where("v < 0"), 5).count() == 0
+    # the rows are filtered scans; only the bound's rows were ranked, in a table of their own
+    plan = SP.exact_sample(df, 777, seed=9)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "hashpartitioning(row_id" not in plan
+    bound = SP.prefix_bound(df, 777, seed=9)
+    on = df.where(SP.hash_prefix("row_id", 9) == bound.prefix).count()
+    assert bound.below < 777 <= bound.below + on and on < 20
+
+
 def test_quantiles_match_linear_interpolation(spark):
     vals = [5, 1, 9, 3, 3, 8, 2, 7]
     df = spark.createDataFrame([(1, v) for v in vals], "k int, v int")
@@ -168,6 +183,43 @@ def test_cached_table_hit_and_parameters(spark, tmp_path):
     assert len(built) == 1
 
 
+def test_cached_table_follows_its_inputs(spark, tmp_path):
+    from demandspark.sources import io as IO
+    src, path = str(tmp_path / "my input"), str(tmp_path / "cache")
+    built = []
+
+    def cached(**kw):
+        df = spark.read.parquet(src)
+
+        def build():
+            built.append(1)
+            return df.groupBy().sum("id")
+        return IO.cached_table(spark, path, build, inputs=[df], **kw)
+
+    spark.range(4).write.parquet(src)
+    first = cached()
+    assert first.first()[0] == 6 and cached().first()[0] == 6 and len(built) == 1
+    # more files, rewritten files and other parameters each lead to a table of their own
+    spark.range(10, 12).write.mode("append").parquet(src)
+    assert cached().first()[0] == 27 and cached().first()[0] == 27 and len(built) == 2
+    spark.range(5).write.mode("overwrite").parquet(src)
+    assert cached().first()[0] == 10 and len(built) == 3
+    assert cached(params={"k": 2}).first()[0] == 10 and len(built) == 4
+    assert cached(rebuild=True).first()[0] == 10 and len(built) == 5
+    # who read the first state still can
+    assert first.first()[0] == 6
+    # a build that was cut short left no manifest
+    import glob
+    import shutil
+    for m in glob.glob(path + "/*-manifest"):
+        shutil.rmtree(m)
+    assert cached().first()[0] == 10 and len(built) == 6
+    # without files nothing tells a change: built each time
+    for k in (1, 2):
+        IO.cached_table(spark, path + "2", lambda: built.append(1) or spark.range(3), inputs=[spark.range(3)])
+        assert len(built) == 6 + k
+
+
 def test_feature_csv_keeps_types(spark):
     from demandspark.plans import jobs as J
     from demandspark.sources import fixtures as FX
@@ -210,6 +262,25 @@ def test_fallback_chain_has_no_nulls(spark):
     assert abs(row[1].lm_prev_client_depot_product - (math.exp((math.log(6) + math.log(8)) / 2) - 1)) < 1e-12
 
 
+def test_statistics_merged_from_one_state(spark):
+    rows = spark.createDataFrame(
+        [(3, 1, 10, 100, 1, 5), (3, 1, 10, 100, 2, 7), (4, 1, 10, 101, 1, None), (4, None, 10, 100, 1, 2),
+         (4, 2, None, 100, None, 9), (5, 2, 11, None, 3, -4), (5, 3, 11, 101, 3, -1), (None, 3, 12, 101, 3, 0)],
+        "period int, depot_id int, client_id int, product_id int, channel_id int, demand int")
+    direct, merged = TM.mean_stats(rows), TM.mean_stats_from_state(TM.mean_state(rows))
+    for name in TM.MeanStats.__dataclass_fields__:
+        a, b = getattr(direct, name), getattr(merged, name)
+        assert sorted(a.columns) == sorted(b.columns) and dict(a.dtypes) == dict(b.dtypes), name
+        rounded = [[tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.select(*sorted(a.columns)).collect()]
+                   for d in (a, b)]
+        assert sorted(rounded[0], key=str) == sorted(rounded[1], key=str), name
+    state = TM.mean_state(rows)
+    for key in UC.UNIQUE_SPECS:
+        assert sorted(UC.unique_counts(rows, key).collect()) == sorted(UC.unique_counts(state, key).collect())
+    empty = rows.where("period > 99")
+    assert TM.mean_stats_from_state(TM.mean_state(empty)).global_mean.first().lm_global is None
+
+
 def test_unique_counts_median_fill(spark):
     train = spark.createDataFrame(
         [(1, 1, 1, 1), (1, 2, 1, 2), (2, 1, 2, 1), (3, 1, 3, 3)],
