@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.arrays import (MULT_A, MULT_B, as_long, byte_column, mix64, powers)
@@ -40,6 +40,7 @@ LENGTH = 400
 GRAM = 64
 PIECE = 1 << 19          # windows of a text handled at once: bounds memory for very long texts
 MAX_CLASS = 8000         # anchors of a class in one task
+SALTS = 64               # parts into which the rows of a gram or run are dealt for a join (one bit each)
 INVERSE_A = np.uint64(pow(int(MULT_A), -1, 1 << 64))
 MULT_C = np.uint64(0xD6E8FEB86659FD93)   # fixed value: second polynomial
 INVERSE_C = np.uint64(pow(int(MULT_C), -1, 1 << 64))
@@ -281,6 +282,22 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def _salt(*cols: str) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int")
+
+
+def _held_salts() -> Column:
+    """The salts of a group's rows, as bits: merged map-side like any sum."""
+    return F.expr("bit_or(shiftleft(1L, _salt))").alias("_salts")
+
+
+def _per_salt(groups: DataFrame) -> DataFrame:
+    """A row of each group for every salt that its rows hold, in place of ``_salts``:
+    a join on it and ``_salt`` spreads a hot group, and one of few rows stays of few rows."""
+    salts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit(F.col("_salts"), s) == 1)
+    return groups.withColumn("_salt", F.explode(salts)).drop("_salts")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, max_class: int = MAX_CLASS) -> DataFrame:
     """(k1, k2, copied, spans): for each text, named by its content hashes, the
     byte ranges [s, e) covered by ``length``-byte strings that start elsewhere
@@ -294,26 +311,30 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, max_class: int = MAX_C
               .select("k1", "k2", F.lit(True).alias("copied")))
 
     # rank on GRAM bytes: positions with a unique rank leave
+    anchors = anchors.withColumn("_salt", _salt("k1", "first"))
     grams = (anchors.groupBy("gram")
-             .agg(F.count(F.lit(1)).alias("members"), F.min("run").alias("_lo"), F.max("run").alias("_hi"))
+             .agg(F.count(F.lit(1)).alias("members"), F.min("run").alias("_lo"), F.max("run").alias("_hi"), _held_salts())
              .where("members > 1")
-             .select("gram", "members", (F.col("_lo") == F.col("_hi")).alias("uniform")))
-    left = materialize(anchors.join(grams, "gram"), "classes")
+             .select("gram", "members", (F.col("_lo") == F.col("_hi")).alias("uniform"), "_salts"))
+    left = materialize(anchors.join(_per_salt(grams), ["gram", "_salt"]), "classes")
 
     # rank on whole runs of windows
     mixed = left.where(~F.col("uniform"))
     runs = (mixed.groupBy("gram", "run")
             .agg(F.count(F.lit(1)).alias("times"), F.max("members").alias("members"),
-                 F.min(F.struct("k1", "k2", "first", "n")).alias("one")))
+                 F.min(F.struct("k1", "k2", "first", "n")).alias("one"), _held_salts()))
     runs = materialize(runs, "runs")
-    again = mixed.join(runs.where("times > 1").select("gram", "run"), ["gram", "run"], "left_semi")
+    again = mixed.join(_per_salt(runs.where("times > 1").select("gram", "run", "_salts")),
+                       ["gram", "run", "_salt"], "left_semi")
     covered = left.where("uniform").select("k1", "k2", "first", "n").unionByName(
         again.select("k1", "k2", "first", "n"))
 
     # rank on `length` bytes: classes that hold a run found once
-    open_ = runs.groupBy("gram").agg(F.max(F.col("times") == 1).alias("_o")).where("_o").select("gram")
+    runs = runs.drop("_salts").withColumn("_salt", _salt("run"))
+    open_ = _per_salt(runs.groupBy("gram").agg(F.max(F.col("times") == 1).alias("_o"), _held_salts())
+                      .where("_o").select("gram", "_salts"))
     parts = F.ceil(F.col("members") / max_class).cast("int")
-    tasks = (runs.join(open_, "gram", "left_semi")
+    tasks = (runs.join(open_, ["gram", "_salt"], "left_semi")
              .select("one.k1", "one.k2", F.struct(
                  "gram", (F.pmod(F.xxhash64("run"), parts)).cast("int").alias("salt"),
                  (parts > 1).alias("split"), F.col("one.first").alias("first"),
