@@ -6,7 +6,7 @@ Integers are cast explicitly and doubles rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
-from demandspark.functions.text import STEM_PATTERN, spanish_stop_words
+from demandspark.functions.text import spanish_stop_words, stem_steps
 from demandspark.sources.fixtures import PRODUCT_NAME_SQL
 
 DEMAND = """demand AS (
@@ -69,7 +69,16 @@ def with_(*ctes: str) -> str:
 
 # Product preparation in SQL: attributes, codes, brand mean, mean fill.
 STOPS_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in spanish_stop_words()) + "]"
-STEM_SQL = STEM_PATTERN.replace("'", "''")
+
+
+def stems_sql(words: str) -> str:
+    """The stems of a list of words: the same rules, one list pass per step."""
+    out = words
+    for fields in stem_steps():
+        packed = ", ".join(f"{k} := {v}" for k, v in fields.items())
+        out = f"list_transform({out}, lambda x: struct_pack({packed}))"
+    return f"list_transform({out}, lambda x: x.w)"
+
 
 # The name patterns and unit factors of ``functions.expressions``.
 PRODUCT_ATTRS = r"""attrs AS (
@@ -93,10 +102,9 @@ coded AS (
                JOIN brand_codes b ON a.brand IS NOT DISTINCT FROM b.brand)"""
 
 PROCESSED = f"""processed AS (
-  SELECT *, array_to_string(list_transform(
+  SELECT *, array_to_string({stems_sql(f"""
             list_filter(list_filter(string_split_regex(trim(lower(short_name)), '\\s+'), lambda w: length(w) > 0),
-                        lambda w: NOT list_contains({STOPS_SQL}, w)),
-            lambda w: regexp_replace(w, '{STEM_SQL}', '\\1')), ' ') AS short_name_processed
+                        lambda w: NOT list_contains({STOPS_SQL}, w))""")}, ' ') AS short_name_processed
   FROM coded)"""
 
 PREPARED = """brand_weight AS (

@@ -81,7 +81,7 @@ ORACLE["products_prepared"] = with_(*PRODUCTS_ALL) + (
 ORACLE["location_encoded"] = with_(*LOCATIONS_ALL) + "SELECT * FROM loc_prepared"
 
 # ---------------------------------------------------------------- scans and sinks
-from demandspark.plans.oracle import CLIENT, STOPS_SQL, STEM_SQL  # noqa: E402
+from demandspark.plans.oracle import CLIENT, STOPS_SQL, stems_sql  # noqa: E402
 
 ORACLE["csv_roundtrip"] = ORACLE["demand_scan"]
 ORACLE["parquet_cache"] = ORACLE["products_prepared"]
@@ -144,10 +144,9 @@ ORACLE["bag_of_words_counts"] = with_(*_P[:4], r"""held AS (SELECT product_id, t
   SELECT token, row_number() OVER (ORDER BY token) - 1 AS word_id FROM held GROUP BY token HAVING count(*) >= 2)
   USING (token)"""
 ORACLE["document_words"] = f"""WITH docs AS (SELECT doc_id, text FROM documents WHERE lang = 'es'),
-toks AS (SELECT doc_id, list_distinct(list_transform(
+toks AS (SELECT doc_id, list_distinct({stems_sql(f"""
            list_filter(regexp_extract_all(lower(text), '(\\w\\w+)', 1),
-                       lambda w: NOT list_contains({STOPS_SQL}, w)),
-           lambda w: regexp_replace(w, '{STEM_SQL}', '\\1'))) AS ws FROM docs)
+                       lambda w: NOT list_contains({STOPS_SQL}, w))""")}) AS ws FROM docs)
 SELECT token, count(*) AS doc_freq FROM (SELECT doc_id, unnest(ws) AS token FROM toks)
 GROUP BY token HAVING count(*) >= 2"""
 

@@ -179,7 +179,7 @@ def location_encoded(spark, sf):
 # ---------------------------------------------------------------- scans and sinks
 
 from demandspark.functions import expressions as X  # noqa: E402
-from demandspark.functions.text import drop_stop_words, processed_name, stem, tokens  # noqa: E402
+from demandspark.functions.text import drop_stop_words, processed_name, stemmed, tokens  # noqa: E402
 from demandspark.operators import metrics as ME  # noqa: E402
 from demandspark.operators import models as M  # noqa: E402
 from demandspark.operators import profile as PF  # noqa: E402
@@ -333,7 +333,7 @@ def document_words(spark, sf):
     (token, doc_freq) for tokens in at least two documents."""
     docs = FX.spanish_documents(spark, sf).select("doc_id", tokens("text").alias("_tokens"))
     kept = drop_stop_words(docs, "_tokens", "_kept")
-    t = kept.select("doc_id", F.explode(F.array_distinct(F.transform("_kept", stem))).alias("token"))
+    t = kept.select("doc_id", F.explode(F.array_distinct(stemmed(F.col("_kept")))).alias("token"))
     return (t.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
             .where(F.col("doc_freq") >= 2))
 

@@ -107,6 +107,26 @@ def test_consecutive_ids_and_running_sum(spark):
         assert r.cum == acc
 
 
+def test_spanish_stems(spark):
+    from demandspark.functions.text import processed_name, stemmed
+    from demandspark.plans.oracle import stems_sql
+    import duckdb
+    pairs = {"chicas": "chic", "cheques": "chequ", "torneado": "torn", "torneos": "torne", "torniquete": "torniquet",
+             "torpeza": "torpez", "tortillas": "tortill", "toros": "tor", "tortura": "tortur", "torturando": "tortur",
+             "chihuahua": "chihuahu", "tórax": "torax", "rápidamente": "rapid", "llegando": "lleg",
+             "haciéndola": "hac", "contribuyendo": "contribu", "paguen": "pag", "tecnologías": "tecnolog",
+             "pequeñas": "pequeñ", "nacionalidad": "nacional", "instituciones": "institu", "soluciones": "solucion", "presidencia": "president",
+             "trabajadores": "trabaj", "negativamente": "negat", "en": "en", "a": "a", "12": "12", "x": "x"}
+    df = spark.createDataFrame([(list(pairs),)], "w array<string>")
+    assert dict(zip(pairs, df.select(stemmed(F.col("w"))).first()[0])) == pairs
+    quoted = "[" + ", ".join(f"'{w}'" for w in pairs) + "]"
+    assert duckdb.connect().execute("SELECT " + stems_sql(quoted)).fetchone()[0] == list(pairs.values())
+    names = spark.createDataFrame([("Las  Galletas de Chocolate ",), ("",), (None,)], "name string")
+    got = names.select(processed_name("name").alias("p"))
+    assert [r.p for r in got.collect()] == ["gallet chocolat", "", None]
+    assert "INSET" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_exact_sample_size(spark):
     df = spark.range(1, 1001).withColumnRenamed("id", "row_id")
     s = SP.exact_sample(df, 123, seed=5)
