@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from demandspark.operators.joins import with_constants
+from demandspark.session import shared_dir
 from demandspark.sources.ids import with_consecutive_id
+from demandspark.sources.io import write_parquet
 
 DEFAULT_SEED = 47
 CV_SEED = 451
@@ -71,9 +73,12 @@ def chunk_ids(df: DataFrame, n_chunks: int, order: list | None = None,
 
 def split_parts(df: DataFrame, n_parts: int, id_col: str = "row_id",
                 name: str = "part") -> list[DataFrame]:
-    """array_split into ``n_parts`` consecutive parts (sizes differ by <= 1)."""
+    """array_split into ``n_parts`` consecutive parts (sizes differ by <= 1). The
+    tagged rows are written once, a folder per part, so each part reads its own files."""
     tagged = exact_folds(df, n_parts, order=[F.col(id_col)], name=name)
-    return [tagged.where(F.col(name) == i) for i in range(1, n_parts + 1)]
+    path = write_parquet(tagged, shared_dir(df.sparkSession, "parts"), [name])
+    rows = df.sparkSession.read.schema(tagged.schema).parquet(path).select(*tagged.columns)
+    return [rows.where(F.col(name) == i) for i in range(1, n_parts + 1)]
 
 
 def union_parts(parts: list[DataFrame]) -> DataFrame:

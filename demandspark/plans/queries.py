@@ -503,9 +503,8 @@ def chunk_ids_q(spark, sf):
 
 @register("split_union")
 def split_union(spark, sf):
-    """Eight consecutive parts and their union: one pass that tags each row with its part."""
-    t = _train(spark, sf, with_row_id=True)
-    return SP.exact_folds(t, 8, order=[F.col("row_id")], name="part")
+    """Eight consecutive parts, each a table of its own, and their union."""
+    return SP.union_parts(SP.split_parts(_train(spark, sf, with_row_id=True), 8))
 
 
 @register("holdout_split")

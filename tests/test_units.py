@@ -85,6 +85,16 @@ def test_split_sizes_match_array_split(spark):
     assert [n for _, n in sizes] == [3, 3, 3, 2]
 
 
+def test_split_parts_read_their_own_files(spark):
+    df = spark.range(1, 22).select(F.col("id").alias("row_id"), (F.col("id") * 2).alias("v"))
+    parts = SP.split_parts(df, 4)
+    assert [sorted(r.row_id for r in p.collect()) for p in parts] == [
+        list(range(1, 7)), list(range(7, 12)), list(range(12, 17)), list(range(17, 22))]
+    plan = parts[1]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and "Exchange" not in plan
+    assert sorted(SP.union_parts(parts).select("row_id", "v").collect()) == sorted(df.collect())
+
+
 def test_every_row_one_fold(spark):
     df = spark.range(1, 1001).withColumnRenamed("id", "row_id")
     f = SP.exact_folds(df, 7, shuffle=True, seed=3)
