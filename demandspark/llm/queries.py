@@ -33,21 +33,28 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, min_lines=3)
+    return dedup_lines(docs, min_lines=3, min_words=50)
 
 
 OP2_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w FROM lines),
 runs AS (
-  SELECT doc_id, i, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT doc_id, i, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c, w, w + lead(w) OVER w AS w2
+  FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 later AS (
-  SELECT doc_id, i FROM (
+  SELECT doc_id, i, 3 AS size FROM (
     SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS n
-    FROM runs WHERE c IS NOT NULL) WHERE n > 1),
-gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest(range(3)) AS k)),
+    FROM runs WHERE c IS NOT NULL) WHERE n > 1
+  UNION ALL SELECT doc_id, i, 2 FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS n
+    FROM runs WHERE w2 >= 50) WHERE n > 1
+  UNION ALL SELECT doc_id, i, 1 FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY a ORDER BY doc_id, i) AS n
+    FROM runs WHERE w >= 50) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest(range(3)) AS k) WHERE k < size),
 marked AS (
   SELECT l.doc_id, l.i, l.line, g.i IS NOT NULL AS g,
          lag(g.i IS NOT NULL) OVER (PARTITION BY l.doc_id ORDER BY l.i) AS before

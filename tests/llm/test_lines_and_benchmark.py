@@ -10,17 +10,21 @@ from demandspark.llm.decontaminate import decontaminate, find_contamination
 from demandspark.llm.line_dedup import dedup_lines
 
 
-def brute_lines(rows, m):
+def brute_lines(rows, m, min_words=None):
     """rows in order: (doc_id, text)."""
     seen, out = set(), []
     for doc, text in rows:
         lines = (text or "").split("\n")
         gone = [False] * len(lines)
-        for i in range(len(lines) - m + 1):
-            run = tuple(lines[i:i + m])
-            if run in seen:
-                gone[i:i + m] = [True] * m
-            seen.add(run)
+        for k in range(1, m + 1):
+            for i in range(len(lines) - k + 1):
+                run = tuple(lines[i:i + k])
+                n_words = sum(len(re.findall("[^\x20\x09-\x0d]+", x)) for x in run)
+                if k < m and (min_words is None or n_words < min_words):
+                    continue
+                if run in seen:
+                    gone[i:i + k] = [True] * k
+                seen.add(run)
         runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
         kept = None if text is None else "\n".join(x for x, g in zip(lines, gone) if not g)
         out.append((doc, kept, len(lines), sum(gone), runs))
@@ -43,6 +47,23 @@ def test_lines(spark, m):
     assert got == brute_lines(rows, m)
 
 
+@pytest.mark.parametrize("m, w", [(1, 4), (2, 3), (3, 4), (4, 6), (6, 5)])
+def test_short_runs_of_many_words(spark, m, w):
+    r = random.Random(10 * m + w)
+    rows = [(0, None), (1, ""), (2, "a b c d e f"), (3, "a b c d e f"), (4, " a  b\tc\x0bd e f "), (5, "a b c\r\nd e f")]
+    for i in range(6, 60):
+        rows.append((i, "\n".join(r.choice(["é", "b", f"own {i}", "", "two words", "and then three", "a b c\td", "  "])
+                                  for _ in range(r.randint(0, 8)))))
+    rows += [(60, "long word " * 20000), (61, "x\n" + "long word " * 20000 + "\ny")]
+    df = spark.createDataFrame([(d, t, "z", 1) for d, t in rows], "doc_id long, text string, w string, line int")
+    out = dedup_lines(df.repartition(4), m, w)
+    assert out.columns == ["doc_id", "text", "w", "line", "n_lines", "n_removed", "n_runs"]
+    got = [(x.doc_id, x.text, x.n_lines, x.n_removed, x.n_runs) for x in out.orderBy("doc_id").collect()]
+    assert got == brute_lines(rows, m, w)
+    with pytest.raises(ValueError):
+        dedup_lines(df, m, 0)
+
+
 def test_lines_repeated_rows_and_empty(spark):
     text = "one\ntwo\nthree\nfour"
     df = spark.createDataFrame([(7, text), (7, text), (None, text)], "doc_id long, text string")

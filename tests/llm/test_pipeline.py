@@ -28,7 +28,7 @@ def test_stages(spark):
         if name == "language_id":
             assert after == {d: t for d, t in before.items() if t and re.search("[^\\W\\d_]", t)}
         elif name == "line_dedup":
-            expect = {d: k for d, k, n, gone, _ in brute_lines(sorted(before.items()), 3) if gone < n}
+            expect = {d: k for d, k, n, gone, _ in brute_lines(sorted(before.items()), 3, 50) if gone < n}
             assert after == expect
         elif name == "ngram_jaccard_join":
             assert set(after) == {d for d, n, low in brute_groups(list(before.items())) if n == 0 or d == low}
