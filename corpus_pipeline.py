@@ -52,9 +52,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of three lines go, and documents of which nothing is left."""
+    """Later copies of runs of three lines or fifty words go, and documents of which nothing is left."""
     columns = docs.columns
-    out = dedup_lines(docs, min_lines=3)
+    out = dedup_lines(docs, min_lines=3, min_words=50)
     left = (F.col("n_removed") < F.col("n_lines")) | F.col("text").isNull()
     return out.where(left).withColumn("n_chars", F.char_length("text").cast("long")).select(*columns)
 
