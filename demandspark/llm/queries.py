@@ -119,13 +119,16 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"))
     out = format_conversations(rows.unionByName(probe))
     read = out.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"),
-                      read_loss(F.col("segments")).alias("loss"))
+                      read_loss(F.col("segments")).alias("loss"), "attachments", "expanded_tokens")
     joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                        F.sha2(joined, 256).alias("turns_sha256"),
                        F.char_length("loss").cast("long").alias("loss_chars"),
                        F.sha2("loss", 256).alias("loss_sha256"),
-                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+                       F.char_length("formatted").cast("long").alias("formatted_chars"),
+                       F.size("attachments").cast("long").alias("n_parts"), "expanded_tokens",
+                       F.array_join(F.transform("attachments", lambda p: F.concat(p["kind"], F.lit(" "), p["ref"])),
+                                    "\n").alias("refs"))
 
 
 OP7_SQL = """
@@ -146,7 +149,12 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (WHERE role = 'assistant'), ''))
          AS loss_sha256,
-       CAST(sum(size) AS BIGINT) AS formatted_chars
+       CAST(sum(size) AS BIGINT) AS formatted_chars, CAST(sum(len(parts)) AS BIGINT) AS n_parts,
+       CAST(sum(576 * len(list_filter(parts, lambda p: starts_with(p, '![image]')))
+                + 750 * len(list_filter(parts, lambda p: starts_with(p, '![audio]')))
+                + 1024 * len(list_filter(parts, lambda p: starts_with(p, '![document]')))) AS BIGINT) AS expanded_tokens,
+       array_to_string(list_transform(flatten(list(parts ORDER BY turn, role, body)),
+         lambda p: regexp_replace(p, '^!.([a-z]+)..(.*).$', '\\1 \\2')), chr(10)) AS refs
 FROM f GROUP BY conv_id"""
 
 

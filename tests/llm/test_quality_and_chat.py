@@ -3,7 +3,10 @@
 import random
 import re
 
-from demandspark.llm import chat_format, quality_rules
+import duckdb
+from pyspark.sql import functions as F
+
+from demandspark.llm import chat_format, quality_rules, queries
 
 
 def brute_quality(t):
@@ -72,3 +75,59 @@ def test_chat(spark):
         assert x.expanded_tokens == sum(chat_format.PART_TOKENS[k] for k, _ in parts)
     assert [t.text for t in next(x for x in got if x.conv_id == 30).turns] == ["a", "a", "b"]
     assert chat_format.format_conversations(df.where("conv_id = 99")).count() == 0
+
+
+def test_typed_parts(spark):
+    """Parts given as a column and parts read from texts, through the visitor and back."""
+    r = random.Random(2)
+    values = ["", None, "a & b <|turn|>", "$1 \\2", "é😀\n", "x(y) z", "![image](a.png)", "<|image|>x<|part|>", "&lt;"]
+    kinds = ["text", "image", "audio", "document", "video", None]
+    rows = [(c, t, r.choice(["user", "assistant"]),
+             r.choice([None, [(r.choice(kinds), r.choice(values)) for _ in range(r.randint(0, 6))]]))
+            for c in range(40) for t in range(r.randint(1, 5))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, content array<struct<kind:string,value:string>>")
+    out = chat_format.format_conversations(df.repartition(3), F.col("content"))
+    body = F.transform(F.filter(F.split("formatted", "<\\|text\\|>"), lambda x: F.contains(x, F.lit(chat_format.END))),
+                       lambda x: chat_format.read_parts(F.split(x, "<\\|end\\|>")[0]))
+    got = {x.conv_id: x for x in out.withColumn("read", body).collect()}
+    for c in range(40):
+        expect, media = [], []
+        for _, t, _, content in (x for x in rows if x[0] == c):
+            merged = []
+            for kind, value in content or []:
+                kind, value = kind if kind in chat_format.PART_TOKENS else "text", value or ""
+                if kind != "text":
+                    media.append((t, kind, value, chat_format.PART_TOKENS[kind]))
+                    merged.append((kind, value))
+                elif merged and merged[-1][0] == "text":
+                    merged[-1] = ("text", merged[-1][1] + value)
+                elif value:
+                    merged.append(("text", value))
+            expect.append(merged)
+        assert [[tuple(p) for p in turn] for turn in got[c].read] == expect
+        assert [tuple(a) for a in got[c].attachments] == media
+        assert got[c].expanded_tokens == sum(m[3] for m in media)
+    texts = ["", "![image](a)", "x![audio](b)![document]()y ![image](no part)", "z" * 50000 + "![image](q)"]
+    parsed = spark.createDataFrame([(t,) for t in texts], "t string").select(chat_format.parse_parts(F.col("t")).alias("p"))
+    assert [[tuple(p) for p in x.p] for x in parsed.collect()] == [
+        [], [("image", "a")], [("text", "x"), ("audio", "b"), ("document", ""), ("text", "y ![image](no part)")],
+        [("text", "z" * 50000), ("image", "q")]]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
+def test_chat_query_against_sql(spark, tmp_path):
+    """The registered query on turns that hold media, against its SQL."""
+    r = random.Random(3)
+    bits = ["hello ", "![image](a&b.png)", "![audio](c<d)", "![document]()", "![image](no part)", "\n", "<|end|>", "é "]
+    rows = [(c, t, r.choice(["user", "assistant", None]), r.choice([None, "".join(r.choices(bits, k=r.randint(0, 7)))]))
+            for c in range(50) for t in range(r.randint(1, 5))]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(path)
+    got = queries.op7_chat_format(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS FROM '{path}/*.parquet'")
+    expect = con.execute(queries.OP7_SQL)
+    names = [c[0] for c in expect.description]
+    assert sorted(tuple(x[n] for n in names) for x in got.collect()) == sorted(expect.fetchall())
+    assert sum(x.n_parts for x in got.collect()) > 50
