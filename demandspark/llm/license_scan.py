@@ -1,9 +1,10 @@
 """License scan with ordered signature rules, as DataFrame functions only.
 
 Texts are lower-cased and cut into words. A cheap substring gate leaves out the
-texts that no rule can match. In the rest, each rule whose keyword occurs is
-matched as a regular expression over the blank-joined words; detections are word
-intervals. In order of start, then longest, then priority, an interval inside an
+texts that no rule can match. In the rest, each rule of which a keyword occurs
+is matched as a regular expression over the blank-joined words; every match of a
+rule holds one of its keywords, whole words or parts of three letters at least.
+Detections are word intervals. In order of start, then longest, then priority, an interval inside an
 accepted one is suppressed, and one that partly overlaps it stays only if its
 rule comes before. Four base phrases are reported wherever they stand.
 """
@@ -25,10 +26,10 @@ UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Rule:
-    keyword: str          # blank-joined words that every match contains
-    pattern: str          # over blank-joined words
+    keywords: tuple[str, ...]   # parts of the blank-joined words; every match, with the blanks around it, holds one
+    pattern: str                # over blank-joined words
     label: str
-    score: float          # how sure a detection is
+    score: float                # how sure a detection is
 
 
 # How a license is named: grant texts are surer than mentions.
@@ -37,17 +38,17 @@ _GRANT = "(?:licensed|released|distributed|available|provided|published|covered|
 _VERSION = "(?: (?:version|v|ver))?"
 
 
-def _versions(name: str, label: str, versions: tuple[str, ...], keyword: str) -> list[Rule]:
+def _versions(name: str, label: str, versions: tuple[str, ...], *keywords: str) -> list[Rule]:
     """Rules of a license family: each version with and without a grant, then the bare name."""
     out = []
     for v in versions:
         number = v.replace(".", " ")
         tail = f"{_VERSION} {number}|{_VERSION} {number.split()[0]}" if number.endswith(" 0") else f"{_VERSION} {number}"
-        out.append(Rule(keyword, f"{_GRANT} (?:{name})(?:{tail})(?: or(?: any)? later(?: version)?)", f"{label}-{v}-or-later", 1.0))
-        out.append(Rule(keyword, f"{_GRANT} (?:{name})(?:{tail})", f"{label}-{v}", 1.0))
-        out.append(Rule(keyword, f"(?:{name})(?:{tail})", f"{label}-{v}", 0.9))
-    out.append(Rule(keyword, f"{_GRANT} (?:{name})", label, 0.9))
-    out.append(Rule(keyword, f"(?:{name})", label, 0.7))
+        out.append(Rule(keywords, f"{_GRANT} (?:{name})(?:{tail})(?: or(?: any)? later(?: version)?)", f"{label}-{v}-or-later", 1.0))
+        out.append(Rule(keywords, f"{_GRANT} (?:{name})(?:{tail})", f"{label}-{v}", 1.0))
+        out.append(Rule(keywords, f"(?:{name})(?:{tail})", f"{label}-{v}", 0.9))
+    out.append(Rule(keywords, f"{_GRANT} (?:{name})", label, 0.9))
+    out.append(Rule(keywords, f"(?:{name})", label, 0.7))
     return out
 
 
@@ -67,26 +68,26 @@ def _rules() -> list[Rule]:
     for kind in ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd"):
         for v in ("2 0", "2 5", "3 0", "4 0"):
             tags[f"cc {kind} {v}"] = f"cc-{kind.replace(' ', '-')}-{v.replace(' ', '.')}"
-    out += [Rule("spdx license identifier", f"spdx license identifier {tag}", label, 1.0)
+    out += [Rule(("spdx license identifier",), f"spdx license identifier {tag}", label, 1.0)
             for tag, label in sorted(tags.items(), key=lambda x: -len(x[0]))]
     # texts of licenses
     out += [
-        Rule("permission is hereby granted free of charge",
+        Rule(("permission is hereby granted free of charge",),
              "permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", 1.0),
-        Rule("permission to use copy modify", "permission to use copy modify and or distribute this software"
+        Rule(("permission to use copy modify",), "permission to use copy modify and or distribute this software"
              "(?: \\S+){0,20}? is hereby granted", "isc", 1.0),
-        Rule("redistribution and use in source and binary forms",
+        Rule(("redistribution and use in source and binary forms",),
              "redistribution and use in source and binary forms(?: \\S+){0,80}? neither the name", "bsd-3-clause", 1.0),
-        Rule("redistribution and use in source and binary forms",
+        Rule(("redistribution and use in source and binary forms",),
              "redistribution and use in source and binary forms with or without modification", "bsd-2-clause", 0.9),
-        Rule("this is free and unencumbered software", "this is free and unencumbered software released into the public domain",
+        Rule(("this is free and unencumbered software",), "this is free and unencumbered software released into the public domain",
              "unlicense", 1.0),
-        Rule("do what the fuck you want", "do what the fuck you want to public license", "wtfpl", 1.0),
-        Rule("everyone is permitted to copy and distribute verbatim copies",
+        Rule(("do what the fuck you want",), "do what the fuck you want to public license", "wtfpl", 1.0),
+        Rule(("everyone is permitted to copy and distribute verbatim copies",),
              "everyone is permitted to copy and distribute verbatim copies of this license document", "gpl", 1.0),
-        Rule("this software is provided as is", "this software is provided as is without any express or implied warranty",
+        Rule(("this software is provided as is",), "this software is provided as is without any express or implied warranty",
              "zlib", 0.7),
-        Rule("free software foundation", "published by the free software foundation", "gpl", 0.8),
+        Rule(("free software foundation",), "published by the free software foundation", "gpl", 0.8),
     ]
     # Creative Commons: long names and codes, longer kinds first
     kinds = {"attribution noncommercial sharealike": "by-nc-sa", "attribution noncommercial noderivatives": "by-nc-nd",
@@ -98,43 +99,47 @@ def _rules() -> list[Rule]:
                          f"cc-{kind}", ("4.0", "3.0"), "creative commons")
     for kind in ("by nc sa", "by nc nd", "by sa", "by nc", "by nd", "by"):
         out += _versions(f"cc {kind}", f"cc-{kind.replace(' ', '-')}", ("4.0", "3.0", "2.0"), f"cc {kind}")
-    out += _versions("cc0|creative commons zero", "cc0", ("1.0",), "cc")
+    out += _versions("cc0|creative commons zero", "cc0", ("1.0",), " cc0 ", "creative commons zero")
     # families with versions
-    out += _versions("gnu affero general public licen[sc]e|gnu agpl|agpl", "agpl", ("3.0",), "a")
-    out += _versions("gnu (?:lesser|library) general public licen[sc]e|gnu lgpl|lgpl", "lgpl", ("3.0", "2.1", "2.0"), "l")
-    out += _versions("gnu free documentation licen[sc]e|gfdl", "gfdl", ("1.3", "1.2", "1.1"), "documentation")
-    out += _versions("gnu general public licen[sc]e|gnu gpl|gpl", "gpl", ("3.0", "2.0", "1.0"), "g")
-    out += _versions("apache (?:software )?licen[sc]e|asl", "apache", ("2.0", "1.1", "1.0"), "a")
-    out += _versions("mozilla public licen[sc]e|mpl", "mpl", ("2.0", "1.1", "1.0"), "m")
-    out += _versions("eclipse public licen[sc]e|epl", "epl", ("2.0", "1.0"), "e")
-    out += _versions("eclipse distribution licen[sc]e", "edl", ("1.0",), "eclipse")
-    out += _versions("common development and distribution licen[sc]e|cddl", "cddl", ("1.1", "1.0"), "c")
-    out += _versions("european union public licen[sc]e|eupl", "eupl", ("1.2", "1.1"), "e")
+    out += _versions("gnu affero general public licen[sc]e|gnu agpl|agpl", "agpl", ("3.0",), " agpl ", "gnu affero")
+    out += _versions("gnu (?:lesser|library) general public licen[sc]e|gnu lgpl|lgpl", "lgpl", ("3.0", "2.1", "2.0"),
+                     " lgpl ", "gnu lesser general", "gnu library general")
+    out += _versions("gnu free documentation licen[sc]e|gfdl", "gfdl", ("1.3", "1.2", "1.1"), " gfdl ", "gnu free documentation")
+    out += _versions("gnu general public licen[sc]e|gnu gpl|gpl", "gpl", ("3.0", "2.0", "1.0"), " gpl ", "gnu general public")
+    out += _versions("apache (?:software )?licen[sc]e|asl", "apache", ("2.0", "1.1", "1.0"), " asl ", "apache licen",
+                     "apache software licen")
+    out += _versions("mozilla public licen[sc]e|mpl", "mpl", ("2.0", "1.1", "1.0"), " mpl ", "mozilla public")
+    out += _versions("eclipse public licen[sc]e|epl", "epl", ("2.0", "1.0"), " epl ", "eclipse public")
+    out += _versions("eclipse distribution licen[sc]e", "edl", ("1.0",), "eclipse distribution")
+    out += _versions("common development and distribution licen[sc]e|cddl", "cddl", ("1.1", "1.0"), " cddl ", "common development and")
+    out += _versions("european union public licen[sc]e|eupl", "eupl", ("1.2", "1.1"), " eupl ", "european union public")
     out += _versions("sil open font licen[sc]e|open font licen[sc]e", "ofl", ("1.1", "1.0"), "open font")
-    out += _versions("boost software licen[sc]e", "bsl", ("1.0",), "boost")
+    out += _versions("boost software licen[sc]e", "bsl", ("1.0",), "boost software")
     out += _versions("academic free licen[sc]e", "afl", ("3.0", "2.1"), "academic free")
-    out += _versions("artistic licen[sc]e", "artistic", ("2.0", "1.0"), "artistic")
+    out += _versions("artistic licen[sc]e", "artistic", ("2.0", "1.0"), "artistic licen")
     out += _versions("open software licen[sc]e", "osl", ("3.0", "2.1"), "open software")
-    out += _versions("microsoft public licen[sc]e|ms pl", "ms-pl", ("1.0",), "m")
-    out += _versions("server side public licen[sc]e|sspl", "sspl", ("1.0",), "s")
+    out += _versions("microsoft public licen[sc]e|ms pl", "ms-pl", ("1.0",), " ms pl ", "microsoft public")
+    out += _versions("server side public licen[sc]e|sspl", "sspl", ("1.0",), " sspl ", "server side public")
     out += _versions("business source licen[sc]e", "busl", ("1.1",), "business source")
-    out += _versions("open database licen[sc]e|odbl", "odbl", ("1.0",), "o")
+    out += _versions("open database licen[sc]e|odbl", "odbl", ("1.0",), " odbl ", "open database")
     # families without versions
-    for name, label, keyword in (
+    for name, label, *keywords in (
             ("bsd 3 clause(?: licen[sc]e)?|3 clause bsd(?: licen[sc]e)?|new bsd licen[sc]e|modified bsd licen[sc]e",
-             "bsd-3-clause", "bsd"),
+             "bsd-3-clause", "bsd 3 clause", "3 clause bsd", "new bsd", "modified bsd"),
             ("bsd 2 clause(?: licen[sc]e)?|2 clause bsd(?: licen[sc]e)?|simplified bsd licen[sc]e|freebsd licen[sc]e",
-             "bsd-2-clause", "bsd"),
-            ("bsd licen[sc]e", "bsd", "bsd"), ("mit licen[sc]e|expat licen[sc]e|x11 licen[sc]e", "mit", "licen"),
-            ("isc licen[sc]e", "isc", "isc"), ("zlib licen[sc]e|libpng licen[sc]e", "zlib", "lib"),
+             "bsd-2-clause", "bsd 2 clause", "2 clause bsd", "simplified bsd", "freebsd licen"),
+            ("bsd licen[sc]e", "bsd", "bsd licen"), ("mit licen[sc]e|expat licen[sc]e|x11 licen[sc]e", "mit", "mit licen", "expat licen", "x11 licen"),
+            ("isc licen[sc]e", "isc", " isc licen"), ("zlib licen[sc]e|libpng licen[sc]e", "zlib", "zlib licen",
+             "libpng licen"),
             ("python software foundation licen[sc]e", "psf", "python software"),
             ("postgresql licen[sc]e", "postgresql", "postgresql"), ("beerware licen[sc]e", "beerware", "beerware"),
-            ("ruby licen[sc]e", "ruby", "ruby"), ("php licen[sc]e", "php", "php"), ("vim licen[sc]e", "vim", "vim"),
+            ("ruby licen[sc]e", "ruby", "ruby licen"), ("php licen[sc]e", "php", "php licen"), ("vim licen[sc]e", "vim", "vim licen"),
             ("university of illinois ncsa open source licen[sc]e", "ncsa", "ncsa"),
-            ("do not redistribute|redistribution (?:is )?prohibited", "proprietary", "redistribut"),
-            ("released into the public domain|dedicated to the public domain", "public-domain", "public domain")):
-        out += [Rule(keyword, f"{_GRANT} (?:{name})", label, 1.0), Rule(keyword, f"(?:{name})", label, 0.8)]
-    return out + [Rule("all rights reserved", "all rights reserved", "all-rights-reserved", 0.5)]
+            ("do not redistribute|redistribution (?:is )?prohibited", "proprietary", "do not redistribute",
+             "redistribution is prohibited", "redistribution prohibited"),
+            ("released into the public domain|dedicated to the public domain", "public-domain", "the public domain")):
+        out += [Rule(tuple(keywords), f"{_GRANT} (?:{name})", label, 1.0), Rule(tuple(keywords), f"(?:{name})", label, 0.8)]
+    return out + [Rule(("all rights reserved",), "all rights reserved", "all-rights-reserved", 0.5)]
 
 
 RULES = _rules()
@@ -181,11 +186,12 @@ def phrase_starts(words: Column, phrase: str) -> Column:
 
 def detections(joined: Column, rules: list[Rule]) -> Column:
     """array<struct<first, negated last, rule, label, score>> of all matches over ' w1 w2 ... '."""
-    table = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.keyword).alias("keyword"),
+    table = F.array(*[F.struct(F.lit(i).alias("rule"), F.array(*[F.lit(k) for k in r.keywords]).alias("keywords"),
                                F.lit(f" ((?:{r.pattern}))(?= )").alias("pattern"), F.lit(r.label).alias("label"),
                                F.lit(r.score).alias("score")) for i, r in enumerate(rules)])
     # a match's first word gets a mark in front, its last one behind
-    marked = F.transform(F.filter(table, lambda r: F.contains(joined, r["keyword"])), lambda r: F.struct(
+    marked = F.transform(F.filter(table, lambda r: F.exists(
+        r["keywords"], lambda k: F.contains(joined, k))), lambda r: F.struct(
         r.alias("r"), F.split(F.regexp_replace(joined, r["pattern"], F.lit(" \x01$1\x02")), " ").alias("w")))
     # joined begins with a blank, so word i is part i + 1
     found = F.transform(F.filter(marked, lambda m: F.contains(F.array_join(m["w"], " "), F.lit("\x01"))), lambda m: F.zip_with(
