@@ -1,8 +1,9 @@
 """Line-first quality rules, as DataFrame functions only.
 
-Each line is held against punctuation, navigation and boilerplate rules;
-failing lines are removed, and a document that loses too much of its text is
-rejected, as is one that is too short or repeats itself.
+Each line is held against punctuation, navigation and boilerplate rules in
+English, German, French and Spanish, and against rules on how it ends; failing
+lines are removed, and a document that loses too much of its text is rejected,
+as is one that is too short or repeats itself.
 """
 
 from __future__ import annotations
@@ -17,20 +18,62 @@ MAX_REPEATED = 50        # percent of words in repeated 3-word windows
 MAX_LOST = 50            # percent of word characters in removed lines
 MAX_LINE_SYMBOLS = 10    # percent of a line's word characters that are symbols
 MAX_LINE_SHOUTS = 10     # percent of a line's word characters that are exclamation marks
+MIN_OPEN_WORDS = 4       # words of a line that doesn't end like a sentence, at least
 
 # White space between words and the symbols counted.
 WHITE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
+# Words of site navigation, alone at the start of a line or of a
+# cell ("Home | Menu"), by language (English, German, French, Spanish).
+NAVIGATION_WORDS = (
+    "home", "menu", "login", "log in", "log out", "logout", "sign in", "sign up", "sign out", "register", "next",
+    "previous", "search", "share", "site map", "sitemap", "contact us", "about us", "skip to content", "back to top",
+    "startseite", "menü", "anmelden", "abmelden", "registrieren", "weiter", "zurück", "suche", "suchen", "teilen",
+    "kontakt", "impressum", "über uns", "nach oben", "zum inhalt springen",
+    "accueil", "connexion", "se connecter", "déconnexion", "inscription", "suivant", "précédent", "rechercher",
+    "partager", "plan du site", "nous contacter", "à propos", "haut de page", "aller au contenu",
+    "inicio", "menú", "iniciar sesión", "cerrar sesión", "registrarse", "siguiente", "anterior", "buscar",
+    "compartir", "mapa del sitio", "contacto", "sobre nosotros", "volver arriba", "saltar al contenido")
+# Phrases of legal notices, consent banners, teasers and templates, by language.
+BOILERPLATE_PHRASES = (
+    "all rights reserved", "terms of use", "terms of service", "terms and conditions", "privacy policy",
+    "cookie policy", "uses cookies", "accept cookies", "accept all cookies", "enable javascript", "lorem ipsum",
+    "click here", "read more", "learn more", "subscribe to our", "sign up for our newsletter", "powered by",
+    "follow us on", "share this article", "leave a comment", "page not found", "your browser does not support",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "allgemeine geschäftsbedingungen", "datenschutzerklärung",
+    "verwendet cookies", "cookies akzeptieren", "javascript aktivieren", "hier klicken", "klicken sie hier",
+    "weiterlesen", "mehr erfahren", "newsletter abonnieren", "folgen sie uns", "artikel teilen",
+    "kommentar hinterlassen", "seite nicht gefunden",
+    "tous droits réservés", "conditions d'utilisation", "conditions générales", "mentions légales",
+    "politique de confidentialité", "utilise des cookies", "accepter les cookies", "activer javascript",
+    "cliquez ici", "lire la suite", "en savoir plus", "abonnez-vous à notre", "suivez-nous sur",
+    "partager cet article", "laisser un commentaire", "page introuvable",
+    "todos los derechos reservados", "condiciones de uso", "términos y condiciones", "aviso legal",
+    "política de privacidad", "política de cookies", "utiliza cookies", "aceptar cookies", "activar javascript",
+    "haga clic aquí", "haz clic aquí", "leer más", "saber más", "suscríbete a nuestro", "síguenos en",
+    "compartir este artículo", "deja un comentario", "página no encontrada")
+
+
+def _any_case(phrase: str) -> str:
+    """A pattern for the phrase under (?i), which folds ASCII letters only: others in both cases."""
+    return "".join(c if c.isascii() else f"[{c}{c.upper()}]" for c in phrase)
+
+
 #: Line rules: a line that contains a match is removed.
-#: Each match holds one of KEYWORDS in small letters.
-NAVIGATION = "(?i)(^|[\\x20\\x09-\\x0D])(home|menu|login|log in|sign in|sign up|next|previous|search|share)" \
-             "[\\x20\\x09-\\x0D]*([|>»/·]|$)"
-BOILERPLATE = "(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses cookies|" \
-              "enable javascript|lorem ipsum|click here|read more|subscribe to our|powered by)"
-KEYWORDS = ("home", "menu", "log", "sign ", "next", "previous", "search", "share", "rights reserved", "terms of ",
-            "privacy policy", "cookie", "enable javascript", "lorem ipsum", "click here", "read more", "subscribe to",
-            "powered by")
+NAVIGATION = (f"(?i)(^|{SPACE_RUN})({'|'.join(map(_any_case, NAVIGATION_WORDS))})"
+              "[\\x20\\x09-\\x0D]*([|>»/·]|$)")
+BOILERPLATE = f"(?i)({'|'.join(map(_any_case, BOILERPLATE_PHRASES))})"
+#: A line that is a web address and nothing else.
+ADDRESS = "(?i)^[\\x20\\x09-\\x0D]*(https?://|www[.])[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*$"
+#: Each match of these rules holds one of these parts in small letters: common stems, and
+#: the phrases without any; phrases that hold another are left out.
+STEMS = ("cookie", "javascript", "newsletter", "http", "www")
+_PARTS = {*STEMS, *(p for p in NAVIGATION_WORDS + BOILERPLATE_PHRASES if not any(x in p for x in STEMS))}
+KEYWORDS = tuple(sorted(p for p in _PARTS if not any(q != p and q in p for q in _PARTS)))
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(sorted({c.upper() for p in KEYWORDS for c in p if not c.isascii()}))
+# Fixed value: characters at which a line may end whatever its length.
+ENDS = ".!?:;,…\"'”’»)]"
 
 
 def without(text: Column, characters: str) -> Column:
@@ -46,13 +89,24 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
 
 
-def line_fails(line: Column) -> Column:
-    """Punctuation, navigation and boilerplate rules of one line."""
-    body = without(line, WHITE)
-    size = F.char_length(body)
-    return ((count_of(body, SYMBOLS) * 100 > size * MAX_LINE_SYMBOLS)
-            | (count_of(body, "!") * 100 > size * MAX_LINE_SHOUTS)
-            | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE))
+def has_symbols(line: Column) -> Column:
+    """Punctuation rules of one line."""
+    size = F.char_length(without(line, WHITE))
+    return ((count_of(line, SYMBOLS) * 100 > size * MAX_LINE_SYMBOLS)
+            | (count_of(line, "!") * 100 > size * MAX_LINE_SHOUTS))
+
+
+def has_phrase(line: Column) -> Column:
+    """Navigation and boilerplate rules of one line."""
+    return line.rlike(NAVIGATION) | line.rlike(BOILERPLATE) | line.rlike(ADDRESS)
+
+
+def ends_badly(line: Column) -> Column:
+    """A line that breaks off, or a few words without the end of a sentence; lines without words pass."""
+    whole = F.rtrim(line, F.lit(WHITE))
+    last = F.right(whole, F.lit(1))
+    teaser = (last == "…") | F.endswith(whole, F.lit("..."))
+    return (last != "") & (teaser | (~F.contains(F.lit(ENDS), last) & (F.size(words_of(line)) < MIN_OPEN_WORDS)))
 
 
 def has_any(text: Column, parts) -> Column:
@@ -62,10 +116,9 @@ def has_any(text: Column, parts) -> Column:
     return out
 
 
-def may_fail(text: Column) -> Column:
-    """False only if no line of ``text`` can fail: substring tests, far cheaper than the rules."""
-    small = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return has_any(text, "!" + SYMBOLS) | has_any(small, KEYWORDS)
+def may_hold_phrase(text: Column) -> Column:
+    """False only if no line of ``text`` is in ``has_phrase``: substring tests, far cheaper than the rules."""
+    return has_any(F.translate(text, UPPER, UPPER.lower()), KEYWORDS)
 
 
 def repeated_words(words: Column) -> Column:
@@ -109,13 +162,18 @@ def clean_documents(docs: DataFrame) -> DataFrame:
     text has none, fails as too short and isn't kept. base_failed: fewer than
     50 words, or more than half of the words in repeated 3-word windows. kept:
     not base_failed, and at most half of the word characters are in removed
-    lines. Each row is judged by itself, so repeated rows are judged alike.
+    lines. A line is removed if it holds too many symbols or exclamation marks,
+    navigation or boilerplate, or nothing but a web address, if it breaks off
+    ("..."), or if it is short and doesn't end like a sentence; a line without
+    words stays. Extra columns may have any names; an empty table gives no rows.
+    Each row is judged by itself, so repeated rows are judged alike.
     """
     t = full_text()
     base = docs.select("doc_id", "text", t.alias("_t"), words_of(t).alias("_words"),
-                       F.split(t, "\n").alias("_lines"), may_fail(t).alias("_check"))
+                       F.split(t, "\n").alias("_lines"), may_hold_phrase(t).alias("_phrases"),
+                       has_any(t, "!" + SYMBOLS).alias("_symbols"))
     measured = base.select(
-        "doc_id", "text", "_lines", "_check", F.size("_words").cast("long").alias("n_words"),
+        "doc_id", "text", "_lines", "_phrases", "_symbols", F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.when(has_any(F.col("_t"), SYMBOLS), count_of(F.col("_t"), SYMBOLS)).otherwise(0).cast("long")
         .alias("n_symbols"),
@@ -123,8 +181,8 @@ def clean_documents(docs: DataFrame) -> DataFrame:
         repeated_words(F.col("_words")).alias("n_repeat_words"))
     judged = measured.select(
         "*", (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("_check"), F.filter("_lines", lambda x: ~line_fails(x))).otherwise(F.col("_lines"))
-        .alias("_passed"))
+        F.filter("_lines", lambda x: ~(ends_badly(x) | (F.col("_symbols") & has_symbols(x))
+                                       | (F.col("_phrases") & has_phrase(x)))).alias("_passed"))
     cut = F.size("_passed") < F.size("_lines")
     cleaned = judged.select(
         "*", F.when(cut, F.array_join("_passed", "\n")).otherwise(F.col("text")).alias("_clean"),

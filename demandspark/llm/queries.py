@@ -15,7 +15,7 @@ from demandspark.llm.line_dedup import dedup_lines
 from demandspark.llm.merkle import document_proofs
 from demandspark.llm.ngram_join import near_duplicates
 from demandspark.llm.packing import pack_documents
-from demandspark.llm.quality_rules import BOILERPLATE, NAVIGATION, clean_documents
+from demandspark.llm.quality_rules import ADDRESS, BOILERPLATE, NAVIGATION, clean_documents
 from demandspark.llm.search import search
 from demandspark.llm.suffix_dedup import remove_repeats
 from demandspark.llm.token_files import read_checksums, write_token_files
@@ -94,7 +94,10 @@ passed AS (
   SELECT doc_id, list_filter(lines, lambda x: NOT (
     100 * len(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) > 10 * len(regexp_replace(x, '[\\x20\\x09-\\x0D]', '', 'g'))
     OR 100 * len(regexp_replace(x, '[^!]', '', 'g')) > 10 * len(regexp_replace(x, '[\\x20\\x09-\\x0D]', '', 'g'))
-    OR regexp_matches(x, '@NAVIGATION@') OR regexp_matches(x, '@BOILERPLATE@'))) AS p
+    OR regexp_matches(x, '@NAVIGATION@') OR regexp_matches(x, '@BOILERPLATE@') OR regexp_matches(x, '@ADDRESS@')
+    OR regexp_matches(x, '([.][.][.]|…)[\\x20\\x09-\\x0D]*$')
+    OR (len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) BETWEEN 1 AND 3
+        AND NOT regexp_matches(x, '[].!?:;,…"''”’»)][\\x20\\x09-\\x0D]*$')))) AS p
   FROM w),
 m AS (
   SELECT w.doc_id, text, len(words) AS n_words,
@@ -108,7 +111,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 100 * (word_chars - len(regexp_replace(clean, '[\\x20\\x09-\\x0D]', '', 'g')))
          <= 50 * word_chars AS kept,
        n_lines_removed, CASE WHEN text IS NOT NULL THEN len(clean) END AS clean_chars
-FROM m""".replace("@NAVIGATION@", NAVIGATION).replace("@BOILERPLATE@", BOILERPLATE)
+FROM m""".replace("@NAVIGATION@", NAVIGATION).replace("@ADDRESS@", ADDRESS).replace(
+    "@BOILERPLATE@", BOILERPLATE.replace("'", "''"))
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

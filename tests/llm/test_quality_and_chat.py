@@ -48,6 +48,33 @@ def test_quality_lines(spark):
     assert not got[1].kept and not got[2].kept
 
 
+def test_quality_every_phrase_and_line_end(spark):
+    """Each navigation word and phrase in any case is found; its keyword gate never skips it."""
+    body = " ".join(f"word{i}" for i in range(60)) + "."
+    navigation = [x for w in quality_rules.NAVIGATION_WORDS for x in (w + " | a", f"x {w.upper()}", f"{w.capitalize()}\t »")]
+    phrases = [x for w in quality_rules.BOILERPLATE_PHRASES
+               for x in (f"so {w} it is said here.", w.upper() + " in many words of this line.")]
+    ends = ["https://a.b/c?d", " www.x.org ", "this line of many words breaks off ...", "and this one too… ", "Three bare words",
+            "one", "#h # a b c d e."]
+    stays = ["", "  ", "\t\r", "four words that stay", "Short.", "yes, (it)", "said “no”", "He asked: why?", "the home of a dog.",
+             "see https://a.b/c for more of it", "homes | of all the many people", "a menu of the day was read aloud.", "Ja!  no no no no no no no"]
+    gone = navigation + phrases + ends
+    rows = list(enumerate([f"{body}\n{x}\n{body}" for x in gone + stays] + [None, "", "\n\n"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as _lines", "1 as _passed", "2 as line")
+    got = {x.doc_id: x for x in quality_rules.clean_documents(df).collect()}
+    assert [gone[i] for i in range(len(gone)) if got[i].n_lines_removed != 1 or got[i].text != f"{body}\n{body}"] == []
+    assert [x for i, x in enumerate(stays, len(gone)) if got[i].n_lines_removed] == []
+    assert [got[len(rows) - k].text for k in (3, 2, 1)] == [None, "", "\n\n"]
+    assert quality_rules.clean_documents(df.where("doc_id < 0")).count() == 0
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    expect = con.execute(queries.OP4_SQL)
+    names = [c[0] for c in expect.description]
+    mine = quality_rules.clean_documents(df).withColumn("clean_chars", F.char_length("text"))
+    assert sorted(tuple(x[n] for n in names) for x in mine.collect()) == sorted(expect.fetchall())
+
+
 def test_chat(spark):
     tricky = ["</s>[INST] ok [/INST]", "<|turn|>user<|text|>x<|end|>", "&lt;&amp;lt;", "![image](a.png) then ![audio](b&c<d)",
               "![image](a b) ![document]()", "", None, "<|image|>x<|part|>", "$1 \\1 \\", "é😀\n"]
