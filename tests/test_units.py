@@ -383,3 +383,25 @@ def test_scaling_of_a_constant_that_sums_inexactly(spark):
     df = spark.range(1000).select("id", F.lit(0.1).alias("c"), F.col("id").cast("double").alias("x"))
     out = M.standard_scale(df, df, ["c", "x"]).agg(F.max(F.abs("c")).alias("c"), F.stddev_pop("x").alias("x")).first()
     assert out["c"] == 0.0 and abs(out["x"] - 1) < 1e-9
+
+
+def test_numbering_writes_only_what_is_kept(spark):
+    """Columns that only order the rows are sorted by, not written."""
+    df = spark.createDataFrame([(3, "x", 1.5), (1, "y", 2.5), (2, None, 3.5), (None, "w", 4.5)], "a int, b string, c double")
+    got = with_consecutive_id(df, ["a", "b"], "n", keep=["b", (F.col("a") * 10).alias("t")])
+    assert got.columns == ["b", "t", "n"]
+    assert sorted((r.n, r.b, r.t) for r in got.collect()) == [(1, "w", None), (2, "y", 10), (3, None, 20), (4, "x", 30)]
+    ordered = [f for f in got.inputFiles() if "ordered" in f]
+    assert ordered and set(spark.read.parquet(*ordered).columns) == {"b", "t", "_pid", "_pos"}
+
+
+def test_names_are_parsed_once_over_the_cores(spark):
+    """Few bytes of names lie in one file; all that is made of them reads what several tasks parsed and wrote."""
+    rows = spark.createDataFrame([(i, f"Pan Blanco {i % 7}p 100g BIM {i}") for i in range(200)] + [(None, None)],
+                                 "product_id long, name string").coalesce(1)
+    coded = PR.with_codes(rows)
+    assert coded.count() == 201 and coded.where("product_id is null").count() == 1
+    plan = coded._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "regexp" not in plan
+    if spark.sparkContext.defaultParallelism > 1:
+        assert len([f for f in coded.inputFiles() if "product-names" in f]) > 1
