@@ -9,7 +9,7 @@ expression walks, so that one pass over the rows sees the predictions after each
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,16 +74,21 @@ def tree_values(model, cols: Sequence[str], rounds: int | None = None) -> Column
     x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
     levels = F.sequence(F.lit(1), F.lit(max(1, model.getMaxDepth())))
 
-    def step(tree: Column, at: Column) -> Column:
-        node = F.get(tree, at)
-        return F.when(node["feature"] < 0, at).when(
-            F.get(x, node["feature"]) <= node["threshold"], node["left"]).otherwise(node["right"])
+    def step(x: Column, tree: Column, at: Column) -> Column:
+        return _bound(F.get(tree, at), lambda node: F.when(node["feature"] < 0, at).when(
+            F.get(x, node["feature"]) <= node["threshold"], node["left"]).otherwise(node["right"]))
 
-    def value(tree: Column) -> Column:
-        leaf = F.aggregate(levels, F.lit(0), lambda at, _: step(tree, at))
+    def value(x: Column, tree: Column) -> Column:
+        leaf = F.aggregate(levels, F.lit(0), lambda at, _: step(x, tree, at))
         return F.get(tree, leaf)["value"]
 
-    return F.transform(nodes, value)
+    return _bound(x, lambda x: F.transform(nodes, lambda tree: value(x, tree)))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it: a column named
+    inside a lambda is worked out again at each of its calls."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def staged_predictions(model, cols: Sequence[str]) -> Column:
@@ -95,7 +100,7 @@ def staged_predictions(model, cols: Sequence[str]) -> Column:
 
 def staged_errors(model, rows: DataFrame, cols: Sequence[str], label: str = "demand") -> DataFrame:
     """(round, n, rmsle) after each round, from one pass over the rows."""
-    staged = rows.select(F.col(label).cast("double").alias("y"),
+    staged = M.balanced(rows).select(F.col(label).cast("double").alias("y"),
                          F.posexplode(staged_predictions(model, cols)).alias("round", "p"))
     off = F.log1p(floor_zero(F.col("p"))) - F.log1p(F.col("y"))
     return (staged.groupBy((F.col("round") + 1).alias("round"))
@@ -123,7 +128,7 @@ class StoppedBooster:
     def predict(self, rows: DataFrame, cols: Sequence[str], id_col: str = "id", floor: bool = True) -> DataFrame:
         """(id, prediction) of the first ``rounds`` trees, negatives floored at 0 when ``floor``."""
         total = F.aggregate(tree_values(self.model, cols, self.rounds), F.lit(0.0), lambda a, x: a + x)
-        scored = rows.select(id_col, total.alias("prediction"))
+        scored = M.balanced(rows).select(id_col, total.alias("prediction"))
         return scored.withColumn("prediction", floor_zero(F.col("prediction"))) if floor else scored
 
 

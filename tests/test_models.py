@@ -131,6 +131,26 @@ def test_staged_predictions(spark, booster):
     assert errors == stopped.errors and stopped.rounds == BO.best_round(errors)
 
 
+def test_staged_walk_reads_the_features_once(spark, booster):
+    """The array of the features is worked out before the walk, not at each of its steps."""
+    df, stopped = booster
+    plan = df.select(BO.tree_values(stopped.model, COLS).alias("v"))._jdf.queryExecution().analyzed().toString()
+    before, walk = plan.split("aggregate(", 1)
+    assert before.count("coalesce(") == len(COLS) and "coalesce(" not in walk
+
+
+def test_fits_deal_their_rows_over_the_cores(spark):
+    _, _, df = numbers(spark, 60)
+    seen = []
+
+    class Told:
+        def fit(self, data):
+            seen.append((data.rdd.getNumPartitions(), data.count()))
+
+    M.fit(Told(), df.coalesce(1), COLS)
+    assert seen == [(spark.sparkContext.defaultParallelism, 60)]
+
+
 def test_planted_best_round(spark, booster):
     """Held-out labels that are the prediction after five rounds make five rounds the best."""
     df, stopped = booster
