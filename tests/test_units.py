@@ -2,7 +2,9 @@
 splits, scaling, name patterns)."""
 
 import math
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from demandspark.functions import expressions as X
@@ -13,6 +15,7 @@ from demandspark.operators import products as PR
 from demandspark.operators import profile as PF
 from demandspark.operators import quantiles as Q
 from demandspark.operators import splits as SP
+from demandspark.operators import stacking as ST
 from demandspark.operators import target_means as TM
 from demandspark.operators import unique_counts as UC
 from demandspark.sources.ids import with_consecutive_id, with_running_sum
@@ -405,3 +408,33 @@ def test_names_are_parsed_once_over_the_cores(spark):
     assert "LogicalRDD" not in plan and "regexp" not in plan
     if spark.sparkContext.defaultParallelism > 1:
         assert len([f for f in coded.inputFiles() if "product-names" in f]) > 1
+
+
+def feature_rows(spark):
+    """Train and test rows with null and unknown keys, repeated rows, gaps between periods and labels of -1 or none."""
+    keys = "period int, depot_id long, channel_id int, client_id long, product_id long, route_id long"
+    train = [(i, i % 4 if i % 11 else None, i % 3 if i % 7 else None, i % 2, i % 5 if i % 13 else None,
+              i * i % 6 if i % 17 else None, 1, i % 9 - 1 if i % 19 else None) for i in range(150)]
+    test = [(i, (i % 6) if i % 11 else None, i % 4 if i % 5 else None, i % 2, i % 7 if i % 3 else None,
+             i % 8 if i % 13 else None, 1) for i in range(80)]
+    train = spark.createDataFrame(train + train[:20], f"row_id long, {keys}, demand int")
+    prods = spark.createDataFrame([(p, 1.0 * p, 0, 1.0, p) for p in (0, 1, 1, 2, 3, 4)],
+                                  "product_id long, weight double, brand_code int, pieces double, short_name_code int")
+    locs = spark.createDataFrame([(0, 0, 0), (1, 1, 0), (1, 2, 1)], "depot_id long, town_state_code int, state_code int")
+    return train, spark.createDataFrame(test, f"id long, {keys}"), prods, locs
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_feature_windows_equal_feature_joins(spark, keep):
+    from demandspark.plans.common import round_doubles
+    train, test, prods, locs = feature_rows(spark)
+    joined, windows = ([sorted(map(str, round_doubles(t, 9).collect())) for t in FE.build_features(
+        train, test, prods, locs, keep, materialize_stats=m)] for m in (False, True))
+    assert joined == windows and all(len(t) > 20 for t in windows)
+
+
+def test_feature_rows_are_dealt_by_product_once(spark):
+    train, test, prods, locs = feature_rows(spark)
+    tr, _ = FE.build_features(train, test, prods, locs, materialize_stats=True)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", tr._jdf.queryExecution().toString().split("== Physical Plan ==")[1])
+    assert sum("product_id" in d for d in dealt) <= 2 and len(dealt) <= 5, dealt    # rows and products; clients; depots
