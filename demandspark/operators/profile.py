@@ -49,25 +49,24 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Da
         base_of = hist.groupBy(*gk).agg(F.min(F.col("_gcum") - F.col("_c")).alias("_base"),
                                         F.sum("_c").alias("_n"))
         hist = hist.join(base_of, gk).withColumn("_cum", F.col("_gcum") - F.col("_base"))
-    stats = hist.groupBy(*gk).agg(
-        F.sum("_c").alias("count"),
-        F.sum(F.col("_v") * F.col("_c")).alias("sum"),
-        F.min("_v").alias("min"), F.max("_v").alias("max"),
-        *_pick([0.5], ["median"]),
-        (F.sum(F.col("_v") * F.col("_c")).cast("double") / F.sum("_c")).alias("mean"))
-    wide = stats.groupBy(*keys).pivot("_col", list(cols)).agg(
-        *[F.first(s).alias(s) for s in STAT_NAMES])
-    # integer statistics keep integer types (counts and sums of counts)
+    # one aggregate per key for all columns and statistics: no row per (key, column) is grouped again by a pivot
     out = []
     for c in cols:
+        def of(e):
+            return F.when(F.col("_col") == c, e)
+
+        n, total = F.sum(of(F.col("_c"))), F.sum(of(F.col("_v") * F.col("_c")))
+        stat = {"count": n, "sum": total, "min": F.min(of(F.col("_v"))), "max": F.max(of(F.col("_v"))),
+                "median": _pick([0.5], ["median"], of)[0], "mean": total.cast("double") / n}
         for s in STAT_NAMES:
-            e = F.col(f"{c}_{s}")
+            e = stat[s]
+            # integer statistics keep integer types (counts and sums of counts)
             if s == "count" or (s == "sum" and types[c] in _INTEGRAL):
                 e = e.cast("long")
             elif s in ("min", "max") and types[c] in _INTEGRAL:
                 e = e.cast(types[c])  # min/max keep the column's own type
             out.append(e.alias(f"{c}_{s}"))
-    return wide.select(*keys, *out)
+    return hist.groupBy(*keys).agg(*out)
 
 
 def median_join_back(rows: DataFrame, keys: Sequence[str], value: str = "demand",
