@@ -211,3 +211,18 @@ def test_facts_turn_red_for_a_constant_model(spark):
         assert not Q._facts(flat, key, value, low, high, group).first().varied, name
         wild = flat.withColumn(value, F.when(F.col(key) == 3, 1e6).otherwise(2.0))
         assert Q._facts(wild, key, value, low, high, group).first().n_wrong == 1, name
+
+
+def test_linear_booster_reads_its_rows_once(spark):
+    """Sums come from whole blocks of rows, empty parts included, in one job over the rows and none for their width."""
+    from demandspark.operators.linear_booster import block_sums
+    rows = [(1.0, 2.0, 3.0), (float("nan"), 1.0, None), (4.0, 0.5, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(7)
+    got = block_sums(df.select(F.array("a", "b").alias("x"), F.array(F.coalesce("y", F.lit(0.0))).alias("y")),
+                     lambda x, y: np.nan_to_num(x).T @ y)
+    assert np.allclose(got, [1 * 3 + 4 * 1, 2 * 3 + 0.5]) and len(block_sums(df.where("false").select(F.array("a").alias("x")), lambda x: x)) == 0
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda y: (seen.add(1), y)[1], "double").asNondeterministic()
+    data = M.assemble(df.withColumn("a", F.coalesce("a", F.lit(0.0))), ["a", "b"]).withColumn("_label", count(F.col("y")))
+    LinearBooster(rounds=5).fit(data)
+    assert seen.value == len(rows)

@@ -438,3 +438,18 @@ def test_feature_rows_are_dealt_by_product_once(spark):
     tr, _ = FE.build_features(train, test, prods, locs, materialize_stats=True)
     dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", tr._jdf.queryExecution().toString().split("== Physical Plan ==")[1])
     assert sum("product_id" in d for d in dealt) <= 2 and len(dealt) <= 5, dealt    # rows and products; clients; depots
+
+
+def test_grouped_stats_and_blend_need_no_pivot(spark):
+    rows = [(k, a, b) for k, vals in ((1, [(3, 1), (None, 2), (5, 9), (5, None)]), (2, [(None, 4)]), (3, [(None, None)]))
+            for a, b in vals]
+    df = PF.grouped_stats(spark.createDataFrame(rows, "k int, a int, b int"), ["k"], ["a", "b"])
+    got = {r.k: tuple(r)[1:] for r in df.collect()}
+    assert got == {1: (3, 13, 3, 5, 5.0, 13 / 3, 3, 12, 1, 9, 2.0, 4.0),
+                   2: (None,) * 6 + (1, 4, 4, 4, 4.0, 4.0)}
+    long = spark.createDataFrame([(1, "x", 2.0), (1, "y", None), (2, "y", 3.0), (2, "z", 4.0)],
+                                 "row_id long, model string, prediction double")
+    wide = ST.blend_pivot(long, ["x", "y"])
+    assert sorted(map(tuple, wide.collect())) == [(1, 2.0, None), (2, None, 3.0)]
+    for plan in (df, wide):     # a pivot groups a second time, by key and value
+        assert "pivotfirst" not in plan._jdf.queryExecution().toString().lower()
