@@ -226,3 +226,19 @@ def test_linear_booster_reads_its_rows_once(spark):
     data = M.assemble(df.withColumn("a", F.coalesce("a", F.lit(0.0))), ["a", "b"]).withColumn("_label", count(F.col("y")))
     LinearBooster(rounds=5).fit(data)
     assert seen.value == len(rows)
+
+
+def test_assembled_numbers_name_their_features(spark):
+    """One array for all numbers instead of a row object per row, with the assembler's values and names."""
+    from pyspark.ml.feature import VectorAssembler
+    rows = [(1, 2.5, None), (None, float("nan"), 3), (0, 0.0, 0)]
+    df = spark.createDataFrame(rows, "a int, b double, c long")
+    got = M.assemble(df, ["a", "b", "c"])
+    want = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features", handleInvalid="keep").transform(df)
+    assert np.array_equal(*[np.array([r.features.toArray() for r in x.collect()]) for x in (got, want)], equal_nan=True)
+    for x in (got, want):
+        meta = x.schema["features"].metadata["ml_attr"]
+        assert [m["name"] for m in meta["attrs"]["numeric"]] == ["a", "b", "c"] and meta["num_attrs"] == 3
+    assert "named_struct" not in got._jdf.queryExecution().optimizedPlan().toString()
+    again = M.assemble(got, ["a", "features"], "more").first()     # a vector among the columns
+    assert len(again.more) == 4
