@@ -242,3 +242,32 @@ def test_assembled_numbers_name_their_features(spark):
     assert "named_struct" not in got._jdf.queryExecution().optimizedPlan().toString()
     again = M.assemble(got, ["a", "features"], "more").first()     # a vector among the columns
     assert len(again.more) == 4
+
+
+def test_rows_without_gaps_are_fitted_as_they_are(spark):
+    """The filler is not worked out over rows that need none, and is over those that do."""
+    _, _, df = numbers(spark, 60)
+    plans = []
+
+    class Told:
+        def fit(self, data):
+            plans.append(data._jdf.queryExecution().analyzed().toString())
+
+    for rows in (df, df.withColumn("a", F.when(F.col("id") > 3, F.col("a")))):
+        ST.MeanFilled(Told()).fit(ST.M.assemble(rows, COLS))
+    assert ["zip_with" in p for p in plans] == [False, True]
+
+
+def test_stacking_keeps_only_the_columns_it_needs(spark, monkeypatch):
+    from demandspark.plans import jobs as J
+    _, _, df = numbers(spark, 60)
+    seen = []
+
+    def held(data, tdata, *args, **kw):
+        seen.append((data.columns, tdata.columns, tdata.rdd.getNumPartitions()))
+        one = F.lit("m").alias("model"), F.lit(0.0).alias("prediction")
+        return data.select("row_id", *one), tdata.select("id", *one)
+
+    monkeypatch.setattr(ST, "fold_predictions", held)
+    J.stack_phase_one(df.withColumnRenamed("id", "row_id"), df.drop("demand").coalesce(1), COLS, n_chunks=1, k=2, estimators={})
+    assert seen == [(["row_id", "fold", "features", "_label"], ["id", "features"], spark.sparkContext.defaultParallelism)]
