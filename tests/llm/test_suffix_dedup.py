@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from demandspark.llm.queries import op10_suffix_dedup
 from demandspark.llm.suffix_dedup import remove_repeats
 
 
@@ -60,3 +61,21 @@ def test_empty_and_clashing_columns(spark):
                                "doc_id long, text string, k1 string, gram int, spans string")
     row = remove_repeats(df).select("n_bytes", "n_removed", F.length("kept").alias("n")).first()
     assert tuple(row) == (500, 500, 0)
+
+
+def test_passages_of_over_50_words(spark, tmp_path):
+    """Shared passages lose their bytes from 400 bytes on, however many words they have."""
+    def words(seed, n):
+        return " ".join(f"{random.Random(seed * 1000 + i).randrange(16 ** 6):06x}" for i in range(n))
+
+    long_, short = words(1, 60), words(2, 57) + "."   # 419 and 399 bytes
+    exact = words(3, 57) + ".."                       # 400 bytes
+    texts = [t for k, p in enumerate((long_, short, exact))
+             for t in (words(10 + k, 30) + "<" + p + ">" + words(20 + k, 90), words(30 + k, 70) + "[" + p + "]" + words(40 + k, 20))]
+    texts += [words(50, 200), words(51, 58), None]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op10_suffix_dedup(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [len(p) for p in (long_, short, exact)] == [419, 399, 400]
+    assert [r.n_bytes for r in rows] == [len(t or "") for t in texts]
+    assert [r.n_removed for r in rows] == [419, 419, 0, 0, 400, 400, 0, 0, 0]
+    assert [r.repeated for r in rows] == [True, True, False, False, True, True, False, False, False]
