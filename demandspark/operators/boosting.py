@@ -12,10 +12,13 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.functions.expressions import floor_zero
 from demandspark.operators import models as M
 from demandspark.session import shared_dir
 
@@ -99,12 +102,64 @@ def staged_predictions(model, cols: Sequence[str]) -> Column:
 
 
 def staged_errors(model, rows: DataFrame, cols: Sequence[str], label: str = "demand") -> DataFrame:
-    """(round, n, rmsle) after each round, from one pass over the rows."""
-    staged = M.balanced(rows).select(F.col(label).cast("double").alias("y"),
-                         F.posexplode(staged_predictions(model, cols)).alias("round", "p"))
-    off = F.log1p(floor_zero(F.col("p"))) - F.log1p(F.col("y"))
-    return (staged.groupBy((F.col("round") + 1).alias("round"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(off * off)).alias("rmsle")))
+    """(round, n, rmsle) after each round, from one pass over the rows: the trees are walked by numpy on the blocks
+    of rows of a task, whose sums (two numbers a round) are added up on the driver."""
+    trees = _node_arrays(model)
+    depth = max(1, model.getMaxDepth())
+
+    def summed(batches):
+        part, n, known = np.zeros(len(trees)), 0, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            y = b.column(1).to_numpy(zero_copy_only=False)
+            there = ~np.isnan(y)        # a missing label is left out, as by an average
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)[there]
+            y, p = np.log1p(y[there]), np.zeros(int(there.sum()))
+            of, n = np.arange(len(y)), n + b.num_rows
+            for i, (feature, threshold, left, right, value) in enumerate(trees):
+                at = np.zeros(len(y), np.int64)
+                for _ in range(depth):
+                    f = feature[at]
+                    at = np.where(f < 0, at, np.where(x[of, f] <= threshold[at], left[at], right[at]))
+                p += value[at]
+                off = np.log1p(np.where(p > 0.0, p, 0.0)) - y
+                part[i] += off @ off
+            known += len(y)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()]), pa.array([n]), pa.array([known]),
+             pa.array([part.tolist()], pa.list_(pa.float64()))], ["part", "n", "known", "s"])
+
+    x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
+    told = (rows.select(x.alias("x"), F.coalesce(F.col(label).cast("double"), F.lit(float("nan"))).alias("y"))
+            .mapInArrow(summed, "part long, n long, known long, s array<double>").collect())
+    told.sort(key=lambda r: r["part"])      # one order of the sums
+    n, known = sum(r["n"] for r in told), sum(r["known"] for r in told)
+    total = sum((np.array(r["s"]) for r in told), np.zeros(len(trees)))
+    errors = [(i + 1, n, float(np.sqrt(t / known)) if known else None) for i, t in enumerate(total)] if n else []
+    return rows.sparkSession.createDataFrame(errors, "round int, n long, rmsle double")
+
+
+def _node_arrays(model) -> list[tuple[np.ndarray, ...]]:
+    """Per tree the arrays (feature, threshold, left, right, what a leaf adds) over its nodes; a leaf's feature is -1."""
+    trees: dict[int, list] = {}
+    for r in node_table(model).orderBy("tree", "id").collect():   # as many rows as the model has nodes
+        trees.setdefault(r["tree"], []).append(r)
+    return [(np.array([r["feature"] for r in t]), np.array([r["threshold"] or 0.0 for r in t]), np.array([r["left"] for r in t]),
+             np.array([r["right"] for r in t]), np.array([r["prediction"] * r["weight"] for r in t]))
+            for _, t in sorted(trees.items())]
+
+
+def first_rounds(model, rounds: int) -> GBTRegressionModel:
+    """Spark's model of the first ``rounds`` trees."""
+    sc = SparkSession.getActiveSession().sparkContext
+    jvm, old = sc._jvm, model._java_obj
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = old.trees()[i], float(model.treeWeights[i])
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, trees, weights)
+    return GBTRegressionModel(cut.setFeaturesCol(old.getFeaturesCol()).setPredictionCol(old.getPredictionCol()))
 
 
 def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
@@ -127,9 +182,7 @@ class StoppedBooster:
 
     def predict(self, rows: DataFrame, cols: Sequence[str], id_col: str = "id", floor: bool = True) -> DataFrame:
         """(id, prediction) of the first ``rounds`` trees, negatives floored at 0 when ``floor``."""
-        total = F.aggregate(tree_values(self.model, cols, self.rounds), F.lit(0.0), lambda a, x: a + x)
-        scored = M.balanced(rows).select(id_col, total.alias("prediction"))
-        return scored.withColumn("prediction", floor_zero(F.col("prediction"))) if floor else scored
+        return M.predict(first_rounds(self.model, self.rounds), rows, cols, id_col, floor)
 
 
 def fit_early_stop(train: DataFrame, cols: Sequence[str], label: str = "demand", valid_col: str = "is_valid",
